@@ -177,19 +177,17 @@ def add_date_parts(lines: DataFrame) -> DataFrame:
     return lines.withColumns({"day": F.dayofmonth(day), "month": F.month(day), "year": F.year(day)})
 
 
+_LINE = [
+    "created_date", "stay_date", "room_number", "room_type", "quantity", "total", "currency", "adults", "children",
+]
+
+
 def raw_lines(raw: DataFrame, carry: Sequence[str] = ARRIVAL) -> DataFrame:
-    """The line half of a raw row, with its keys parsed."""
-    return with_created(raw).select(
+    """The line half of a raw row, with its keys parsed, and whatever else the caller orders lines by."""
+    lines = with_created(raw).withColumn("stay_date", parse_day(F.col("stay_date_txt")))
+    return lines.select(
         *BOOKING_KEY,
-        "created_date",
-        parse_day(F.col("stay_date_txt")).alias("stay_date"),
-        "room_number",
-        "room_type",
-        "quantity",
+        *_LINE,
         F.col("unit_price").cast(LINE_MONEY).alias("unit_price"),
-        "total",
-        "currency",
-        "adults",
-        "children",
-        *carry,
+        *[name for name in carry if name not in _LINE],
     )

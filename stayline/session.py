@@ -22,6 +22,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .appName("stayline")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for name, value in SETTINGS.items():

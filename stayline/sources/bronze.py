@@ -1,7 +1,7 @@
 """Raw room-night exports, kept as they came and replaceable by window of stay dates.
 
-Bronze is partitioned by the parsed night of stay and by batch. A reload window is a range of whole days, so
-clearing it drops partitions and never rewrites a row that stays.
+Bronze is partitioned by month of stay and by batch. Clearing a window drops the months inside it and rewrites at most
+the two months it covers in part; every other month stays untouched.
 """
 
 from __future__ import annotations
@@ -11,14 +11,15 @@ from collections.abc import Mapping
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.functions.dates import parse_day
+from stayline.functions.dates import month_bounds, month_of, parse_day
 from stayline.sources import schemas
-from stayline.sources.store import child_folders, drop_folder
+from stayline.sources.store import child_folders, drop_folder, work_path
 
-_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+_PARTITIONS = ["stay_month", "batch_id"]
+_NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 
 
 class Reload(NamedTuple):
@@ -38,14 +39,11 @@ def read_export(
 
 
 def stamp(batch: DataFrame, batch_id: str) -> DataFrame:
-    """Add arrival order, parsed night and batch name to the 23 source columns, which stay unchanged."""
-    return batch.select(*schemas.RAW_COLUMNS).withColumns(
-        {
-            "ingest_seq": F.monotonically_increasing_id(),
-            "stay_day": parse_day(F.col("stay_date_txt")),
-            "batch_id": F.lit(batch_id),
-        }
+    """Add arrival order, parsed night and the partition columns to the 23 source columns, which stay unchanged."""
+    parsed = batch.select(*schemas.RAW_COLUMNS).withColumns(
+        {"ingest_seq": F.monotonically_increasing_id(), "stay_day": parse_day(F.col("stay_date_txt"))}
     )
+    return parsed.withColumns({"stay_month": month_of(F.col("stay_day")), "batch_id": F.lit(batch_id)})
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
@@ -57,17 +55,19 @@ def land_raw(
     renames: Mapping[str, str] | None = None,
 ) -> int:
     """Append an export to bronze; landing the same batch name again replaces that batch. Returns its row count."""
-    batch = read_export(spark, source, kind, renames)
+    return land_batch(read_export(spark, source, kind, renames), path, batch_id)
+
+
+def land_batch(batch: DataFrame, path: str, batch_id: str) -> int:
+    """Append rows that are already in the declared shape."""
     _write(batch, path, batch_id)
-    return _rows(spark, path, F.col("batch_id") == batch_id)
+    return _rows(batch.sparkSession, path, F.col("batch_id") == batch_id)
 
 
 def delete_window(spark: SparkSession, path: str, low: dt.date, high: dt.date) -> int:
     """Remove rows staying from `low` to `high`, both included; rows without a readable night stay."""
-    deleted = _rows(spark, path, F.col("stay_day").between(low, high))
-    for day, folder in _days(spark, path):
-        if day is not None and low <= day <= high:
-            drop_folder(spark, folder)
+    deleted = _rows(spark, path, _inside(low, high))
+    _clear(spark, path, low, high)
     return deleted
 
 
@@ -76,42 +76,79 @@ def reload_window(
 ) -> Reload:
     """Replace the window by a batch. The batch is written before anything is dropped, and running it twice
     leaves the same table."""
-    deleted = _rows(spark, path, F.col("stay_day").between(low, high))
+    deleted = _rows(spark, path, _inside(low, high))
     _write(batch, path, batch_id)
-    for day, folder in _days(spark, path):
-        if day is not None and low <= day <= high:
-            for name in child_folders(spark, folder):
-                if name != f"batch_id={batch_id}":
-                    drop_folder(spark, f"{folder}/{name}")
+    _clear(spark, path, low, high, keep_batch=batch_id)
     return Reload(deleted, _rows(spark, path, F.col("batch_id") == batch_id))
 
 
+def _inside(low: dt.date, high: dt.date) -> Column:
+    """The window, with the months it touches spelled out so that only their partitions are read."""
+    months = F.col("stay_month").between(_number(low), _number(high))
+    return months & F.col("stay_day").between(low, high)
+
+
+def _number(day: dt.date) -> int:
+    return day.year * 100 + day.month
+
+
 def _write(batch: DataFrame, path: str, batch_id: str) -> None:
     spark = batch.sparkSession
+    mine = f"batch_id={batch_id}"
+    held = [folder for _, folder in _months(spark, path) if mine in child_folders(spark, folder)]
     stamped = stamp(batch, batch_id)
-    held = [folder for _, folder in _days(spark, path) if f"batch_id={batch_id}" in child_folders(spark, folder)]
-    # rebalance gathers a day's rows for few files and splits a day that holds too many
-    writer = stamped.hint("rebalance", F.col("stay_day")).write.partitionBy("stay_day", "batch_id")
-    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    _replace_partitions(stamped, path)
     if held:
-        # days the batch covered before and no longer does; there are never more days than the calendar has
-        kept = {row[0] for row in stamped.select("stay_day").distinct().collect()}
-        for day, folder in _days(spark, path):
-            if folder in held and day not in kept:
-                drop_folder(spark, f"{folder}/batch_id={batch_id}")
+        # months the batch covered before and no longer does; the calendar bounds how many there are
+        kept = {row[0] for row in stamped.select("stay_month").distinct().collect()}
+        for month, folder in _months(spark, path):
+            if folder in held and month not in kept:
+                drop_folder(spark, f"{folder}/{mine}")
 
 
-def _days(spark: SparkSession, path: str) -> list[tuple[dt.date | None, str]]:
-    days = []
-    for name in child_folders(spark, path):
-        if name.startswith("stay_day="):
-            text = name.removeprefix("stay_day=")
-            days.append((None if text == _NO_DAY else dt.date.fromisoformat(text), f"{path}/{name}"))
-    return days
+def _replace_partitions(rows: DataFrame, path: str) -> None:
+    # rebalance gathers a month's rows into few files and splits a month that holds too many
+    writer = rows.hint("rebalance", F.col("stay_month")).write.partitionBy(*_PARTITIONS)
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def _rows(spark: SparkSession, path: str, condition) -> int:
-    """Counts whole partitions, which Parquet answers from file footers."""
+def _clear(spark: SparkSession, path: str, low: dt.date, high: dt.date, keep_batch: str | None = None) -> None:
+    """Empty the window but for one batch."""
+    keep = f"batch_id={keep_batch}"
+    touched = {m: f for m, f in _months(spark, path) if m is not None and _number(low) <= m <= _number(high)}
+    partly = []
+    for month, folder in touched.items():
+        first, following = month_bounds(dt.date(month // 100, month % 100, 1))
+        if low <= first and following - dt.timedelta(days=1) <= high:
+            for name in child_folders(spark, folder):
+                if name != keep:
+                    drop_folder(spark, f"{folder}/{name}")
+        else:
+            partly.append(month)
+    if not partly:
+        return
+    rest = read_bronze(spark, path).where(F.col("stay_month").isin(partly) & ~F.col("stay_day").between(low, high))
+    if keep_batch is not None:
+        rest = rest.where(F.col("batch_id") != keep_batch)
+    # a table cannot be overwritten while it is read, so the remaining rows are set down first
+    staging = work_path(spark, "bronze-rest")
+    rest.write.parquet(staging)
+    staged = spark.read.schema(schemas.BRONZE).parquet(staging)
+    left = {tuple(row) for row in staged.select(*_PARTITIONS).distinct().collect()}
+    _replace_partitions(staged, path)
+    for month in partly:
+        for name in child_folders(spark, touched[month]):
+            if name != keep and (month, name.removeprefix("batch_id=")) not in left:
+                drop_folder(spark, f"{touched[month]}/{name}")
+
+
+def _months(spark: SparkSession, path: str) -> list[tuple[int | None, str]]:
+    names = [name for name in child_folders(spark, path) if name.startswith("stay_month=")]
+    values = [name.removeprefix("stay_month=") for name in names]
+    return [(None if v == _NO_MONTH else int(v), f"{path}/{name}") for v, name in zip(values, names)]
+
+
+def _rows(spark: SparkSession, path: str, condition: Column) -> int:
     try:
         return read_bronze(spark, path).where(condition).count()
     except AnalysisException as missing:

@@ -8,14 +8,14 @@ for the zone-less timestamp type. Booking ids are recycled each year: order key
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.operators.conform import backfill_headers
-from stayline.operators.dimensions import latest_agents, room_types
+from stayline.operators.dimensions import latest_agents
 from stayline.vocabulary import Vocabulary
 
 LENS = Vocabulary(
@@ -56,7 +56,7 @@ TIE_BREAK = ["src_order", "room_number", "l_partkey", "l_suppkey", "total"]
 
 def _digits(number: str, width: int) -> str:
     text = f"cast({number} as string)"
-    return f"lpad({text}, greatest({width}, length({text})), '0')"
+    return f"lpad({text}, cast(greatest({width}, length({text})) as int), '0')"
 
 
 def _day_text(day: str) -> str:
@@ -206,7 +206,8 @@ class Warehouse:
 
     @cached_property
     def room_types(self) -> DataFrame:
-        return room_types(self.stay_nights, ROOM_TYPES, LENS)
+        """The room-type dimension as it would lie stored."""
+        return self.spark.createDataFrame([*ROOM_TYPES, ("RO", LENS.other)], "room_type string, category string")
 
     @cached_property
     def agents(self) -> DataFrame:
