@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from decimal import Decimal
 
@@ -12,7 +13,7 @@ from stayline.functions.dates import moment, parse_day, seconds_of_day
 from stayline.functions.rules import BOOKING_KEY
 from stayline.functions.text import country_of, title_case
 from stayline.operators.ordered import HEAVY_ROWS, rank_within
-from stayline.operators.sides import small_side
+from stayline.operators.sides import literal
 from stayline.sources.schemas import ARRIVAL, HEADER_MONEY, LINE_MONEY
 from stayline.vocabulary import PMS, Vocabulary
 
@@ -22,14 +23,24 @@ CALENDAR_ROWS = 36_525
 
 def _null_last(column: str) -> list[Column]:
     """Two fields that make a smallest-struct pick prefer any value over null."""
-    return [F.col(column).isNull(), F.col(column)]
+    return [F.col(column).isNull().alias(f"no_{column}"), F.col(column)]
+
+
+def with_parsed(raw: DataFrame) -> DataFrame:
+    """Add the sale day, its seconds after midnight and the night of stay. Bronze stores them since landing, so that
+    the rebuilds that follow every load parse nothing; lines from elsewhere are parsed here."""
+    parsers = {
+        "sale_day": parse_day(F.col("created_date_txt")),
+        "sale_seconds": seconds_of_day(F.col("created_time_txt")),
+        "stay_day": parse_day(F.col("stay_date_txt")),
+    }
+    return raw.withColumns({name: parsed for name, parsed in parsers.items() if name not in raw.columns})
 
 
 def with_created(raw: DataFrame) -> DataFrame:
-    """Parse the sale date and time of raw lines."""
-    return raw.withColumns(
-        {"created_date": parse_day(F.col("created_date_txt")), "created_seconds": seconds_of_day(F.col("created_time_txt"))}
-    ).withColumn("created_year", F.year("created_date"))
+    """Name the sale date and time of raw lines as the conformed tables do."""
+    renamed = with_parsed(raw).withColumnsRenamed({"sale_day": "created_date", "sale_seconds": "created_seconds"})
+    return renamed.withColumn("created_year", F.year("created_date"))
 
 
 def has_national_id() -> Column:
@@ -42,16 +53,16 @@ def dedup_guests(raw: DataFrame, tie_break: Sequence[str] = ARRIVAL, vocab: Voca
     A smallest-row aggregate rather than a window: each map task keeps one row per guest, so a placeholder id that
     fills a third of the export costs no more than any other.
     """
-    first = F.struct(*_null_last("created_date"), *tie_break)
+    first = F.struct(*_null_last("created_date"), *[F.col(c) for c in tie_break])
     return (
         with_created(raw.where(has_national_id()))
         .groupBy("national_id")
-        .agg(F.min_by(F.struct("full_name", "phone", "created_date"), first).alias("first"))
+        .agg(F.min(F.struct(first.alias("at"), "full_name", "phone")).alias("first"))
         .select(
             "national_id",
             title_case(F.col("first.full_name")).alias("full_name"),
             F.col("first.phone").alias("phone"),
-            F.col("first.created_date").alias("first_booking"),
+            F.col("first.at.created_date").alias("first_booking"),
             country_of(F.col("national_id"), vocab).alias("country"),
         )
     )
@@ -75,23 +86,21 @@ def dedup_bookings(raw: DataFrame, guests: DataFrame, tie_break: Sequence[str] =
 
     Lines shrink to one candidate per booking and guest before they meet the guests, then to one per booking.
     """
-    earliest = F.struct(*_null_last("created_date"), *_null_last("created_seconds"), *tie_break)
+    earliest = F.struct(*_null_last("created_date"), *_null_last("created_seconds"), *[F.col(c) for c in tie_break])
     candidates = (
         with_created(raw.where(has_national_id()))
         .groupBy(*BOOKING_KEY, "national_id")
-        .agg(F.min(earliest).alias("at"), F.min_by(F.struct(*_HEADER), earliest).alias("header"))
+        .agg(F.min(F.struct(earliest.alias("at"), F.struct(*_HEADER).alias("header"))).alias("sale"))
     )
     known = candidates.join(guests.select("national_id", "guest_id"), "national_id")
-    picked = known.groupBy(*BOOKING_KEY).agg(
-        F.min("at").alias("at"), F.min_by(F.struct("guest_id", "header"), F.col("at")).alias("one")
-    )
-    header = {name: F.col(f"one.header.{name}") for name in _HEADER}
+    picked = known.groupBy(*BOOKING_KEY).agg(F.min(F.struct("sale", "guest_id")).alias("one"))
+    header = {name: F.col(f"one.sale.header.{name}") for name in _HEADER}
     header["agent_name"] = title_case(header["agent_name"])
     return picked.select(
         *BOOKING_KEY,
         header["property_id"].alias("property_id"),
         F.col("one.guest_id").alias("guest_id"),
-        moment(F.col("at.created_date"), F.col("at.created_seconds")).alias("created_at"),
+        moment(F.col("one.sale.at.created_date"), F.col("one.sale.at.created_seconds")).alias("created_at"),
         *[header[name].alias(name) for name in _HEADER[1:]],
     )
 
@@ -101,6 +110,7 @@ def offset_collisions(
     tie_break: Sequence[str] = ARRIVAL,
     keys: Sequence[str] = (*BOOKING_KEY, "stay_date", "room_number"),
     heavy_rows: int = HEAVY_ROWS,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Keep every line of a room billed more than once a night: the nth one moves to room + 1000 * (n - 1).
 
@@ -108,10 +118,12 @@ def offset_collisions(
     """
     columns = lines.columns
     order = [F.col("room_type").asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie_break]]
-    numbered = rank_within(lines.where(F.col("room_number").isNotNull()), keys, order, "_nth", heavy_rows=heavy_rows)
+    roomed = F.col("room_number").isNotNull()
+    sizes = None if sizes_from is None else sizes_from.where(roomed)
+    numbered = rank_within(lines.where(roomed), keys, order, "_nth", heavy_rows=heavy_rows, sizes_from=sizes)
     moved = (F.col("room_number") + 1000 * (F.col("_nth") - 1)).cast("int")
     placed = numbered.withColumn("room_number", moved).select(*columns)
-    return placed.unionByName(lines.where(F.col("room_number").isNull()))
+    return placed.unionByName(lines.where(~roomed))
 
 
 def is_dollar(vocab: Vocabulary = PMS) -> Column:
@@ -133,20 +145,22 @@ def to_local_currency(
 def rate_as_of(lines: DataFrame, rates: DataFrame, sale_date: str = "created_date") -> DataFrame:
     """Add `usd_rate`, the latest rate on or before the sale date (null before the first one).
 
-    `rates` has one row per `rate_date`. It is stretched to one row per calendar day, which turns the as-of match
-    into an equality join on a table no longer than the calendar; the newest rate stays open-ended.
+    `rates` has one row per `rate_date`, so it is never longer than the calendar. It is stretched to one row per
+    day, which turns the as-of match into an equality join; the newest rate stays open-ended.
     """
-    known = rates.agg(F.sort_array(F.collect_list(F.struct("rate_date", "usd_rate"))).alias("known"))
-    follower = F.try_element_at("known", F.col("at") + 2)
-    spans = known.select(F.posexplode("known").alias("at", "rate"), "known").select(
-        F.explode(F.sequence("rate.rate_date", F.date_sub(follower["rate_date"], 1))).alias(sale_date),
-        F.col("rate.usd_rate").alias("usd_rate"),
+    known = rates.select("rate_date", "usd_rate").orderBy("rate_date").head(CALENDAR_ROWS + 1)
+    if len(known) > CALENDAR_ROWS:
+        raise ValueError("the rate table has more rows than a calendar has days")
+    spans = [(a[0], b[0] - dt.timedelta(days=1), a[1]) for a, b in zip(known, known[1:])]
+    kind = rates.schema["usd_rate"].dataType.simpleString()
+    daily = literal(lines.sparkSession, spans, f"low date, high date, usd_rate {kind}").select(
+        F.explode(F.sequence("low", "high")).alias(sale_date), "usd_rate"
     )
-    last_date = rates.agg(F.max("rate_date")).scalar()
-    last_rate = rates.agg(F.max_by("usd_rate", "rate_date")).scalar()
-    open_ended = F.when(F.col(sale_date) >= last_date, last_rate)
-    dated = lines.join(small_side(spans, CALENDAR_ROWS), sale_date, "left")
-    return dated.withColumn("usd_rate", F.coalesce("usd_rate", open_ended)).select(*lines.columns, "usd_rate")
+    dated = lines.join(daily, sale_date, "left")
+    if known:
+        open_ended = F.when(F.col(sale_date) >= F.lit(known[-1][0]), F.lit(known[-1][1]))
+        dated = dated.withColumn("usd_rate", F.coalesce("usd_rate", open_ended))
+    return dated.select(*lines.columns, "usd_rate")
 
 
 def keep_with_header(lines: DataFrame, bookings: DataFrame) -> DataFrame:
@@ -184,7 +198,7 @@ _LINE = [
 
 def raw_lines(raw: DataFrame, carry: Sequence[str] = ARRIVAL) -> DataFrame:
     """The line half of a raw row, with its keys parsed, and whatever else the caller orders lines by."""
-    lines = with_created(raw).withColumn("stay_date", parse_day(F.col("stay_date_txt")))
+    lines = with_created(raw).withColumnRenamed("stay_day", "stay_date")
     return lines.select(
         *BOOKING_KEY,
         *_LINE,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stayline.functions.text import title_case
 from stayline.operators.conform import with_created
 from stayline.operators.ordered import assign_keys
-from stayline.operators.sides import small_side
+from stayline.operators.sides import literal
 from stayline.sources.schemas import ARRIVAL
 from stayline.vocabulary import CHANNEL_SEED, PMS, ROOM_TYPE_SEED, Vocabulary
 
@@ -69,7 +69,7 @@ def calendar_between(bounds: DataFrame, language: str = "en") -> DataFrame:
 
 def channel_dim(spark: SparkSession, seed: Sequence[tuple[str, str]] = CHANNEL_SEED) -> DataFrame:
     rows = [(number, channel, area, True) for number, (channel, area) in enumerate(seed, start=1)]
-    return spark.createDataFrame(rows, "channel_id bigint, channel string, area string, active boolean")
+    return literal(spark, rows, "channel_id bigint, channel string, area string, active boolean")
 
 
 def latest_agents(
@@ -83,7 +83,7 @@ def latest_agents(
         .agg(F.max_by(F.struct("agent_name", "channel"), latest).alias("last"))
         .select("agent_src_id", title_case(F.col("last.agent_name")).alias("agent_name"), F.col("last.channel").alias("channel"))
     )
-    areas = small_side(channels.select("channel", "area"))
+    areas = channels.select("channel", "area")
     return agents.join(areas, "channel", "left").select(
         "agent_src_id", "agent_name", F.coalesce("area", F.lit(vocab.unclassified)).alias("area")
     )
@@ -103,9 +103,9 @@ def room_types(
     lines: DataFrame, mapping: Sequence[tuple[str, str]] = ROOM_TYPE_SEED, vocab: Vocabulary = PMS
 ) -> DataFrame:
     """Distinct room types of the lines with their category; types nobody classified are `other`."""
-    listed = lines.sparkSession.createDataFrame(list(mapping), "room_type string, category string")
+    listed = literal(lines.sparkSession, mapping, "room_type string, category string")
     found = lines.select("room_type").where(F.col("room_type").isNotNull()).distinct()
-    return found.join(small_side(listed), "room_type", "left").select(
+    return found.join(listed, "room_type", "left").select(
         "room_type", F.coalesce("category", F.lit(vocab.other)).alias("category")
     )
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from stayline.functions.dates import month_of
 from stayline.functions.rules import BOOKING_KEY, not_unconfirmed_hold
-from stayline.operators.sides import small_side
 from stayline.vocabulary import PMS, Vocabulary
 
 PERSONAL = ["national_id", "full_name", "phone"]
@@ -49,7 +48,7 @@ def stay_fact(bookings: DataFrame, properties: DataFrame, guests: DataFrame, lin
     """
     headers = (
         bookings.join(guests.select("guest_id", *PERSONAL), "guest_id")
-        .join(small_side(properties.select("property_id", F.col("name").alias("property"))), "property_id")
+        .join(properties.select("property_id", F.col("name").alias("property")), "property_id")
         .select(
             *BOOKING_KEY, "property_id", "property", "guest_id", *PERSONAL, "channel", "sub_channel", "agent_name",
             "booking_status", "payment_status", "currency", "created_at",

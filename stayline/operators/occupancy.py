@@ -15,14 +15,13 @@ from pyspark.sql import functions as F
 
 from stayline.functions.dates import month_bounds
 from stayline.functions.rules import BOOKING_KEY, not_unconfirmed_hold, percent, ratio, round2
-from stayline.operators.sides import small_side
 from stayline.vocabulary import INTERNAL_PROPERTIES, PIVOT_PROPERTIES, PMS, Vocabulary
 
 
 def in_categories(lines: DataFrame, room_types: DataFrame, categories: Sequence[str]) -> DataFrame:
     """Lines whose room type the dimension files under one of the categories."""
     wanted = room_types.where(F.col("category").isin(*categories)).select("room_type")
-    return lines.join(small_side(wanted), "room_type", "left_semi")
+    return lines.join(wanted, "room_type", "left_semi")
 
 
 def _per_booking(lines: DataFrame, *period: Column) -> DataFrame:
@@ -41,7 +40,7 @@ def _headers(bookings: DataFrame, vocab: Vocabulary, *columns: str) -> DataFrame
 
 def _in_area(headers: DataFrame, channels: DataFrame, area: str) -> DataFrame:
     wanted = channels.where(F.col("area") == area).select("channel")
-    return headers.join(small_side(wanted), "channel", "left_semi")
+    return headers.join(wanted, "channel", "left_semi")
 
 
 def _occupancy(nights: DataFrame, headers: DataFrame, properties: DataFrame) -> DataFrame:
@@ -50,7 +49,7 @@ def _occupancy(nights: DataFrame, headers: DataFrame, properties: DataFrame) ->
         .groupBy("property_id", "year", "month")
         .agg(F.sum("revenue").alias("revenue"), F.count("*").alias("bookings"))
     )
-    names = small_side(properties.select("property_id", F.col("name").alias("property")))
+    names = properties.select("property_id", F.col("name").alias("property"))
     return totals.join(names, "property_id").select("property_id", "property", "year", "month", "revenue", "bookings")
 
 
@@ -85,7 +84,7 @@ def paid_partner_split(
 ) -> DataFrame:
     """Room-nights and revenue of paying guests against partner redemptions, per property and month of stay."""
     nights = _by_stay_month(in_categories(lines, room_types, [vocab.lodging]))
-    areas = small_side(channels.select("channel", "area"))
+    areas = channels.select("channel", "area")
     headers = _headers(bookings, vocab, "channel").join(areas, "channel")
     partner = F.col("area") == vocab.partner_area
     paid = F.col("area") != vocab.partner_area
@@ -125,8 +124,8 @@ def agent_by_property(
         .groupBy("agent_src_id", "property_id", "month", "year")
         .agg(F.sum("revenue").alias("revenue"), F.sum("quantity").alias("quantity"))
     )
-    properties = small_side(properties.select("property_id", F.col("name").alias("property")))
-    agents = small_side(agents.select("agent_src_id", "agent_name"))
+    properties = properties.select("property_id", F.col("name").alias("property"))
+    agents = agents.select("agent_src_id", "agent_name")
     return totals.join(properties, "property_id").join(agents, "agent_src_id", "left")
 
 
@@ -147,7 +146,7 @@ def daily_occupancy_pivot(
     daily = nights.groupBy("stay_date", "property_id").agg(
         F.sum("revenue").alias("revenue"), F.sum("nights").alias("nights")
     )
-    daily = daily.join(small_side(properties.select("property_id", "room_count")), "property_id")
+    daily = daily.join(properties.select("property_id", "room_count"), "property_id")
 
     def block(property_id: int) -> list[Column]:
         here = F.col("property_id") == property_id
@@ -193,7 +192,7 @@ def rate_vs_network(lines: DataFrame, bookings: DataFrame, properties: DataFrame
         .agg(ratio(F.sum("amount"), F.sum("counted")).alias("rate"))
         .withColumn("network", network)
     )
-    names = small_side(properties.select("property_id", F.col("name").alias("property")))
+    names = properties.select("property_id", F.col("name").alias("property"))
     return totals.join(names, "property_id").select(
         "property_id",
         "property",

@@ -12,8 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayline.operators.sides import literal
 from stayline.sources.store import checkpointed
-from stayline.operators.sides import small_side
 
 HEAVY_ROWS = 5_000_000
 BUCKETS = 65_536
@@ -28,15 +28,17 @@ def rank_within(
     number: str,
     previous: Mapping[str, str] | None = None,
     heavy_rows: int = HEAVY_ROWS,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add the 1-based position of each row in its group, and columns of the row before it.
 
     `order` must be total inside a group, that is end in something unique. `previous` maps a new column to the
-    column it takes from the preceding row.
+    column it takes from the preceding row. Group sizes are taken from `df` unless `sizes_from` names a frame that is
+    cheaper to read and holds at least the same groups.
     """
     previous = dict(previous or {})
     bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
-    heavy = _heavy_buckets(df, bucket, heavy_rows)
+    heavy = _heavy_buckets(df if sizes_from is None else sizes_from, bucket, heavy_rows)
     if not heavy:
         return _number_whole(df, keys, order, number, previous)
     codes = [code for code, _ in heavy]
@@ -94,7 +96,7 @@ def _number_sliced(df, keys, order, number, previous, slices) -> DataFrame:
         }
     )
     first = F.col("_local") == 1
-    return local.join(small_side(carried, max(slices, 1)), same_group, "left").select(
+    return local.join(F.broadcast(carried), same_group, "left").select(
         *columns,
         (F.coalesce(F.col("_before"), F.lit(0)) + F.col("_local")).alias(number),
         *[F.when(first, F.col(f"_carry.{name}")).otherwise(F.col(f"_back_{name}")).alias(name) for name in previous],
@@ -115,8 +117,8 @@ def assign_keys(df: DataFrame, natural_key: Sequence[str], id_column: str, start
     for row in counts:
         offsets.append((row["_slice"], total))
         total += row["count"]
-    starts = df.sparkSession.createDataFrame(offsets, "_slice bigint, _start bigint")
+    starts = literal(df.sparkSession, offsets, "_slice bigint, _start bigint")
     inside = F.col("_pos").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return placed.join(F.broadcast(starts), "_slice").select(
+    return placed.join(starts, "_slice").select(
         (F.col("_start") + inside).alias(id_column), *df.columns
     )

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions.rules import not_unconfirmed_hold, percent
-from stayline.operators.sides import small_side
 from stayline.vocabulary import PMS, Vocabulary
 
 
@@ -21,7 +20,7 @@ def _sales_months(bookings: DataFrame, *keys: str) -> DataFrame:
 
 def _in_area(bookings: DataFrame, channels: DataFrame, area: str) -> DataFrame:
     wanted = channels.where(F.col("area") == area).select("channel")
-    return bookings.join(small_side(wanted), "channel", "left_semi")
+    return bookings.join(wanted, "channel", "left_semi")
 
 
 def production(
@@ -31,7 +30,7 @@ def production(
     sold = _sales_months(
         _in_area(bookings.where(not_unconfirmed_hold(vocab)), channels, vocab.desk_area), "property_id"
     )
-    names = small_side(properties.select("property_id", F.col("name").alias("property")))
+    names = properties.select("property_id", F.col("name").alias("property"))
     return sold.join(names, "property_id")
 
 
@@ -40,7 +39,7 @@ def agent_attainment(
 ) -> DataFrame:
     """Sales of each agent and month against the target; agents without one stay, with null attainment."""
     sold = _sales_months(bookings.where(not_unconfirmed_hold(vocab)), "agent_src_id")
-    named = sold.join(small_side(agents.select("agent_id", "agent_src_id", "agent_name", "area")), "agent_src_id")
+    named = sold.join(agents.select("agent_id", "agent_src_id", "agent_name", "area"), "agent_src_id")
     return named.join(targets, ["agent_id", "year", "month"], "left").select(
         "agent_id",
         "agent_name",
@@ -77,7 +76,7 @@ def agent_daily(
     day = F.col("sale_date")
     month = F.concat(F.year(day), F.lpad(F.month(day).cast("string"), 2, "0"))
     return (
-        daily.join(small_side(agents.select("agent_id", "agent_src_id", "agent_name")), "agent_src_id")
+        daily.join(agents.select("agent_id", "agent_src_id", "agent_name"), "agent_src_id")
         .select(
             "agent_id",
             "agent_name",

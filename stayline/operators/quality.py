@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from stayline.functions.rules import BOOKING_KEY
 from stayline.operators.conform import has_national_id, with_created
-from stayline.operators.sides import small_side
 
 OK, WARN, CRITICAL = "OK", "WARN", "CRITICAL"
 NEVER_RUN, LAST_FAILED, STALE = "WARN: never run", "CRITICAL: last run failed", "WARN: older than 2 days"
@@ -74,7 +73,7 @@ def _absent(column: str, marker: str) -> Column:
 
 
 def _marked(dim: DataFrame, column: str, marker: str) -> DataFrame:
-    return small_side(dim.select(column).distinct()).withColumn(marker, F.lit(True))
+    return dim.select(column).distinct().withColumn(marker, F.lit(True))
 
 
 def header_checks(
@@ -141,7 +140,7 @@ def guest_checks(guests: DataFrame) -> DataFrame:
 
 def reconciliation(raw: DataFrame, properties: DataFrame, bookings: DataFrame) -> DataFrame:
     """Check 13: distinct bookings in bronze, with a guest and a known property, against headers in silver."""
-    known = small_side(properties.select("property_id"))
+    known = properties.select("property_id")
     staged = (
         with_created(raw.where(has_national_id())).join(known, "property_id", "left_semi").select(*BOOKING_KEY).distinct()
     )

@@ -1,19 +1,22 @@
-"""Broadcasting behind a size check."""
+"""Small tables held in the plan itself.
 
-from __future__ import annotations
+Joins carry no broadcast hints: Spark knows the size of a stored dimension or a literal table and broadcasts it while
+that stays under `spark.sql.autoBroadcastJoinThreshold`, and shuffles it beyond.
+"""
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from __future__ import annotations
 
-SMALL_SIDE_ROWS = 20_000
+from collections.abc import Sequence
 
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
-    """Broadcast a dimension proven to hold at most `max_rows` rows; leave a larger one to a shuffled join.
 
-    The check reads at most one row more than allowed, and a derived dimension is computed only once.
-    """
-    rows = df.head(max_rows + 1)
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+def literal(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A table of known rows, whose exact size the planner sees."""
+    types = StructType.fromDDL(schema)
+    fields = to_arrow_schema(types)
+    columns = [pa.array([row[at] for row in rows], type=field.type) for at, field in enumerate(fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=fields), types)

@@ -14,6 +14,7 @@ from stayline.functions.rules import BOOKING_KEY
 from stayline.functions.text import country_of, title_case
 from stayline.operators import conform, contacts, dimensions, guests, occupancy, production, quality, validation
 from stayline.operators.ordered import assign_keys
+from stayline.operators.sides import literal
 from stayline.plans.gold import refresh_gold
 from stayline.plans.runlog import RunLog, recent_runs, run_stats
 from stayline.plans.silver import build_silver
@@ -129,13 +130,16 @@ def date_parts(w: Warehouse) -> DataFrame:
 
 
 def _silver(w: Warehouse):
-    out = work_path(w.spark, "silver")
-    return out, build_silver(w.spark, w.raw_stays, w.properties, out, RATE, tie_break=TIE_BREAK, vocab=LENS)
+    """Silver from a stored copy of the raw lines, as bronze would hold them."""
+    stored, out = work_path(w.spark, "raw"), work_path(w.spark, "silver")
+    conform.with_parsed(w.raw_stays).write.parquet(stored)
+    raw = w.spark.read.parquet(stored)
+    return out, build_silver(w.spark, raw, w.properties, out, RATE, tie_break=TIE_BREAK, vocab=LENS)
 
 
 def silver_counts(w: Warehouse) -> DataFrame:
     _, counts = _silver(w)
-    return w.spark.createDataFrame([counts[:4]], "guests bigint, bookings bigint, lines bigint, quarantined bigint")
+    return literal(w.spark, [counts[:4]], "guests bigint, bookings bigint, lines bigint, quarantined bigint")
 
 
 def silver_bookings(w: Warehouse) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.functions.rules import round2
+from stayline.operators.sides import literal
 from stayline.sources.schemas import RUN_EVENTS
 
 RUNNING, OK, ERROR = "RUNNING", "OK", "ERROR"
@@ -54,8 +55,7 @@ class RunLog:
         finish(OK, step.message)
 
     def _append(self, *values) -> None:
-        event = self.spark.createDataFrame([values], RUN_EVENTS)
-        event.coalesce(1).write.mode("append").parquet(self.path)
+        literal(self.spark, [values], RUN_EVENTS).write.mode("append").parquet(self.path)
 
     def runs(self) -> DataFrame:
         return current_runs(self.spark.read.schema(RUN_EVENTS).parquet(self.path))

@@ -9,7 +9,6 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.functions.dates import parse_day
 from stayline.functions.rules import BOOKING_KEY
 from stayline.operators.conform import (
     add_date_parts,
@@ -21,9 +20,9 @@ from stayline.operators.conform import (
     raw_lines,
     rate_as_of,
     to_local_currency,
+    with_parsed,
 )
 from stayline.operators.ordered import assign_keys
-from stayline.operators.sides import small_side
 from stayline.sources.schemas import ARRIVAL
 from stayline.sources.store import new_version, publish, version_path
 from stayline.vocabulary import PMS, Vocabulary
@@ -42,14 +41,14 @@ class SilverCounts(NamedTuple):
 def split_unusable(raw: DataFrame, properties: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Set aside the lines no booking can be built from, each with its reason: no booking id, no readable sale date,
     a stay date that is no date, or a property the master does not list."""
-    known = small_side(properties.select("property_id").distinct()).withColumn("_known", F.lit(True))
+    known = properties.select("property_id").distinct().withColumn("_known", F.lit(True))
     reason = (
         F.when(F.col("booking_id").isNull(), "no booking id")
-        .when(parse_day(F.col("created_date_txt")).isNull(), "unreadable sale date")
-        .when(F.col("stay_date_txt").isNotNull() & parse_day(F.col("stay_date_txt")).isNull(), "unreadable stay date")
+        .when(F.col("sale_day").isNull(), "unreadable sale date")
+        .when(F.col("stay_date_txt").isNotNull() & F.col("stay_day").isNull(), "unreadable stay date")
         .when(F.col("_known").isNull(), "unknown property")
     )
-    judged = raw.join(known, "property_id", "left").withColumn("reason", reason).drop("_known")
+    judged = with_parsed(raw).join(known, "property_id", "left").withColumn("reason", reason).drop("_known")
     return judged.where(F.col("reason").isNull()).drop("reason"), judged.where(F.col("reason").isNotNull())
 
 
@@ -81,7 +80,7 @@ def build_silver(
     else:
         lines = to_local_currency(rate_as_of(lines, rates), F.col("usd_rate"), vocab=vocab).drop("usd_rate")
     # a booking's lines stay or go together, so dropping first numbers the rest no differently
-    kept = offset_collisions(keep_with_header(lines, headers), tie_break)
+    kept = offset_collisions(keep_with_header(lines, headers), tie_break, sizes_from=lines)
     # keys follow the night, so files hold neighbouring nights and their min/max statistics prune scans
     keyed = assign_keys(kept, ["stay_date", *BOOKING_KEY, "room_number", *tie_break], "line_id")
     nights = write(

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.functions.dates import month_bounds, month_of, parse_day
+from stayline.operators.conform import with_parsed
 from stayline.sources import schemas
 from stayline.sources.store import child_folders, drop_folder, work_path
 
@@ -39,11 +40,11 @@ def read_export(
 
 
 def stamp(batch: DataFrame, batch_id: str) -> DataFrame:
-    """Add arrival order, parsed night and the partition columns to the 23 source columns, which stay unchanged."""
-    parsed = batch.select(*schemas.RAW_COLUMNS).withColumns(
-        {"ingest_seq": F.monotonically_increasing_id(), "stay_day": parse_day(F.col("stay_date_txt"))}
+    """Add arrival order, parsed dates and the partition columns to the 23 source columns, which stay unchanged."""
+    arrived = batch.select(*schemas.RAW_COLUMNS).withColumn("ingest_seq", F.monotonically_increasing_id())
+    return with_parsed(arrived).withColumns(
+        {"stay_month": month_of(F.col("stay_day")), "batch_id": F.lit(batch_id)}
     )
-    return parsed.withColumns({"stay_month": month_of(F.col("stay_day")), "batch_id": F.lit(batch_id)})
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:

@@ -29,8 +29,11 @@ RAW_FIELDS = [
 ]
 RAW_COLUMNS = [name for name, _ in RAW_FIELDS]
 RAW_STAYS = ", ".join(f"{name} {kind}" for name, kind in RAW_FIELDS)
-# added at landing: order of arrival inside a batch, the parsed night, and the two partition columns
-BRONZE = RAW_STAYS + ", ingest_seq bigint, stay_day date, stay_month int, batch_id string"
+# added at landing: order of arrival inside a batch, parsed dates, and the two partition columns
+BRONZE = (
+    RAW_STAYS
+    + ", ingest_seq bigint, sale_day date, sale_seconds int, stay_day date, stay_month int, batch_id string"
+)
 ARRIVAL = ["batch_id", "ingest_seq"]
 
 PROPERTIES = """

@@ -15,9 +15,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.operators.conform import backfill_headers
-from stayline.operators.dimensions import latest_agents
+from stayline.operators.dimensions import channel_dim, latest_agents
+from stayline.operators.sides import literal
 from stayline.vocabulary import Vocabulary
 
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 LENS = Vocabulary(
     unpaid="Unpaid",
     held="Held",
@@ -163,7 +174,7 @@ class Warehouse:
     folder: str
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def _view(self, table: str, columns: dict[str, str]) -> DataFrame:
         return self.table(table).selectExpr(*projection(columns, "timestamp_ntz"))
@@ -201,13 +212,12 @@ class Warehouse:
 
     @cached_property
     def channels(self) -> DataFrame:
-        rows = [(number, *pair, True) for number, pair in enumerate(CHANNELS, start=1)]
-        return self.spark.createDataFrame(rows, "channel_id bigint, channel string, area string, active boolean")
+        return channel_dim(self.spark, CHANNELS)
 
     @cached_property
     def room_types(self) -> DataFrame:
         """The room-type dimension as it would lie stored."""
-        return self.spark.createDataFrame([*ROOM_TYPES, ("RO", LENS.other)], "room_type string, category string")
+        return literal(self.spark, [*ROOM_TYPES, ("RO", LENS.other)], "room_type string, category string")
 
     @cached_property
     def agents(self) -> DataFrame:
