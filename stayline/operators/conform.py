@@ -30,11 +30,12 @@ def with_parsed(raw: DataFrame) -> DataFrame:
     """Add the sale day, its seconds after midnight and the night of stay. Bronze stores them since landing, so that
     the rebuilds that follow every load parse nothing; lines from elsewhere are parsed here."""
     parsers = {
-        "sale_day": parse_day(F.col("created_date_txt")),
-        "sale_seconds": seconds_of_day(F.col("created_time_txt")),
-        "stay_day": parse_day(F.col("stay_date_txt")),
+        "sale_day": ("created_date_txt", parse_day),
+        "sale_seconds": ("created_time_txt", seconds_of_day),
+        "stay_day": ("stay_date_txt", parse_day),
     }
-    return raw.withColumns({name: parsed for name, parsed in parsers.items() if name not in raw.columns})
+    missing = {name: parser for name, parser in parsers.items() if name not in raw.columns and parser[0] in raw.columns}
+    return raw.withColumns({name: parse(F.col(text)) for name, (text, parse) in missing.items()})
 
 
 def with_created(raw: DataFrame) -> DataFrame:
