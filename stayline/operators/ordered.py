@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.operators.sides import literal
-from stayline.sources.store import checkpointed
+from stayline.sources.store import stored
 
 HEAVY_ROWS = 5_000_000
 BUCKETS = 65_536
@@ -69,7 +69,7 @@ def _number_sliced(df, keys, order, number, previous, slices) -> DataFrame:
         .sortWithinPartitions(*[F.col(key) for key in keys], *order)
         .withColumn("_pos", F.monotonically_increasing_id())
     )
-    placed = checkpointed(sorted_rows).withColumn("_slice", F.shiftright("_pos", _ROW_BITS))
+    placed = stored(sorted_rows, "slices").withColumn("_slice", F.shiftright("_pos", _ROW_BITS))
 
     tail = F.struct(F.lit(True).alias("_any"), *[F.col(source).alias(name) for name, source in previous.items()])
     by_slice = Window.partitionBy(*keys).orderBy("_slice")
@@ -109,9 +109,9 @@ def assign_keys(df: DataFrame, natural_key: Sequence[str], id_column: str, start
     Range-sorted partitions number their own rows; the driver adds up one row count per partition.
     """
     order = [F.col(key) for key in natural_key]
-    placed = checkpointed(
-        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_pos", F.monotonically_increasing_id())
-    ).withColumn("_slice", F.shiftright("_pos", _ROW_BITS))
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = stored(ordered.withColumn("_pos", F.monotonically_increasing_id()), "keys")
+    placed = numbered.withColumn("_slice", F.shiftright("_pos", _ROW_BITS))
     counts = placed.groupBy("_slice").count().orderBy("_slice").collect()
     offsets, total = [], start
     for row in counts:

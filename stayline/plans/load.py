@@ -21,6 +21,7 @@ from stayline.operators.dimensions import (
 from stayline.plans.gold import refresh_gold
 from stayline.plans.runlog import RunLog
 from stayline.plans.silver import DEFAULT_RATE, SilverCounts, build_silver
+from stayline.session import tuned
 from stayline.sources.bronze import Reload, read_bronze, reload_window
 from stayline.sources.store import child_folders, new_version, publish, read_published, version_path
 from stayline.vocabulary import CHANNEL_SEED, PMS, ROOM_TYPE_SEED, Vocabulary
@@ -64,6 +65,7 @@ def run_load(
     vocab: Vocabulary = PMS,
 ) -> LoadResult:
     """Replace a window of bronze and rebuild everything that depends on it. `root` holds one folder per layer."""
+    tuned(spark)
     bronze, silver, dims, gold = (f"{root}/{layer}" for layer in ("bronze", "silver", "dimensions", "gold"))
     log = RunLog(spark, f"{root}/run_log")
     with log.step("load_raw", "RELOAD_WINDOW", f"{low} to {high}") as step:

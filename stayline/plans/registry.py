@@ -18,6 +18,7 @@ from stayline.operators.sides import literal
 from stayline.plans.gold import refresh_gold
 from stayline.plans.runlog import RunLog, recent_runs, run_stats
 from stayline.plans.silver import build_silver
+from stayline.session import tuned
 from stayline.sources import bronze, master, schemas
 from stayline.sources.store import read_published, work_path
 from stayline.sources.testdata import (
@@ -400,4 +401,4 @@ def presented(df: DataFrame) -> DataFrame:
 
 
 def as_query(job: Callable[[Warehouse], DataFrame]):
-    return lambda spark, folder: presented(job(Warehouse(spark, folder)))
+    return lambda spark, folder: presented(job(Warehouse(tuned(spark), folder)))

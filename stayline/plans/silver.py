@@ -66,7 +66,7 @@ def build_silver(
     def write(table: str, frame: DataFrame) -> DataFrame:
         path = version_path(out, version, table)
         frame.write.parquet(path)
-        return spark.read.parquet(path)
+        return spark.read.schema(frame.schema).parquet(path)
 
     usable, unusable = split_unusable(raw, properties)
     quarantine = write("quarantine", unusable)

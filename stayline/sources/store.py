@@ -31,13 +31,12 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/stayline/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write once to the shared folder, so later readers all see the same rows in the same partitions."""
-    shared_root(df.sparkSession)
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write once to the shared folder and go on from there, so that every later reader sees the same rows and a lost
+    executor costs no more than re-reading its files."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def new_version() -> str:
