@@ -132,15 +132,23 @@ def is_dollar(vocab: Vocabulary = PMS) -> Column:
 
 
 def to_local_currency(
-    lines: DataFrame, rate: Decimal | Column, money: str = LINE_MONEY, vocab: Vocabulary = PMS
+    lines: DataFrame, rate: Decimal | Column, money: str = LINE_MONEY, vocab: Vocabulary = PMS,
+    unit_price_as: str | None = None,
 ) -> DataFrame:
-    """Bring dollar totals to local currency; unknown currencies count as local. The unit price keeps its currency.
+    """Bring dollar totals to local currency; unknown currencies count as local.
 
-    `rate` is one rate for the run or a column, such as the one `rate_as_of` adds.
+    The unit price keeps its currency, unless `unit_price_as` names a column for its converted value. `rate` is one
+    rate for the run or a column, such as the one `rate_as_of` adds.
     """
     factor = rate if isinstance(rate, Column) else F.lit(Decimal(rate))
-    total = F.when(is_dollar(vocab), F.col("total") * factor).otherwise(F.col("total"))
-    return lines.withColumn("total", total.cast(money))
+
+    def local(amount: str) -> Column:
+        return F.when(is_dollar(vocab), F.col(amount) * factor).otherwise(F.col(amount)).cast(money)
+
+    converted = {"total": local("total")}
+    if unit_price_as:
+        converted[unit_price_as] = local("unit_price")
+    return lines.withColumns(converted)
 
 
 def rate_as_of(lines: DataFrame, rates: DataFrame, sale_date: str = "created_date") -> DataFrame:

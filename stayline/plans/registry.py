@@ -20,7 +20,7 @@ from stayline.plans.runlog import RunLog, recent_runs, run_stats
 from stayline.plans.silver import build_silver
 from stayline.session import tuned
 from stayline.sources import bronze, master, schemas
-from stayline.sources.store import read_published, work_path
+from stayline.sources.store import read_published, stored, work_path
 from stayline.sources.testdata import (
     CHANNELS,
     INTERNAL,
@@ -132,9 +132,7 @@ def date_parts(w: Warehouse) -> DataFrame:
 
 def _silver(w: Warehouse):
     """Silver from a stored copy of the raw lines, as bronze would hold them."""
-    stored, out = work_path(w.spark, "raw"), work_path(w.spark, "silver")
-    conform.with_parsed(w.raw_stays).write.parquet(stored)
-    raw = w.spark.read.parquet(stored)
+    raw, out = stored(conform.with_parsed(w.raw_stays), "raw"), work_path(w.spark, "silver")
     return out, build_silver(w.spark, raw, w.properties, out, RATE, tie_break=TIE_BREAK, vocab=LENS)
 
 
@@ -278,9 +276,10 @@ def post_stay_contacts(w: Warehouse) -> DataFrame:
 
 
 def health_report(w: Warehouse) -> DataFrame:
+    """All checks at once, with the headers stored as silver would hold them."""
     f = w.with_faults()
     return quality.health_report(
-        f.raw_stays, f.guests, f.headers, f.stay_nights, f.properties, f.channels, f.agents, f.room_types, f.runs,
+        f.raw_stays, f.guests, stored(f.headers, "headers"), f.stay_nights, f.properties, f.channels, f.agents, f.room_types, f.runs,
         RUN_AS_OF, HEALTH_PROCESS,
     )
 

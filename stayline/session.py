@@ -21,12 +21,15 @@ def tuned(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", java_options: str = ""
+) -> SparkSession:
     """Single-machine session for tests and the benchmark."""
     return tuned(
         SparkSession.builder.master(f"local[{cores}]")
         .appName("stayline")
         .config("spark.driver.memory", memory)
+        .config("spark.driver.extraJavaOptions", java_options)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")

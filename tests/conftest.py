@@ -10,7 +10,8 @@ from stayline.sources import schemas
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, shuffle_partitions=4, memory="6g")
+    # many tiny queries: compiling them well costs more than it saves
+    session = local_session(8, shuffle_partitions=2, memory="6g", java_options="-XX:TieredStopAtLevel=1")
     session.sparkContext.setLogLevel("ERROR")
     return session
 

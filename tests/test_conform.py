@@ -72,6 +72,8 @@ def test_dollars_in_any_spelling_are_converted(raw):
     got = conform.to_local_currency(lines, Decimal("3.75")).orderBy("ingest_seq").collect()
     assert [r.total for r in got] == [Decimal("37.52")] * 4 + [Decimal("10.01")] * 2
     assert {r.unit_price for r in got} == {Decimal("100")}
+    priced = conform.to_local_currency(lines, Decimal("3.75"), unit_price_as="unit_price_local").orderBy("ingest_seq")
+    assert [r.unit_price_local for r in priced.collect()] == [Decimal("375.00")] * 4 + [Decimal("100.00")] * 2
 
 
 def test_rate_as_of_takes_the_latest_known_rate(raw, table):
