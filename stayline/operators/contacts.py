@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayline.functions.dates import month_bounds
 from stayline.functions.rules import BOOKING_KEY
 from stayline.functions.text import given_names, mobile_number
 from stayline.operators.ordered import HEAVY_ROWS, rank_within
@@ -22,7 +23,8 @@ def post_stay_contacts(
 
     Each guest counts once, with the stay of the highest total; unusable numbers are dropped after that.
     """
-    checkouts = [as_of.replace(day=day) for day in days]
+    first, following = month_bounds(as_of)
+    checkouts = [day for day in (first + dt.timedelta(days=number - 1) for number in days) if day < following]
     left = bookings.where(F.col("checkout").isin(*checkouts) & ~F.col("property_id").isin(*excluded))
     # a null total ranks below every amount
     best = F.struct(

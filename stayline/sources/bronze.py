@@ -40,7 +40,11 @@ def read_export(
 
 
 def stamp(batch: DataFrame, batch_id: str) -> DataFrame:
-    """Add arrival order, parsed dates and the partition columns to the 23 source columns, which stay unchanged."""
+    """Add arrival order, parsed dates and the partition columns to the 23 source columns, which stay unchanged.
+
+    Arrival order is that of the files read. A batch that comes out of a shuffle has none until it is written, so store
+    it first where equal lines must be told apart.
+    """
     arrived = batch.select(*schemas.RAW_COLUMNS).withColumn("ingest_seq", F.monotonically_increasing_id())
     return with_parsed(arrived).withColumns(
         {"stay_month": month_of(F.col("stay_day")), "batch_id": F.lit(batch_id)}
