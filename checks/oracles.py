@@ -313,9 +313,13 @@ _QUERIES = {
     "channel_dim": """SELECT channel, CAST(channel_id AS BIGINT) AS channel_id, coalesce(area, 'Unclassified') AS area,
         CASE WHEN area IS NOT NULL THEN true END AS active, count(*) AS bookings
         FROM bookings LEFT JOIN channels USING (channel) GROUP BY ALL""",
-    "agent_dim": """SELECT row_number() OVER (ORDER BY agent_src_id) AS agent_id, agent_src_id, agent_name, area,
-        true AS active, TIMESTAMP '2024-01-31 00:00:00' AS created_at
-        FROM agents WHERE agent_src_id IN (SELECT agent_src_id FROM raw)""",
+    # from the raw lines: a sale without lines never reaches bronze
+    "agent_dim": f"""SELECT row_number() OVER (ORDER BY agent_src_id) AS agent_id, agent_src_id,
+        {_title('agent_name')} AS agent_name, coalesce(area, 'Unclassified') AS area, true AS active,
+        TIMESTAMP '2024-01-31 00:00:00' AS created_at
+        FROM (SELECT DISTINCT agent_src_id, agent_name, channel FROM (SELECT agent_src_id, agent_name, channel, rank() OVER (
+            PARTITION BY agent_src_id ORDER BY created_date DESC, created_time_txt DESC, src_order DESC) AS place
+            FROM raw WHERE agent_src_id > 0) WHERE place = 1) LEFT JOIN channels USING (channel)""",
     "room_type_dim": """SELECT row_number() OVER (ORDER BY room_type) AS room_type_id, room_type, category, true AS active
         FROM room_types""",
     "dim_refresh": """SELECT row_number() OVER (ORDER BY first <> 1995, national_id) AS guest_key, national_id FROM (
