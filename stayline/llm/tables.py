@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from stayline.sources.store import stored, work_path
 
@@ -34,9 +36,9 @@ def as_bytes(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
-def map_batches(df: DataFrame, function: Callable[[pa.Table], dict | None], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], dict | None], schema: str | StructType) -> DataFrame:
     """Apply `function` to each Arrow batch; it returns columns by name in the order of `schema`, or None."""
-    target = _arrow_schema(df.sparkSession, schema)
+    target = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -53,13 +55,6 @@ def _array(values, kind: pa.DataType) -> pa.Array:
     return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
 
 
-def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    return to_arrow_schema(StructType.fromDDL(schema))
-
-
 def blocks(total: int, size: int) -> int:
     """Number of blocks of about `size` rows that hold `total` rows, one at least."""
     return max(1, -(-total // size))
