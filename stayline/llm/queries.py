@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from stayline.llm import decontaminate
 from stayline.llm.decontaminate import op10_decontaminate
+from stayline.llm.direct_codes import op4_direct_codes
 from stayline.llm.language_mix import op7_language_mix
 from stayline.llm.line_crf import op1_line_crf
 from stayline.llm.packing import op6_pack_genetic
@@ -12,6 +13,7 @@ from stayline.llm.simhash import op8_simhash
 
 QUERIES = {
     "op1_line_crf": op1_line_crf,
+    "op4_direct_codes": op4_direct_codes,
     "op5_rendezvous": op5_rendezvous,
     "op6_pack_genetic": op6_pack_genetic,
     "op7_language_mix": op7_language_mix,
