@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stayline.llm import decontaminate
+from stayline.llm import decontaminate, warc
 from stayline.llm.decontaminate import op10_decontaminate
 from stayline.llm.direct_codes import op4_direct_codes
 from stayline.llm.language_mix import op7_language_mix
@@ -10,9 +10,11 @@ from stayline.llm.line_crf import op1_line_crf
 from stayline.llm.packing import op6_pack_genetic
 from stayline.llm.rendezvous import op5_rendezvous
 from stayline.llm.simhash import op8_simhash
+from stayline.llm.warc import op3_warc_revisits
 
 QUERIES = {
     "op1_line_crf": op1_line_crf,
+    "op3_warc_revisits": op3_warc_revisits,
     "op4_direct_codes": op4_direct_codes,
     "op5_rendezvous": op5_rendezvous,
     "op6_pack_genetic": op6_pack_genetic,
@@ -22,5 +24,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_warc_revisits": warc.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
 }
