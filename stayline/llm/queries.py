@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from stayline.llm import decontaminate, warc
+from stayline.llm import decontaminate, line_dedup, warc
 from stayline.llm.decontaminate import op10_decontaminate
 from stayline.llm.direct_codes import op4_direct_codes
 from stayline.llm.language_mix import op7_language_mix
 from stayline.llm.line_crf import op1_line_crf
+from stayline.llm.line_dedup import op2_line_dedup
 from stayline.llm.packing import op6_pack_genetic
 from stayline.llm.rendezvous import op5_rendezvous
 from stayline.llm.simhash import op8_simhash
@@ -14,6 +15,7 @@ from stayline.llm.warc import op3_warc_revisits
 
 QUERIES = {
     "op1_line_crf": op1_line_crf,
+    "op2_line_dedup": op2_line_dedup,
     "op3_warc_revisits": op3_warc_revisits,
     "op4_direct_codes": op4_direct_codes,
     "op5_rendezvous": op5_rendezvous,
@@ -24,6 +26,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_line_dedup": line_dedup.ORACLE,
     "op3_warc_revisits": warc.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
 }
