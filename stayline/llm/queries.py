@@ -8,6 +8,7 @@ from stayline.llm.direct_codes import op4_direct_codes
 from stayline.llm.language_mix import op7_language_mix
 from stayline.llm.line_crf import op1_line_crf
 from stayline.llm.line_dedup import op2_line_dedup
+from stayline.llm.ngram_trie import op9_ngram_trie
 from stayline.llm.packing import op6_pack_genetic
 from stayline.llm.rendezvous import op5_rendezvous
 from stayline.llm.simhash import op8_simhash
@@ -22,6 +23,7 @@ QUERIES = {
     "op6_pack_genetic": op6_pack_genetic,
     "op7_language_mix": op7_language_mix,
     "op8_simhash": op8_simhash,
+    "op9_ngram_trie": op9_ngram_trie,
     "op10_decontaminate": op10_decontaminate,
 }
 
