@@ -2,24 +2,20 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.functions.dates import moment, parse_day, seconds_of_day
 from stayline.functions.rules import BOOKING_KEY
 from stayline.functions.text import country_of, title_case
-from stayline.operators.ordered import HEAVY_ROWS, rank_within
-from stayline.operators.sides import literal
+from stayline.operators.ordered import rank_within
+from stayline.sources.master import check_key
 from stayline.sources.schemas import ARRIVAL, HEADER_MONEY, LINE_MONEY
 from stayline.vocabulary import PMS, Vocabulary
 
-# a century of days
-CALENDAR_ROWS = 36_525
-
 
 def _null_last(column: str) -> list[Column]:
     """Two fields that make a smallest-struct pick prefer any value over null."""
@@ -109,22 +105,18 @@ def dedup_bookings(raw: DataFrame, guests: DataFrame, tie_break: Sequence[str] =
 def offset_collisions(
     lines: DataFrame,
     tie_break: Sequence[str] = ARRIVAL,
-    keys: Sequence[str] = (*BOOKING_KEY, "stay_date", "room_number"),
-    heavy_rows: int = HEAVY_ROWS,
-    sizes_from: DataFrame | None = None,
+    keys: Sequence[str] = ("stay_date", *BOOKING_KEY, "room_number"),
+    line_id: str | None = None,
 ) -> DataFrame:
     """Keep every line of a room billed more than once a night: the nth one moves to room + 1000 * (n - 1).
 
-    Lines without a room number have nothing to move, so they skip the numbering.
+    Lines without a room number have nothing to move and keep it null. `line_id` names a column for a dense number of
+    all lines in the same order, which costs nothing more.
     """
-    columns = lines.columns
     order = [F.col("room_type").asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie_break]]
-    roomed = F.col("room_number").isNotNull()
-    sizes = None if sizes_from is None else sizes_from.where(roomed)
-    numbered = rank_within(lines.where(roomed), keys, order, "_nth", heavy_rows=heavy_rows, sizes_from=sizes)
+    numbered = rank_within(lines, keys, order, "_nth", position=line_id)
     moved = (F.col("room_number") + 1000 * (F.col("_nth") - 1)).cast("int")
-    placed = numbered.withColumn("room_number", moved).select(*columns)
-    return placed.unionByName(lines.where(~roomed))
+    return numbered.withColumn("room_number", moved).drop("_nth")
 
 
 def is_dollar(vocab: Vocabulary = PMS) -> Column:
@@ -151,24 +143,25 @@ def to_local_currency(
     return lines.withColumns(converted)
 
 
-def rate_as_of(lines: DataFrame, rates: DataFrame, sale_date: str = "created_date") -> DataFrame:
-    """Add `usd_rate`, the latest rate on or before the sale date (null before the first one).
+def rate_as_of(
+    lines: DataFrame, rates: DataFrame, before: Decimal | None = None, sale_date: str = "created_date"
+) -> DataFrame:
+    """Add `usd_rate`, the latest rate on or before the sale date; `before` serves the sales before the first one.
 
-    `rates` has one row per `rate_date`, so it is never longer than the calendar. It is stretched to one row per
-    day, which turns the as-of match into an equality join; the newest rate stays open-ended.
+    `rates` has one row per `rate_date`, which is checked, so it is never longer than the calendar. It is stretched to
+    one row per day up to the newest rate, which turns the as-of match into an equality join; the newest stays open.
     """
-    known = rates.select("rate_date", "usd_rate").orderBy("rate_date").head(CALENDAR_ROWS + 1)
-    if len(known) > CALENDAR_ROWS:
-        raise ValueError("the rate table has more rows than a calendar has days")
-    spans = [(a[0], b[0] - dt.timedelta(days=1), a[1]) for a, b in zip(known, known[1:])]
-    kind = rates.schema["usd_rate"].dataType.simpleString()
-    daily = literal(lines.sparkSession, spans, f"low date, high date, usd_rate {kind}").select(
-        F.explode(F.sequence("low", "high")).alias(sale_date), "usd_rate"
+    known = check_key(rates.select("rate_date", "usd_rate").where("rate_date IS NOT NULL"), ["rate_date"], "rates")
+    following = F.lead("rate_date").over(Window.orderBy("rate_date"))
+    spans = known.withColumn("_until", F.date_sub(following, 1)).where("_until IS NOT NULL")
+    daily = spans.select(F.explode(F.sequence("rate_date", "_until")).alias(sale_date), F.col("usd_rate").alias("_rate"))
+    newest = known.agg(F.max("rate_date").alias("day")).scalar()
+    open_rate = known.agg(F.max_by("usd_rate", "rate_date").alias("rate")).scalar()
+    kind = rates.schema["usd_rate"].dataType
+    dated = lines.join(daily, sale_date, "left").withColumn(
+        "usd_rate",
+        F.coalesce("_rate", F.when(F.col(sale_date) >= newest, open_rate), F.lit(before).cast(kind)),
     )
-    dated = lines.join(daily, sale_date, "left")
-    if known:
-        open_ended = F.when(F.col(sale_date) >= F.lit(known[-1][0]), F.lit(known[-1][1]))
-        dated = dated.withColumn("usd_rate", F.coalesce("usd_rate", open_ended))
     return dated.select(*lines.columns, "usd_rate")
 
 
@@ -185,7 +178,8 @@ def header_totals(lines: DataFrame, money: str = HEADER_MONEY) -> DataFrame:
             F.sum("total").cast(money).alias("booking_total"),
             F.min("stay_date").alias("checkin"),
             F.date_add(F.max("stay_date"), 1).alias("checkout"),
-            F.count_distinct("stay_date").alias("stay_days"),
+            # no more days than a calendar has, and one shuffle where a distinct count takes two
+            F.size(F.collect_set("stay_date")).cast("bigint").alias("stay_days"),
         )
     )
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from stayline.functions.dates import month_bounds
 from stayline.functions.rules import BOOKING_KEY
 from stayline.functions.text import given_names, mobile_number
-from stayline.operators.ordered import HEAVY_ROWS, rank_within
+from stayline.operators.ordered import rank_within
+from stayline.sources.store import stored
 from stayline.vocabulary import INTERNAL_PROPERTIES, SURVEY_DAYS
 
 
@@ -48,7 +49,7 @@ def stays(bookings: DataFrame) -> DataFrame:
     return bookings.where(F.col("checkin").isNotNull()).select("guest_id", *BOOKING_KEY, "checkin", "checkout")
 
 
-def stay_pairs(bookings: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def stay_pairs(bookings: DataFrame) -> DataFrame:
     """Pairs of an earlier and a later stay of one guest, told without listing them.
 
     Pairing every stay with every later one grows with the square of a guest's stays. All pairs that share a later
@@ -56,7 +57,8 @@ def stay_pairs(bookings: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     earlier check-in. So there is one row per later stay: how many stays it pairs with, and which positions its
     pairs take among the guest's pairs in order of check-in. Guests with one pair only are left out.
     """
-    all_stays = stays(bookings)
+    # set down once: the headers may be a view over all lines
+    all_stays = stored(stays(bookings), "stays")
     # one row per guest and day, hence never more rows per guest than the calendar has days
     days = all_stays.groupBy("guest_id", "checkin").agg(F.count("*").alias("same_day"))
     by_day = Window.partitionBy("guest_id").orderBy("checkin")
@@ -69,9 +71,7 @@ def stay_pairs(bookings: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
             "guest_pairs": F.sum("pairs").over(Window.partitionBy("guest_id")),
         }
     ).where((F.col("earlier_stays") > 0) & (F.col("guest_pairs") > 1))
-    numbered = rank_within(
-        all_stays, ["guest_id", "checkin"], [F.col(key) for key in BOOKING_KEY], "_nth", heavy_rows=heavy_rows
-    )
+    numbered = rank_within(all_stays, ["guest_id", "checkin"], [F.col(key) for key in BOOKING_KEY], "_nth")
     last = F.col("pairs_before") + F.col("_nth") * F.col("earlier_stays")
     return numbered.join(days, ["guest_id", "checkin"]).select(
         "guest_id",
@@ -85,12 +85,12 @@ def stay_pairs(bookings: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     )
 
 
-def return_intervals(bookings: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def return_intervals(bookings: DataFrame) -> DataFrame:
     """Days between consecutive stays of each guest who came back, one row per return."""
     order = [F.col("checkin"), *[F.col(key) for key in BOOKING_KEY]]
     numbered = rank_within(
         stays(bookings), ["guest_id"], order, "stay_no",
-        previous={"previous_checkin": "checkin", "previous_checkout": "checkout"}, heavy_rows=heavy_rows,
+        previous={"previous_checkin": "checkin", "previous_checkout": "checkout"},
     )
     return numbered.where(F.col("stay_no") > 1).select(
         "guest_id",

@@ -1,106 +1,114 @@
 """Numbering and looking back inside groups, for data in which one group may hold a third of all rows.
 
-A plain window sorts each group in one task. That is right for ordinary groups, so they take it. Groups in heavy
-hash buckets are cut into range-sorted slices instead: each slice is numbered on its own, and what a slice needs
-from the ones before it (how many rows, which row came last) is one small row per slice.
+Rows are range-sorted by group and order, so a large group lies in several slices and a slice is bounded, whatever the
+groups are. Each slice is numbered on its own. Only the group that reaches over the end of a slice matters to the next
+one, so slices exchange one small row each: which group ends them, how many of its rows they hold, and the last row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from stayline.operators.sides import literal
 from stayline.sources.store import stored
 
-HEAVY_ROWS = 5_000_000
-BUCKETS = 65_536
 # monotonically_increasing_id keeps the partition above bit 33 and the row inside the partition below it
 _ROW_BITS = 33
 
 
+def _sorted_slices(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Rows in order, stored, with their position and the slice it lies in."""
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = stored(ordered.withColumn("_pos", F.monotonically_increasing_id()), name)
+    return placed.withColumn("_slice", F.shiftright("_pos", _ROW_BITS))
+
+
+def _starts(rows: Sequence[Row], start: int) -> list[tuple[int, int]]:
+    """Number of the first row of each slice, from the slices' sizes in order."""
+    starts, total = [], start
+    for row in rows:
+        starts.append((row["_slice"], total))
+        total += row["_rows"]
+    return starts
+
+
 def rank_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    number: str,
-    previous: Mapping[str, str] | None = None,
-    heavy_rows: int = HEAVY_ROWS,
-    sizes_from: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], number: str, previous: Mapping[str, str] | None = None,
+    position: str | None = None,
 ) -> DataFrame:
-    """Add the 1-based position of each row in its group, and columns of the row before it.
+    """Add the 1-based place of each row in its group, and columns of the row before it.
 
-    `order` must be total inside a group, that is end in something unique. `previous` maps a new column to the
-    column it takes from the preceding row. Group sizes are taken from `df` unless `sizes_from` names a frame that is
-    cheaper to read and holds at least the same groups.
+    `order` must be total inside a group, that is end in something unique. `previous` maps a new column to the column it
+    takes from the preceding row. `position` names a column for the 1-based place among all rows, by keys and order.
     """
     previous = dict(previous or {})
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
-    heavy = _heavy_buckets(df if sizes_from is None else sizes_from, bucket, heavy_rows)
-    if not heavy:
-        return _number_whole(df, keys, order, number, previous)
-    codes = [code for code, _ in heavy]
-    slices = max(2, 1 + sum(rows for _, rows in heavy) // heavy_rows)
-    light = _number_whole(df.where(~bucket.isin(codes)), keys, order, number, previous)
-    dense = _number_sliced(df.where(bucket.isin(codes)), keys, order, number, previous, slices)
-    return light.unionByName(dense)
-
-
-def _heavy_buckets(df: DataFrame, bucket: Column, heavy_rows: int) -> list[tuple[int, int]]:
-    """Buckets far above the others; at most BUCKETS numbers reach the driver, whatever the data size."""
-    rows = df.groupBy(bucket.alias("code")).count().where(F.col("count") > heavy_rows).collect()
-    mean = sum(row["count"] for row in rows) / BUCKETS
-    limit = max(heavy_rows, 4 * mean)
-    return [(row["code"], row["count"]) for row in rows if row["count"] > limit]
-
-
-def _number_whole(df, keys, order, number, previous) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*order)
-    looked_back = {name: F.lag(source).over(window) for name, source in previous.items()}
-    return df.withColumns({number: F.row_number().over(window).cast("long"), **looked_back})
-
-
-def _number_sliced(df, keys, order, number, previous, slices) -> DataFrame:
-    columns = df.columns
-    sorted_rows = (
-        df.repartitionByRange(slices, *[F.col(key) for key in keys], *order)
-        .sortWithinPartitions(*[F.col(key) for key in keys], *order)
-        .withColumn("_pos", F.monotonically_increasing_id())
-    )
-    placed = stored(sorted_rows, "slices").withColumn("_slice", F.shiftright("_pos", _ROW_BITS))
-
+    placed = _sorted_slices(df, [*[F.col(key) for key in keys], *order], "slices")
+    group = F.struct(*keys)
     tail = F.struct(F.lit(True).alias("_any"), *[F.col(source).alias(name) for name, source in previous.items()])
-    by_slice = Window.partitionBy(*keys).orderBy("_slice")
-    # a slice holds at most one group that began before it, so this leaves at most `slices` rows
-    carried = (
-        placed.groupBy(*keys, "_slice")
-        .agg(F.count("*").alias("_n"), F.max_by(tail, F.col("_pos")).alias("_tail"))
-        .select(
-            *[F.col(key).alias(f"_key_{key}") for key in keys],
-            F.col("_slice").alias("_key_slice"),
-            F.sum("_n").over(by_slice.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
-            F.lag("_tail").over(by_slice).alias("_carry"),
-        )
-        .where(F.col("_before") > 0)
+    ends = placed.groupBy("_slice").agg(
+        F.count("*").alias("_rows"),
+        F.min_by(group, "_pos").alias("_first"),
+        F.max_by(group, "_pos").alias("_last"),
+        F.max_by(tail, "_pos").alias("_tail"),
     )
-    same_group = F.col("_slice") == F.col("_key_slice")
+    summary = ends.orderBy("_slice").collect()
+    last = StructType([StructField("_slice", LongType()), *[StructField(f"_last_{k}", df.schema[k].dataType) for k in keys]])
+    lasts = literal(df.sparkSession, [(row["_slice"], *row["_last"]) for row in summary], last)
+    in_last = F.lit(True)
     for key in keys:
-        same_group &= F.col(key).eqNullSafe(F.col(f"_key_{key}"))
+        in_last &= F.col(key).eqNullSafe(F.col(f"_last_{key}"))
+    sizes = placed.join(lasts, "_slice").where(in_last).groupBy("_slice").count().collect()
+    carried = _carried(summary, {row["_slice"]: row["count"] for row in sizes})
+
+    kinds = [StructField(name, df.schema[source].dataType) for name, source in previous.items()]
+    starts = dict(_starts(summary, 1))
+    rows = [
+        (at, starts[at], *(carried.get(at) or (None, *[None] * (len(keys) + len(previous))))) for at in starts
+    ]
+    schema = StructType(
+        [
+            StructField("_slice", LongType()), StructField("_start", LongType()), StructField("_before", LongType()),
+            *[StructField(f"_key_{key}", df.schema[key].dataType) for key in keys],
+            *[StructField(f"_carry_{kind.name}", kind.dataType) for kind in kinds],
+        ]
+    )
+    # one row per slice, of known size: the planner broadcasts it while that is small
+    slices = literal(df.sparkSession, rows, schema)
+    goes_on = F.col("_before").isNotNull()
+    for key in keys:
+        goes_on &= F.col(key).eqNullSafe(F.col(f"_key_{key}"))
     inside = Window.partitionBy(*keys, "_slice").orderBy("_pos")
     local = placed.withColumns(
         {
             "_local": F.row_number().over(inside).cast("long"),
             **{f"_back_{name}": F.lag(source).over(inside) for name, source in previous.items()},
         }
-    )
-    first = F.col("_local") == 1
-    return local.join(F.broadcast(carried), same_group, "left").select(
-        *columns,
-        (F.coalesce(F.col("_before"), F.lit(0)) + F.col("_local")).alias(number),
-        *[F.when(first, F.col(f"_carry.{name}")).otherwise(F.col(f"_back_{name}")).alias(name) for name in previous],
-    )
+    ).join(slices, "_slice")
+    first = (F.col("_local") == 1) & goes_on
+    columns = [
+        *df.columns,
+        (F.when(goes_on, F.col("_before")).otherwise(0) + F.col("_local")).alias(number),
+        *[F.when(first, F.col(f"_carry_{name}")).otherwise(F.col(f"_back_{name}")).alias(name) for name in previous],
+    ]
+    if position:
+        columns.append((F.col("_start") + F.col("_pos").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))).alias(position))
+    return local.select(*columns)
+
+
+def _carried(summary: Sequence[Row], in_last: Mapping[int, int]) -> dict[int, tuple]:
+    """For each slice whose first group began before it: rows before, the group, and the row before."""
+    carried, group, count, tail = {}, None, 0, ()
+    for row in summary:
+        if group is not None and tuple(row["_first"]) == group:
+            carried[row["_slice"]] = (count, *group, *tail)
+        went_on = group is not None and tuple(row["_last"]) == group
+        group, tail = tuple(row["_last"]), tuple(row["_tail"])[1:]
+        count = in_last[row["_slice"]] + (count if went_on else 0)
+    return carried
 
 
 def assign_keys(df: DataFrame, natural_key: Sequence[str], id_column: str, start: int = 1) -> DataFrame:
@@ -108,17 +116,8 @@ def assign_keys(df: DataFrame, natural_key: Sequence[str], id_column: str, start
 
     Range-sorted partitions number their own rows; the driver adds up one row count per partition.
     """
-    order = [F.col(key) for key in natural_key]
-    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    numbered = stored(ordered.withColumn("_pos", F.monotonically_increasing_id()), "keys")
-    placed = numbered.withColumn("_slice", F.shiftright("_pos", _ROW_BITS))
-    counts = placed.groupBy("_slice").count().orderBy("_slice").collect()
-    offsets, total = [], start
-    for row in counts:
-        offsets.append((row["_slice"], total))
-        total += row["count"]
-    starts = literal(df.sparkSession, offsets, "_slice bigint, _start bigint")
+    placed = _sorted_slices(df, [F.col(key) for key in natural_key], "keys")
+    counts = placed.groupBy("_slice").agg(F.count("*").alias("_rows")).orderBy("_slice").collect()
+    starts = literal(df.sparkSession, _starts(counts, start), "_slice bigint, _start bigint")
     inside = F.col("_pos").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return placed.join(starts, "_slice").select(
-        (F.col("_start") + inside).alias(id_column), *df.columns
-    )
+    return placed.join(starts, "_slice").select((F.col("_start") + inside).alias(id_column), *df.columns)

@@ -14,9 +14,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
-def literal(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+def literal(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
     """A table of known rows, whose exact size the planner sees."""
-    types = StructType.fromDDL(schema)
+    types = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     fields = to_arrow_schema(types)
     columns = [pa.array([row[at] for row in rows], type=field.type) for at, field in enumerate(fields)]
     return spark.createDataFrame(pa.Table.from_arrays(columns, schema=fields), types)

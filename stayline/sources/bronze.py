@@ -1,26 +1,29 @@
 """Raw room-night exports, kept as they came and replaceable by window of stay dates.
 
-Bronze is partitioned by month of stay and by batch. Clearing a window drops the months inside it and rewrites at most
-the two months it covers in part; every other month stays untouched.
+Bronze is a set of folders, one per month of stay and batch, and a manifest that lists those that count. A change writes
+new folders beside the old ones and then publishes a new manifest, so readers see the table before the change or after
+it, and a job that breaks off leaves the table as it was. Clearing a window takes the months inside it off the list and
+rewrites at most the two months it covers in part; every other month stays untouched.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.functions.dates import month_bounds, month_of, parse_day
 from stayline.operators.conform import with_parsed
+from stayline.operators.sides import literal
 from stayline.sources import schemas
-from stayline.sources.store import child_folders, drop_folder, work_path
+from stayline.sources.store import child_folders, drop_folder, new_version, publish, published_version
 
 _PARTITIONS = ["stay_month", "batch_id"]
 _NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
+_DATA, _MANIFEST = "data", "manifest"
 
 
 class Reload(NamedTuple):
@@ -28,31 +31,76 @@ class Reload(NamedTuple):
     landed: int
 
 
+class Part(NamedTuple):
+    """A folder of bronze: what wrote it, the month of stay (None where there is no readable night), and the batch."""
+
+    version: str
+    month: int | None
+    batch: str
+
+    def path(self, root: str) -> str:
+        month = _NO_MONTH if self.month is None else self.month
+        return f"{root}/{_DATA}/version={self.version}/stay_month={month}/batch_id={self.batch}"
+
+
 def read_export(
     spark: SparkSession, path: str, kind: str = "csv", renames: Mapping[str, str] | None = None
 ) -> DataFrame:
     """Read an export in its declared shape. CSV columns count by position, so odd source headers do not matter;
     Parquet columns are found by name, after `renames` (source name -> our name)."""
+    place = [F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("source_block")]
     if kind == "csv":
-        return spark.read.schema(schemas.RAW_STAYS).csv(path, header=True, mode="FAILFAST", quote='"', escape='"')
-    frame = spark.read.format(kind).load(path).withColumnsRenamed(dict(renames or {}))
-    return frame.select(*[F.col(name).cast(kind_) for name, kind_ in schemas.RAW_FIELDS])
+        read = spark.read.schema(schemas.RAW_STAYS).csv(path, header=True, mode="FAILFAST", quote='"', escape='"')
+        return read.select("*", *place)
+    named = {ours: source for source, ours in (renames or {}).items()}
+    frame = spark.read.format(kind).load(path)
+    columns = [F.col(f"`{named.get(name, name)}`").cast(kind_).alias(name) for name, kind_ in schemas.RAW_FIELDS]
+    return frame.select(*columns, *place)
 
 
 def stamp(batch: DataFrame, batch_id: str) -> DataFrame:
-    """Add arrival order, parsed dates and the partition columns to the 23 source columns, which stay unchanged.
+    """Add place of arrival, parsed dates and the partition columns to the 23 source columns, which stay unchanged.
 
-    Arrival order is that of the files read. A batch that comes out of a shuffle has none until it is written, so store
-    it first where equal lines must be told apart.
+    Lines of an export arrive in the order of files, then of blocks in a file, then of lines in a block; that is one
+    order, however many tasks read the files and wherever they cut them. Rows that come from elsewhere have no file, and
+    if they come out of a shuffle no order either until they are written, so store them first where equal lines must be
+    told apart.
     """
-    arrived = batch.select(*schemas.RAW_COLUMNS).withColumn("ingest_seq", F.monotonically_increasing_id())
+    place = {"source_file": F.lit(""), "source_block": F.lit(0).cast("bigint")}
+    known = [F.col(name) if name in batch.columns else value.alias(name) for name, value in place.items()]
+    arrived = batch.select(*schemas.RAW_COLUMNS, *known, F.monotonically_increasing_id().alias("ingest_seq"))
     return with_parsed(arrived).withColumns(
         {"stay_month": month_of(F.col("stay_day")), "batch_id": F.lit(batch_id)}
     )
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.BRONZE).parquet(path)
+    """The published table; empty where nothing was landed yet."""
+    return _read(spark, path, parts(spark, path))
+
+
+def _read(spark: SparkSession, path: str, listed: Sequence[Part]) -> DataFrame:
+    if not listed:
+        return spark.createDataFrame([], schemas.BRONZE)
+    read = spark.read.schema(schemas.BRONZE).option("basePath", f"{path}/{_DATA}")
+    return read.parquet(*[part.path(path) for part in listed]).select(*schemas.BRONZE_COLUMNS)
+
+
+def parts(spark: SparkSession, path: str) -> list[Part]:
+    """Folders of the published table: at most a calendar of months for each batch."""
+    if not child_folders(spark, path):
+        return []
+    listed = spark.read.schema(_PART).parquet(f"{path}/{_MANIFEST}/{published_version(spark, path)}")
+    return [Part(*row) for row in listed.collect()]
+
+
+_PART = "version string, stay_month int, batch_id string"
+
+
+def _publish(spark: SparkSession, path: str, version: str, listed: Sequence[Part]) -> None:
+    """One append moves all readers from the former list of folders to this one."""
+    literal(spark, [tuple(part) for part in listed], _PART).coalesce(1).write.parquet(f"{path}/{_MANIFEST}/{version}")
+    publish(spark, path, version)
 
 
 def land_raw(
@@ -65,26 +113,54 @@ def land_raw(
 
 def land_batch(batch: DataFrame, path: str, batch_id: str) -> int:
     """Append rows that are already in the declared shape."""
-    _write(batch, path, batch_id)
-    return _rows(batch.sparkSession, path, F.col("batch_id") == batch_id)
+    spark, version = batch.sparkSession, new_version()
+    kept = [part for part in parts(spark, path) if part.batch != batch_id]
+    fresh = _write(stamp(batch, batch_id), path, version)
+    _publish(spark, path, version, kept + fresh)
+    return _read(spark, path, fresh).count()
 
 
 def delete_window(spark: SparkSession, path: str, low: dt.date, high: dt.date) -> int:
     """Remove rows staying from `low` to `high`, both included; rows without a readable night stay."""
-    deleted = _rows(spark, path, _inside(low, high))
-    _clear(spark, path, low, high)
+    deleted = read_bronze(spark, path).where(_inside(low, high)).count()
+    version = new_version()
+    _publish(spark, path, version, _without(spark, path, version, parts(spark, path), low, high))
     return deleted
 
 
 def reload_window(
     spark: SparkSession, path: str, low: dt.date, high: dt.date, batch: DataFrame, batch_id: str
 ) -> Reload:
-    """Replace the window by a batch. The batch is written before anything is dropped, and running it twice
-    leaves the same table."""
-    deleted = _rows(spark, path, _inside(low, high))
-    _write(batch, path, batch_id)
-    _clear(spark, path, low, high, keep_batch=batch_id)
-    return Reload(deleted, _rows(spark, path, F.col("batch_id") == batch_id))
+    """Replace the window by a batch. The new table is complete before it is published, and running it twice leaves the
+    same table."""
+    deleted = read_bronze(spark, path).where(_inside(low, high)).count()
+    version = new_version()
+    others = [part for part in parts(spark, path) if part.batch != batch_id]
+    rest = _without(spark, path, f"{version}-rest", others, low, high)
+    fresh = _write(stamp(batch, batch_id), path, version)
+    _publish(spark, path, version, rest + fresh)
+    return Reload(deleted, _read(spark, path, fresh).count())
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Drop the folders that the newest `keep` manifests do not list, and older manifests. Returns their number.
+
+    Folders of a change that is under way carry the newest version names and are left alone.
+    """
+    published = sorted(name for name in child_folders(spark, f"{path}/{_MANIFEST}"))
+    kept = published[-keep:]
+    live = set()
+    for version in kept:
+        listed = spark.read.schema(_PART).parquet(f"{path}/{_MANIFEST}/{version}").select("version").distinct().collect()
+        live |= {row[0] for row in listed}
+    dropped = [f"{path}/{_MANIFEST}/{name}" for name in published[:-keep]]
+    for folder in child_folders(spark, f"{path}/{_DATA}"):
+        version = folder.removeprefix("version=")
+        if version not in live and kept and version < kept[-1]:
+            dropped.append(f"{path}/{_DATA}/{folder}")
+    for folder in dropped:
+        drop_folder(spark, folder)
+    return len(dropped)
 
 
 def _inside(low: dt.date, high: dt.date) -> Column:
@@ -97,69 +173,39 @@ def _number(day: dt.date) -> int:
     return day.year * 100 + day.month
 
 
-def _write(batch: DataFrame, path: str, batch_id: str) -> None:
-    spark = batch.sparkSession
-    mine = f"batch_id={batch_id}"
-    held = [folder for _, folder in _months(spark, path) if mine in child_folders(spark, folder)]
-    stamped = stamp(batch, batch_id)
-    _replace_partitions(stamped, path)
-    if held:
-        # months the batch covered before and no longer does; the calendar bounds how many there are
-        kept = {row[0] for row in stamped.select("stay_month").distinct().collect()}
-        for month, folder in _months(spark, path):
-            if folder in held and month not in kept:
-                drop_folder(spark, f"{folder}/{mine}")
-
-
-def _replace_partitions(rows: DataFrame, path: str) -> None:
+def _write(rows: DataFrame, path: str, version: str) -> list[Part]:
+    """Write rows as folders of a version; returns those that it wrote, which the calendar and the batches bound."""
     # rebalance gathers a month's rows into few files and splits a month that holds too many
-    writer = rows.hint("rebalance", F.col("stay_month")).write.partitionBy(*_PARTITIONS)
-    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-
-
-def _clear(spark: SparkSession, path: str, low: dt.date, high: dt.date, keep_batch: str | None = None) -> None:
-    """Empty the window but for one batch."""
-    keep = f"batch_id={keep_batch}"
-    touched = {m: f for m, f in _months(spark, path) if m is not None and _number(low) <= m <= _number(high)}
-    partly = []
-    for month, folder in touched.items():
-        first, following = month_bounds(dt.date(month // 100, month % 100, 1))
-        if low <= first and following - dt.timedelta(days=1) <= high:
-            for name in child_folders(spark, folder):
-                if name != keep:
-                    drop_folder(spark, f"{folder}/{name}")
-        else:
-            partly.append(month)
-    if not partly:
-        return
-    rest = read_bronze(spark, path).where(F.col("stay_month").isin(partly) & ~F.col("stay_day").between(low, high))
-    if keep_batch is not None:
-        rest = rest.where(F.col("batch_id") != keep_batch)
-    # a table cannot be overwritten while it is read, so the remaining rows are set down first
-    staging = work_path(spark, "bronze-rest")
-    rest.write.parquet(staging)
-    staged = spark.read.schema(schemas.BRONZE).parquet(staging)
-    left = {tuple(row) for row in staged.select(*_PARTITIONS).distinct().collect()}
-    _replace_partitions(staged, path)
-    for month in partly:
-        for name in child_folders(spark, touched[month]):
-            if name != keep and (month, name.removeprefix("batch_id=")) not in left:
-                drop_folder(spark, f"{touched[month]}/{name}")
-
-
-def _months(spark: SparkSession, path: str) -> list[tuple[int | None, str]]:
-    names = [name for name in child_folders(spark, path) if name.startswith("stay_month=")]
-    values = [name.removeprefix("stay_month=") for name in names]
-    return [(None if v == _NO_MONTH else int(v), f"{path}/{name}") for v, name in zip(values, names)]
-
-
-def _rows(spark: SparkSession, path: str, condition: Column) -> int:
-    try:
-        return read_bronze(spark, path).where(condition).count()
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return 0
-        raise
+    writer = rows.hint("rebalance", F.col("stay_month")).write.partitionBy(*_PARTITIONS).mode("append")
+    writer.parquet(f"{path}/{_DATA}/version={version}")
+    return _folders(rows.sparkSession, path, version)
+
+
+def _folders(spark: SparkSession, path: str, version: str) -> list[Part]:
+    found, root = [], f"{path}/{_DATA}/version={version}"
+    for month in child_folders(spark, root):
+        value = month.removeprefix("stay_month=")
+        for batch in child_folders(spark, f"{root}/{month}"):
+            found.append(Part(version, None if value == _NO_MONTH else int(value), batch.removeprefix("batch_id=")))
+    return found
+
+
+def _without(
+    spark: SparkSession, path: str, version: str, listed: Sequence[Part], low: dt.date, high: dt.date
+) -> list[Part]:
+    """The folders less the window; months that it covers in part are rewritten under `version`."""
+    kept, partly = [], []
+    for part in listed:
+        if part.month is None or not _number(low) <= part.month <= _number(high):
+            kept.append(part)
+            continue
+        first, following = month_bounds(dt.date(part.month // 100, part.month % 100, 1))
+        if not (low <= first and following - dt.timedelta(days=1) <= high):
+            partly.append(part)
+    if partly:
+        rest = _read(spark, path, partly).where(~F.col("stay_day").between(low, high))
+        kept += _write(rest, path, version)
+    return kept
 
 
 def normalise_dates(df: DataFrame, columns: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:

@@ -17,10 +17,15 @@ def load_master(spark: SparkSession, path: str, schema: str, key: Sequence[str],
     could tell which row is meant."""
     options = {"header": True, "mode": "FAILFAST"} if kind == "csv" else {}
     table = spark.read.schema(schema).format(kind).options(**options).load(path)
+    return check_key(table, key, path)
+
+
+def check_key(table: DataFrame, key: Sequence[str], name: str) -> DataFrame:
+    """The table itself; DuplicateKey where a key is missing or repeated."""
     incomplete = F.lit(False)
     for column in key:
         incomplete = incomplete | F.col(column).isNull()
     wrong = table.groupBy(*key).count().where((F.col("count") > 1) | incomplete).limit(5).collect()
     if wrong:
-        raise DuplicateKey(f"{path}: key {list(key)} missing or repeated, for example {[tuple(r)[:-1] for r in wrong]}")
+        raise DuplicateKey(f"{name}: key {list(key)} missing or repeated, for example {[tuple(r)[:-1] for r in wrong]}")
     return table

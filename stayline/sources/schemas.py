@@ -29,12 +29,14 @@ RAW_FIELDS = [
 ]
 RAW_COLUMNS = [name for name, _ in RAW_FIELDS]
 RAW_STAYS = ", ".join(f"{name} {kind}" for name, kind in RAW_FIELDS)
-# added at landing: order of arrival inside a batch, parsed dates, and the two partition columns
+# added at landing: place in the export (file, start of the block that was read, order inside it), parsed dates, and the
+# two partition columns
 BRONZE = (
     RAW_STAYS
-    + ", ingest_seq bigint, sale_day date, sale_seconds int, stay_day date, stay_month int, batch_id string"
+    + ", source_file string, source_block bigint, ingest_seq bigint, sale_day date, sale_seconds int, stay_day date, stay_month int, batch_id string"
 )
-ARRIVAL = ["batch_id", "ingest_seq"]
+BRONZE_COLUMNS = [field.strip().split(" ")[0] for field in BRONZE.replace("decimal(18,6)", "decimal").split(",")]
+ARRIVAL = ["batch_id", "source_file", "source_block", "ingest_seq"]
 
 PROPERTIES = """
     property_id int, name string, city string, region string, kind string, stars int, room_count int, opened date

@@ -9,9 +9,12 @@ from stayline.sources import schemas
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     # many tiny queries: compiling them well costs more than it saves
-    session = local_session(8, shuffle_partitions=2, memory="6g", java_options="-XX:TieredStopAtLevel=1")
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(
+        8, shuffle_partitions=2, memory="6g", java_options="-XX:TieredStopAtLevel=1", shared=shared
+    )
     session.sparkContext.setLogLevel("ERROR")
     return session
 
@@ -33,10 +36,10 @@ RAW_DEFAULTS = dict(
 @pytest.fixture
 def raw(spark):
     """Raw lines from partial rows; `batch_id` and `ingest_seq` give the order of arrival."""
-    types = StructType.fromDDL(schemas.RAW_STAYS + ", batch_id string, ingest_seq bigint")
+    types = StructType.fromDDL(schemas.RAW_STAYS + ", batch_id string, source_file string, source_block bigint, ingest_seq bigint")
 
     def build(*rows):
-        full = [{**RAW_DEFAULTS, "batch_id": "b", "ingest_seq": at, **row} for at, row in enumerate(rows)]
+        full = [{**RAW_DEFAULTS, "batch_id": "b", "source_file": "", "source_block": 0, "ingest_seq": at, **row} for at, row in enumerate(rows)]
         return spark.createDataFrame([tuple(row[f.name] for f in types) for row in full], types)
 
     return build

@@ -82,6 +82,49 @@ def test_batch_landed_again_replaces_itself(spark, folder, raw):
     assert content(spark, path) == [("02/06/2025", 9, "b2"), ("03/06/2025", 1, "b1")]
 
 
+def test_arrival_order_does_not_depend_on_how_files_are_cut(spark, folder, raw):
+    line = "{n},10,01/02/2025,9:05:00,12345678,NAME,,CH,,ana,7,1,R,P,USD,01/06/2025,101,A,1,10.5,10.5,2,0"
+    for file in ("a", "b"):
+        rows = [line.format(n=n) for n in range(200)]
+        with open(f"{folder}/{file}.csv", "w", encoding="utf-8") as out:
+            out.write("\n".join([",".join(schemas.RAW_COLUMNS), *rows]) + "\n")
+    orders = []
+    for cut in ("128m", "3k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", cut)
+        spark.conf.set("spark.sql.files.minPartitionNum", "1" if cut == "128m" else "9")
+        path = f"{folder}/bronze-{cut}"
+        bronze.land_raw(spark, f"{folder}/*.csv", path, "b1")
+        landed = bronze.read_bronze(spark, path)
+        orders.append([r.booking_id for r in landed.orderBy(*schemas.ARRIVAL).collect()])
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert orders[0] == orders[1] == [*range(200), *range(200)]
+
+
+def test_a_reload_that_breaks_off_leaves_the_table(spark, folder, raw, monkeypatch):
+    path = f"{folder}/bronze"
+    bronze.land_batch(raw(*nights("10/06/2025", "01/07/2025")), path, "b1")
+    before = content(spark, path)
+
+    def fail(*arguments):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(bronze, "publish", fail)
+        with pytest.raises(OSError):
+            bronze.reload_window(spark, path, *JUNE, raw(*nights("11/06/2025")), "b2")
+    assert content(spark, path) == before
+    assert bronze.reload_window(spark, path, *JUNE, raw(*nights("11/06/2025")), "b2") == (1, 1)
+
+
+def test_vacuum_keeps_what_is_listed(spark, folder, raw):
+    path = f"{folder}/bronze"
+    for number in range(4):
+        bronze.land_batch(raw(*nights(f"0{number + 1}/06/2025")), path, "b1")
+    assert bronze.vacuum(spark, path, keep=1) > 0
+    assert content(spark, path) == [("04/06/2025", 1, "b1")]
+
+
 def test_bad_dates_are_split_off(raw):
     good, bad = bronze.normalise_dates(
         raw(*nights("1/2/2025", "31/02/2025", "", None, "garbage")), {"stay_date_txt": "stay_date"}

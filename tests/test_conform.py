@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayline.operators import conform
+from stayline.sources.master import DuplicateKey
 from tests.conftest import day, rows_of
 
 
@@ -52,14 +53,13 @@ def test_header_needs_a_known_guest(raw):
     assert rows_of(conform.dedup_bookings(lines, known), "booking_id", "channel") == [(1, "second")]
 
 
-@pytest.mark.parametrize("heavy_rows", [1, 10_000])
-def test_collisions_keep_every_line(raw, heavy_rows):
+def test_collisions_keep_every_line(raw):
     lines = conform.raw_lines(raw(
         dict(room_type="SUITE"), dict(room_type="FAMILIAR"), dict(room_type=None), dict(room_type="SUITE"),
         dict(room_number=None, room_type="A"), dict(room_number=None, room_type="B"),
         dict(room_number=1101, room_type="Z"), dict(stay_date_txt="11/02/2025", room_type="SUITE"),
     ))
-    placed = conform.offset_collisions(lines, heavy_rows=heavy_rows)
+    placed = conform.offset_collisions(lines)
     assert rows_of(placed, "room_number", "room_type", "ingest_seq") == sorted([
         (101, "FAMILIAR", 1), (1101, "SUITE", 0), (2101, "SUITE", 3), (3101, None, 2),
         (None, "A", 4), (None, "B", 5), (1101, "Z", 6), (101, "SUITE", 7),
@@ -84,6 +84,15 @@ def test_rate_as_of_takes_the_latest_known_rate(raw, table):
     assert [r.usd_rate and float(r.usd_rate) for r in got] == [None, 3.7, 3.7, 3.8, 3.8, None]
     none = conform.rate_as_of(lines, rates.where("false")).collect()
     assert {r.usd_rate for r in none} == {None} and len(none) == 6
+    early = conform.rate_as_of(lines, rates, Decimal("3.5")).orderBy("ingest_seq").collect()
+    assert [float(r.usd_rate) for r in early] == [3.5, 3.7, 3.7, 3.8, 3.8, 3.5]
+
+
+def test_rates_of_one_day_must_be_one(raw, table):
+    lines = conform.raw_lines(raw(dict()))
+    twice = table("rate_date date, usd_rate decimal(6,4)", (day("2025-01-01"), Decimal("3.8")), (day("2025-01-01"), Decimal("3.7")))
+    with pytest.raises(DuplicateKey):
+        conform.rate_as_of(lines, twice)
 
 
 def test_header_totals_come_from_lines(table):

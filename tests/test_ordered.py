@@ -18,31 +18,40 @@ def skewed(spark):
     return spark.createDataFrame(rows, "k string, at int, id int").repartition(7)
 
 
-@pytest.mark.parametrize("heavy_rows", [20, 100, 10_000])
-def test_heavy_groups_are_numbered_like_any_other(skewed, heavy_rows):
+@pytest.mark.parametrize("slices", [1, 2, 9])
+def test_groups_of_any_size_are_numbered_alike(spark, skewed, slices):
     window = Window.partitionBy("k").orderBy("at", "id")
     wanted = skewed.withColumns(
-        {"n": F.row_number().over(window), "before": F.lag("id").over(window), "at_before": F.lag("at").over(window)}
+        {
+            "n": F.row_number().over(window), "before": F.lag("id").over(window), "at_before": F.lag("at").over(window),
+            "place": F.row_number().over(Window.orderBy("k", "at", "id")),
+        }
     )
-    got = rank_within(
-        skewed, ["k"], [F.col("at"), F.col("id")], "n", {"before": "id", "at_before": "at"}, heavy_rows=heavy_rows
-    )
-    assert got.columns == wanted.columns
-    assert rows_of(got) == rows_of(wanted)
+    spark.conf.set("spark.sql.shuffle.partitions", slices)
+    try:
+        got = rank_within(
+            skewed, ["k"], [F.col("at"), F.col("id")], "n", {"before": "id", "at_before": "at"}, position="place"
+        )
+        assert got.columns == wanted.columns
+        assert rows_of(got) == rows_of(wanted)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 2)
 
 
-def test_sizes_may_come_from_a_wider_frame(skewed):
-    few = skewed.where("id % 2 = 0")
-    order = [F.col("at"), F.col("id")]
-    assert rows_of(rank_within(few, ["k"], order, "n", heavy_rows=20, sizes_from=skewed)) == rows_of(
-        rank_within(few, ["k"], order, "n")
-    )
+def test_one_group_over_many_slices(spark):
+    frame = spark.range(500).selectExpr("'only' as k", "id").repartition(7)
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+    try:
+        got = rank_within(frame, ["k"], [F.col("id")], "n", {"before": "id"}).orderBy("id").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 2)
+    assert [r.n for r in got] == list(range(1, 501))
+    assert [r.before for r in got] == [None, *range(499)]
 
 
-def test_heavy_rows_are_spread_over_partitions(skewed):
-    got = rank_within(skewed, ["k"], [F.col("at"), F.col("id")], "n", heavy_rows=50)
-    plan = got._jdf.queryExecution().toString()
-    assert "_slice" in plan and "cartesian" not in plan.lower()
+def test_numbering_of_nothing(spark):
+    empty = spark.createDataFrame([], "k string, id int")
+    assert rank_within(empty, ["k"], [F.col("id")], "n", {"before": "id"}, position="place").count() == 0
 
 
 def test_assign_keys_is_dense_and_ordered(spark):
