@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from stayline.operators.quality import CHECKS
 from stayline.plans.registry import COMPARE_YEARS, RATE, SALT
 from stayline.sources import testdata as lens
 
@@ -63,7 +62,19 @@ _VIEWS = {
             ELSE 50000 + 1000 * (agent_src_id % 10) END AS DECIMAL(12,2)) AS production_target
         FROM bookings JOIN agents USING (agent_src_id) WHERE area = 'Reservations')""",
     "rates": """rates AS (SELECT rate_date, CAST(3 + month(rate_date) / CAST(100 AS DECIMAL(4,0)) AS DECIMAL(6,4)) AS usd_rate
-        FROM (SELECT DISTINCT CAST(date_trunc('quarter', created_at) AS DATE) AS rate_date FROM bookings))""",
+        FROM (SELECT DISTINCT CAST(date_trunc('quarter', created_at) AS DATE) AS rate_date FROM bookings)
+        WHERE rate_date >= DATE '1995-07-01')""",
+    # constraints of dimensions and targets, each broken somewhere
+    "f_channels": "f_channels AS (SELECT channel, area FROM channels UNION ALL SELECT '2-HIGH', NULL)",
+    "f_room_types": """f_room_types AS (SELECT room_type, CASE WHEN room_type <> 'RO' THEN category END AS category
+        FROM room_types)""",
+    "f_agents": """f_agents AS (SELECT * REPLACE (CASE WHEN agent_src_id % 9 <> 0 THEN agent_name END AS agent_name)
+        FROM (SELECT * FROM agents UNION ALL SELECT * FROM agents WHERE agent_src_id % 11 = 0))""",
+    "f_property_targets": """f_property_targets AS (SELECT CASE WHEN property_id % 8 = 0 THEN 900 ELSE property_id END
+            AS property_id, year, CASE WHEN month <> 2 THEN month END AS month
+        FROM (SELECT DISTINCT property_id, year(created_at) AS year, month(created_at) AS month FROM bookings))""",
+    "f_agent_targets": """f_agent_targets AS (SELECT CASE WHEN month = 3 THEN -1 ELSE agent_id END AS agent_id, year, month
+        FROM targets)""",
     # the same warehouse with one fault planted per health check
     "f_guests": """f_guests AS (SELECT * REPLACE (CASE WHEN guest_id % 100 = 1 THEN '00000000' ELSE national_id END
         AS national_id) FROM guests)""",
@@ -82,7 +93,7 @@ _VIEWS = {
             USING ({KEY})))""",
     "stays": f"stays AS (SELECT guest_id, {KEY}, checkin, checkout FROM headers WHERE checkin IS NOT NULL)",
     # silver, rebuilt step by step
-    "usable": "usable AS (SELECT * FROM raw WHERE stay_date IS NOT NULL)",
+    "usable": "usable AS (SELECT * FROM raw WHERE stay_date IS NOT NULL AND src_order % 89 <> 0)",
     "s_guests": f"""s_guests AS (SELECT CAST(row_number() OVER (ORDER BY national_id) AS BIGINT) AS guest_id, * FROM (
         SELECT national_id, {_title('full_name')} AS full_name, phone, created_date AS first_booking,
             CASE WHEN regexp_full_match(national_id, '[0-9]{{8}}') THEN 'Domestic' ELSE 'Foreign' END AS country
@@ -93,9 +104,9 @@ _VIEWS = {
             {_title('agent_name')} AS agent_name, agent_src_id, status_code, booking_status, payment_status, currency
         FROM usable JOIN s_guests USING (national_id) QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY created_date,
             created_time_txt, src_order, room_number, l_partkey, l_suppkey, total) = 1)""",
-    "s_nights": f"""s_nights AS (SELECT CAST(row_number() OVER (ORDER BY stay_date, {KEY}, room_number, src_order,
-            l_partkey, l_suppkey, total) AS BIGINT) AS line_id, * EXCLUDE (src_order, l_partkey, l_suppkey) FROM (
-        SELECT {KEY}, stay_date, CAST(room_number + 1000 * (row_number() OVER (PARTITION BY {KEY}, stay_date, room_number
+    "s_nights": f"""s_nights AS (SELECT CAST(row_number() OVER (ORDER BY stay_date, {KEY}, old_room, room_type, src_order,
+            l_partkey, l_suppkey, total) AS BIGINT) AS line_id, * EXCLUDE (src_order, l_partkey, l_suppkey, old_room) FROM (
+        SELECT {KEY}, stay_date, room_number AS old_room, CAST(room_number + 1000 * (row_number() OVER (PARTITION BY {KEY}, stay_date, room_number
                 ORDER BY room_type, src_order, l_partkey, l_suppkey, total) - 1) AS INT) AS room_number, room_type, quantity,
             CAST(unit_price AS DECIMAL(10,2)) AS unit_price,
             CAST(CASE WHEN {DOLLAR} THEN total * {RATE} ELSE total END AS DECIMAL(10,2)) AS total, adults, children,
@@ -160,8 +171,20 @@ def _years() -> str:
         WHERE {NOT_HOLD} AND month(stay_date) = 6 AND year(stay_date) >= {COMPARE_YEARS[0]} GROUP BY property_id"""
 
 
+# fixed values, written out here as well so that a wrong one in the library shows
+_LABELS = {
+    1: "bookings of unknown guests", 2: "lines without a booking", 3: "lines with a negative amount",
+    4: "repeated national ids", 5: "properties without a city", 6: "channels missing from the dimension",
+    7: "bookings of unknown properties", 8: "last silver build", 9: "bookings above the amount limit",
+    10: "check-outs before check-in", 11: "agents missing from the dimension",
+    12: "room types missing from the dimension", 13: "bookings differing between bronze and silver",
+}
+# counts up to which a check warns; checks 6 and 8 never turn critical by their count
+_WARN_UP_TO = {1: 10, 2: 0, 3: 5, 4: 0, 5: 2, 6: None, 7: 0, 9: 3, 10: 0, 11: 0, 12: 0, 13: 0}
+
+
 def _status(found: str, number: int) -> str:
-    limit = CHECKS[number - 1].warn_up_to
+    limit = _WARN_UP_TO[number]
     if limit is None:
         return f"CASE WHEN {found} = 0 THEN 'OK' ELSE 'WARN' END"
     if limit == 0:
@@ -188,7 +211,7 @@ _FOUND = {
 
 
 def _health(number: int) -> str:
-    label = CHECKS[number - 1].label
+    label = _LABELS[number]
     if number == 8:
         return f"""SELECT 8 AS check_no, '{label}' AS label, CAST(1 AS BIGINT) AS found, CASE
             WHEN NOT EXISTS (SELECT 1 FROM runs WHERE process = 'job_0') THEN 'WARN: never run'
@@ -238,6 +261,27 @@ def _constraints() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _dimension_constraints() -> str:
+    tables = {
+        "properties": ("properties", ["property_id"], ["property_id", "name"]),
+        "dim_channel": ("f_channels", ["channel"], ["channel", "area"]),
+        "dim_agent": ("f_agents", ["agent_src_id"], ["agent_src_id", "agent_name", "area"]),
+        "dim_room_type": ("f_room_types", ["room_type"], ["room_type", "category"]),
+        "property_targets": ("f_property_targets", ["property_id", "year", "month"], ["year", "month"]),
+        "agent_targets": ("f_agent_targets", ["agent_id", "year", "month"], ["year", "month"]),
+    }
+    parts = [
+        _broken("properties", "properties", "length <= 200: name", "length(name) > 200"),
+        _broken("f_property_targets", "property_targets", "references: property_id",
+                "property_id NOT IN (SELECT property_id FROM properties)"),
+        _broken("f_agent_targets", "agent_targets", "references: agent_id", "agent_id NOT IN (SELECT agent_id FROM f_agents)"),
+    ]
+    for name, (table, key, needed) in tables.items():
+        parts.append(_unique(table, name, ", ".join(key)))
+        parts += [_broken(table, name, f"not null: {column}", f"{column} IS NULL") for column in needed]
+    return " UNION ALL ".join(parts)
+
+
 _SALES = """CAST(year(created_at) AS INT) AS year, CAST(month(created_at) AS INT) AS month,
     CAST(sum(booking_total) AS DOUBLE) AS revenue, count(*) AS bookings"""
 _SEGMENT = "CASE WHEN count(*) = 1 THEN 'New' WHEN count(*) <= 3 THEN 'Occasional' WHEN count(*) <= 9 THEN 'Loyal' ELSE 'VIP' END"
@@ -279,9 +323,10 @@ _QUERIES = {
         room_type, CAST(total AS DOUBLE) AS total, l_partkey, l_suppkey FROM raw""",
     "to_local_currency": f"""SELECT {KEY}, l_partkey, l_suppkey, currency, CAST(unit_price AS DOUBLE) AS unit_price,
         CAST(CAST(CASE WHEN {DOLLAR} THEN total * {RATE} ELSE total END AS DECIMAL(10,2)) AS DOUBLE) AS total FROM raw""",
-    "rate_as_of": f"""SELECT {KEY}, l_partkey, l_suppkey, created_date, CAST(usd_rate AS DOUBLE) AS usd_rate,
-        CAST(CAST(CASE WHEN {DOLLAR} THEN total * usd_rate ELSE total END AS DECIMAL(10,2)) AS DOUBLE) AS total
-        FROM raw ASOF LEFT JOIN rates ON created_date >= rate_date""",
+    "rate_as_of": f"""SELECT {KEY}, l_partkey, l_suppkey, created_date, CAST(rate AS DOUBLE) AS usd_rate,
+        CAST(CAST(CASE WHEN {DOLLAR} THEN total * rate ELSE total END AS DECIMAL(10,2)) AS DOUBLE) AS total
+        FROM (SELECT *, coalesce(usd_rate, CAST({RATE} AS DECIMAL(6,4))) AS rate
+            FROM raw ASOF LEFT JOIN rates ON created_date >= rate_date)""",
     "keep_with_header": f"""SELECT {KEY}, stay_date, room_number, CAST(total AS DOUBLE) AS total, l_partkey, l_suppkey
         FROM stay_nights l WHERE EXISTS (SELECT 1 FROM bookings b JOIN orders o ON b.guest_id = o.o_custkey
             WHERE b.booking_id = l.booking_id AND b.created_year = l.created_year AND b.guest_id % 50 <> 0)""",
@@ -289,7 +334,8 @@ _QUERIES = {
     "date_parts": """SELECT stay_date, CAST(day(stay_date) AS INT) AS day, CAST(month(stay_date) AS INT) AS month,
         CAST(year(stay_date) AS INT) AS year, count(*) AS lines FROM stay_nights GROUP BY ALL""",
     "silver_counts": """SELECT (SELECT count(*) FROM s_guests) AS guests, (SELECT count(*) FROM s_headers) AS bookings,
-        (SELECT count(*) FROM s_nights) AS lines, (SELECT count(*) FROM raw WHERE stay_date IS NULL) AS quarantined""",
+        (SELECT count(*) FROM s_nights) AS lines, (SELECT count(*) FROM raw
+            WHERE stay_date IS NULL OR src_order % 89 = 0) AS quarantined""",
     "silver_bookings": f"""SELECT h.*, room_nights, CAST(booking_total AS DOUBLE) AS booking_total, checkin, checkout, stay_days
         FROM s_headers h LEFT JOIN (SELECT {KEY}, count(*) AS room_nights, sum(total) AS booking_total,
             min(stay_date) AS checkin, CAST(max(stay_date) + INTERVAL 1 DAY AS DATE) AS checkout,
@@ -302,6 +348,7 @@ _QUERIES = {
         FROM bookings b JOIN properties p USING (property_id)""",
     "surrogate_keys": "SELECT row_number() OVER (ORDER BY national_id) AS guest_key, national_id FROM guests",
     "constraint_violations": _constraints(),
+    "dimension_violations": _dimension_constraints(),
     "calendar": """SELECT CAST(d AS DATE) AS date, CAST(year(d) AS INT) AS year, CAST(month(d) AS INT) AS month,
         CAST(day(d) AS INT) AS day, CAST(quarter(d) AS INT) AS quarter, CAST(dayofweek(d) AS INT) AS day_of_week,
         dayname(d) AS day_name, monthname(d) AS month_name, dayofweek(d) IN (0, 6) AS is_weekend,

@@ -1,7 +1,8 @@
 """Reports on the night of stay.
 
-They share one shape: lines shrink to a row per booking and period before they meet the headers, so a booking that
-owns much of the data reaches the join as a few rows, and counting bookings needs no second shuffle.
+They share one shape: lines meet their headers first, which moves them once at most, and shrink to a row per booking and
+period where they then lie, as the rows of a booking lie together already. So counting bookings needs no second shuffle.
+AQE splits a booking that owns much of the data.
 """
 
 from __future__ import annotations
@@ -23,14 +24,16 @@ def in_categories(lines: DataFrame, room_types: DataFrame, categories: Sequence[
     return lines.join(wanted, "room_type", "left_semi")
 
 
-def _per_booking(lines: DataFrame, *period: Column) -> DataFrame:
-    return lines.groupBy(*BOOKING_KEY, *period).agg(
+def _per_booking(lines: DataFrame, headers: DataFrame, *period: Column) -> DataFrame:
+    """One row per booking and period, with the columns of its header."""
+    more = [column for column in headers.columns if column not in BOOKING_KEY]
+    return lines.join(headers, BOOKING_KEY).groupBy(*BOOKING_KEY, *period, *more).agg(
         F.sum("total").alias("revenue"), F.count("*").alias("nights"), F.sum("quantity").alias("quantity")
     )
 
 
-def _by_stay_month(lines: DataFrame) -> DataFrame:
-    return _per_booking(lines, F.year("stay_date").alias("year"), F.month("stay_date").alias("month"))
+def _by_stay_month(lines: DataFrame, headers: DataFrame) -> DataFrame:
+    return _per_booking(lines, headers, F.year("stay_date").alias("year"), F.month("stay_date").alias("month"))
 
 
 def _headers(bookings: DataFrame, vocab: Vocabulary, *columns: str) -> DataFrame:
@@ -42,9 +45,9 @@ def _in_area(headers: DataFrame, channels: DataFrame, area: str) -> DataFrame:
     return headers.join(wanted, "channel", "left_semi")
 
 
-def _occupancy(nights: DataFrame, headers: DataFrame, properties: DataFrame) -> DataFrame:
+def _occupancy(lines: DataFrame, headers: DataFrame, properties: DataFrame) -> DataFrame:
     totals = (
-        nights.join(headers, BOOKING_KEY)
+        _by_stay_month(lines, headers)
         .groupBy("property_id", "year", "month")
         .agg(F.sum("revenue").alias("revenue"), F.count("*").alias("bookings"))
     )
@@ -65,7 +68,7 @@ def occupancy_by_category(
 ) -> DataFrame:
     """The same for chosen room categories, lodging and tents by default."""
     wanted = in_categories(lines, room_types, categories or [vocab.lodging, vocab.tent])
-    return _occupancy(_by_stay_month(wanted), _headers(bookings, vocab), properties)
+    return _occupancy(wanted, _headers(bookings, vocab), properties)
 
 
 def occupancy_reservations_desk(
@@ -75,20 +78,20 @@ def occupancy_reservations_desk(
     """Lodging sold through the reservations desk's channels."""
     wanted = in_categories(lines, room_types, [vocab.lodging])
     headers = _in_area(_headers(bookings, vocab, "channel"), channels, vocab.desk_area)
-    return _occupancy(_by_stay_month(wanted), headers, properties)
+    return _occupancy(wanted, headers, properties)
 
 
 def paid_partner_split(
     lines: DataFrame, bookings: DataFrame, channels: DataFrame, room_types: DataFrame, vocab: Vocabulary = PMS
 ) -> DataFrame:
     """Room-nights and revenue of paying guests against partner redemptions, per property and month of stay."""
-    nights = _by_stay_month(in_categories(lines, room_types, [vocab.lodging]))
+    wanted = in_categories(lines, room_types, [vocab.lodging])
     areas = channels.select("channel", "area")
     headers = _headers(bookings, vocab, "channel").join(areas, "channel")
     partner = F.col("area") == vocab.partner_area
     paid = F.col("area") != vocab.partner_area
     totals = (
-        nights.join(headers, BOOKING_KEY)
+        _by_stay_month(wanted, headers)
         .groupBy("property_id", "month", "year")
         .agg(
             F.sum("nights").alias("nights"),
@@ -116,10 +119,10 @@ def agent_by_property(
 
     Agents are told apart by id; the dimension only lends its name, so an agent it lacks still shows.
     """
-    nights = _by_stay_month(in_categories(lines, room_types, [vocab.lodging]))
+    wanted = in_categories(lines, room_types, [vocab.lodging])
     headers = _in_area(_headers(bookings, vocab, "channel", "agent_src_id"), channels, vocab.desk_area)
     totals = (
-        nights.join(headers, BOOKING_KEY)
+        _by_stay_month(wanted, headers)
         .groupBy("agent_src_id", "property_id", "month", "year")
         .agg(F.sum("revenue").alias("revenue"), F.sum("quantity").alias("quantity"))
     )
@@ -141,7 +144,7 @@ def daily_occupancy_pivot(
     headers = bookings.where(~F.col("property_id").isin(*excluded))
     if exclude_holds:
         headers = headers.where(not_unconfirmed_hold(vocab))
-    nights = _per_booking(month, F.col("stay_date")).join(headers.select(*BOOKING_KEY, "property_id"), BOOKING_KEY)
+    nights = _per_booking(month, headers.select(*BOOKING_KEY, "property_id"), F.col("stay_date"))
     daily = nights.groupBy("stay_date", "property_id").agg(
         F.sum("revenue").alias("revenue"), F.sum("nights").alias("nights")
     )
@@ -166,9 +169,12 @@ def same_month_by_year(
 ) -> DataFrame:
     """One month side by side over several years, per property, with the growth of the last year over the one before."""
     day = F.col("stay_date")
-    since = dt.date(min(years), month, 1)
-    wanted = lines.where((day >= since) & (F.month(day) == month))
-    nights = _per_booking(wanted, F.year(day).alias("year")).join(_headers(bookings, vocab), BOOKING_KEY)
+    # later years count for no column but keep a property in the list; a range per year prunes every other month
+    inside = (day >= dt.date(max(years) + 1, 1, 1)) & (F.month(day) == month)
+    for year in range(min(years), max(years) + 1):
+        first, following = month_bounds(dt.date(year, month, 1))
+        inside |= (day >= first) & (day < following)
+    nights = _per_booking(lines.where(inside), _headers(bookings, vocab), F.year(day).alias("year"))
 
     def of_year(column: str, year: int) -> Column:
         return F.sum(F.when(F.col("year") == year, F.col(column)).otherwise(0))
@@ -183,8 +189,8 @@ def same_month_by_year(
 
 def rate_vs_network(lines: DataFrame, bookings: DataFrame, properties: DataFrame) -> DataFrame:
     """Average room-night amount of each property against the average over every room-night of the chain."""
+    network = lines.agg(ratio(F.sum("total"), F.count("total")).alias("network")).scalar()
     per_booking = lines.groupBy(*BOOKING_KEY).agg(F.sum("total").alias("amount"), F.count("total").alias("counted"))
-    network = per_booking.agg(ratio(F.sum("amount"), F.sum("counted")).alias("network")).scalar()
     totals = (
         per_booking.join(bookings.select(*BOOKING_KEY, "property_id"), BOOKING_KEY)
         .groupBy("property_id")

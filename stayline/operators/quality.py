@@ -27,6 +27,7 @@ class Check(NamedTuple):
     warn_up_to: int | None
 
 
+# fixed values: labels and limits of the checks
 CHECKS = [
     Check(1, "bookings of unknown guests", 10),
     Check(2, "lines without a booking", 0),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -62,6 +62,15 @@ def validate(table: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def validate_all(tables: Mapping[str, DataFrame], rules: Mapping[str, Sequence[Rule]]) -> DataFrame:
+    """(table_name, rule, violations) of every table that has rules."""
+    parts = [
+        validate(table, rules[name]).select(F.lit(name).alias("table_name"), "rule", "violations")
+        for name, table in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _complete(columns: Sequence[str]):
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
@@ -84,6 +93,9 @@ def _dangling(table: DataFrame, rule: References) -> DataFrame:
     return _result(f"references: {', '.join(rule.columns)}", lost, F.sum("n"))
 
 
+# the limits below are fixed values, as the tables declare them
+
+
 def silver_rules(guests: DataFrame, bookings: DataFrame, properties: DataFrame) -> dict[str, list[Rule]]:
     """The constraints of the conformed tables, by table."""
     key = ("booking_id", "created_year")

@@ -10,6 +10,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stayline.operators import quality, validation
 from stayline.operators.dimensions import (
     build_agent_dim,
     build_room_type_dim,
@@ -22,8 +23,16 @@ from stayline.plans.gold import refresh_gold
 from stayline.plans.runlog import RunLog
 from stayline.plans.silver import DEFAULT_RATE, SilverCounts, build_silver
 from stayline.session import tuned
-from stayline.sources.bronze import Reload, read_bronze, reload_window
-from stayline.sources.store import child_folders, new_version, publish, read_published, version_path
+from stayline.sources.bronze import Reload, read_bronze, reload_window, vacuum
+from stayline.sources.store import (
+    child_folders,
+    new_version,
+    publish,
+    read_published,
+    retire,
+    scratch,
+    version_path,
+)
 from stayline.vocabulary import CHANNEL_SEED, PMS, ROOM_TYPE_SEED, Vocabulary
 
 
@@ -31,6 +40,9 @@ class LoadResult(NamedTuple):
     reload: Reload
     silver: SilverCounts
     gold_version: str
+    # checks that are not OK, and rows that break a constraint
+    alerts: int
+    violations: int
 
 
 def refresh_dimensions(
@@ -56,15 +68,49 @@ def refresh_dimensions(
     for name, frame in tables.items():
         frame.write.parquet(version_path(out, version, name))
     publish(spark, out, version)
+    retire(spark, out)
     return sum(read_published(spark, out, name, version).count() for name in tables)
 
 
+def check_load(
+    spark: SparkSession, out: str, raw: DataFrame, silver: str, dims: str, properties: DataFrame, runs: DataFrame,
+    as_of: dt.datetime,
+) -> tuple[int, int]:
+    """Publish the health report and the constraint counts of what is now in place; returns the checks that are not OK
+    and the rows that break a constraint. Rooms that collide after they were moved show among the latter."""
+    guests, bookings, lines = (read_published(spark, silver, table) for table in ("guests", "bookings", "stay_nights"))
+    channels, agents, types = (read_published(spark, dims, t) for t in ("dim_channel", "dim_agent", "dim_room_type"))
+    report = quality.health_report(raw, guests, bookings, lines, properties, channels, agents, types, runs, as_of)
+    rules = validation.silver_rules(guests, bookings, properties) | validation.dimension_rules(agents, properties)
+    tables = {
+        "guests": guests, "bookings": bookings, "stay_nights": lines, "properties": properties, "dim_channel": channels,
+        "dim_agent": agents, "dim_room_type": types,
+    }
+    broken = validation.validate_all(tables, rules)
+    version = new_version()
+    report.write.parquet(version_path(out, version, "health"))
+    broken.write.parquet(version_path(out, version, "violations"))
+    publish(spark, out, version)
+    retire(spark, out)
+    alerts = read_published(spark, out, "health", version).where(F.col("status") != quality.OK).count()
+    found = read_published(spark, out, "violations", version).agg(F.sum("violations")).head()[0]
+    return alerts, int(found or 0)
+
+
 def run_load(
     spark: SparkSession, root: str, batch: DataFrame, batch_id: str, low: dt.date, high: dt.date,
     properties: DataFrame, as_of: dt.date, usd_rate: Decimal = DEFAULT_RATE, rates: DataFrame | None = None,
     vocab: Vocabulary = PMS,
 ) -> LoadResult:
-    """Replace a window of bronze and rebuild everything that depends on it. `root` holds one folder per layer."""
+    """Replace a window of bronze, rebuild everything that depends on it, and check what came of it. `root` holds one
+    folder per layer. Every layer keeps its last two versions, and nothing intermediate is left."""
+    with scratch(spark):
+        return _run_load(spark, root, batch, batch_id, low, high, properties, as_of, usd_rate, rates, vocab)
+
+
+def _run_load(
+    spark, root, batch, batch_id, low, high, properties, as_of, usd_rate, rates, vocab
+) -> LoadResult:
     tuned(spark)
     bronze, silver, dims, gold = (f"{root}/{layer}" for layer in ("bronze", "silver", "dimensions", "gold"))
     log = RunLog(spark, f"{root}/run_log")
@@ -82,4 +128,11 @@ def run_load(
     with log.step("refresh_gold", "SNAPSHOT"):
         bookings, guests = (read_published(spark, silver, table) for table in ("bookings", "guests"))
         version = refresh_gold(spark, bookings, properties, guests, lines, gold, as_of, vocab)
-    return LoadResult(reload, counts, version)
+        retire(spark, gold)
+    with log.step("check_load", "VALIDATE") as step:
+        now = dt.datetime.combine(as_of, dt.time())
+        alerts, violations = check_load(spark, f"{root}/quality", raw, silver, dims, properties, log.runs(), now)
+        step.rows = alerts + violations
+        step.message = f"alerts {alerts}, violations {violations}"
+        vacuum(spark, bronze)
+    return LoadResult(reload, counts, version, alerts, violations)

@@ -113,7 +113,8 @@ def to_local_currency(w: Warehouse) -> DataFrame:
 
 
 def rate_as_of(w: Warehouse) -> DataFrame:
-    dated = conform.rate_as_of(conform.raw_lines(w.raw_stays, TIE_BREAK), w.rates)
+    """Rates start in the second half of 1995; what was sold before is converted at the run's rate."""
+    dated = conform.rate_as_of(conform.raw_lines(w.raw_stays, TIE_BREAK), w.rates, RATE)
     lines = conform.to_local_currency(dated, F.col("usd_rate"))
     return lines.select(*BOOKING_KEY, "l_partkey", "l_suppkey", "created_date", "usd_rate", "total")
 
@@ -131,8 +132,10 @@ def date_parts(w: Warehouse) -> DataFrame:
 
 
 def _silver(w: Warehouse):
-    """Silver from a stored copy of the raw lines, as bronze would hold them."""
-    raw, out = stored(conform.with_parsed(w.raw_stays), "raw"), work_path(w.spark, "silver")
+    """Silver from a stored copy of the raw lines, as bronze would hold them, some of them with a time that is none."""
+    odd = F.when(F.col("src_order") % 89 == 0, "25:99").otherwise(F.col("created_time_txt"))
+    lines = w.raw_stays.withColumn("created_time_txt", odd)
+    raw, out = stored(conform.with_parsed(lines), "raw"), work_path(w.spark, "silver")
     return out, build_silver(w.spark, raw, w.properties, out, RATE, tie_break=TIE_BREAK, vocab=LENS)
 
 
@@ -165,13 +168,21 @@ def surrogate_keys(w: Warehouse) -> DataFrame:
 
 def constraint_violations(w: Warehouse) -> DataFrame:
     faulty = w.with_faults()
-    tables = {"guests": faulty.guests, "bookings": faulty.headers, "stay_nights": faulty.stay_nights}
-    rules = validation.silver_rules(faulty.guests, faulty.headers, faulty.properties)
-    parts = [
-        validation.validate(tables[name], rules[name]).select(F.lit(name).alias("table_name"), "rule", "violations")
-        for name in tables
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    headers = stored(faulty.headers, "headers")
+    tables = {"guests": faulty.guests, "bookings": headers, "stay_nights": faulty.stay_nights}
+    return validation.validate_all(tables, validation.silver_rules(faulty.guests, headers, faulty.properties))
+
+
+def dimension_violations(w: Warehouse) -> DataFrame:
+    """Constraints of dimensions and targets, with a fault planted for each kind of rule."""
+    faulty = w.with_faults()
+    agents = stored(faulty.agents, "agents")
+    tables = {
+        "properties": faulty.properties, "dim_channel": faulty.channels, "dim_agent": agents,
+        "dim_room_type": faulty.room_types, "property_targets": faulty.property_targets,
+        "agent_targets": faulty.agent_targets,
+    }
+    return validation.validate_all(tables, validation.dimension_rules(agents, w.properties))
 
 
 # --- dimensions
@@ -277,9 +288,10 @@ def post_stay_contacts(w: Warehouse) -> DataFrame:
 
 def health_report(w: Warehouse) -> DataFrame:
     f = w.with_faults()
+    # headers and agents lie stored in a warehouse; here they are views over all lines and sales
     return quality.health_report(
-        f.raw_stays, f.guests, f.headers, f.stay_nights, f.properties, f.channels, f.agents, f.room_types, f.runs,
-        RUN_AS_OF, HEALTH_PROCESS,
+        f.raw_stays, f.guests, stored(f.headers, "headers"), f.stay_nights, f.properties, f.channels,
+        stored(f.agents, "agents"), f.room_types, f.runs, RUN_AS_OF, HEALTH_PROCESS,
     )
 
 
@@ -355,6 +367,7 @@ JOBS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "master_targets": master_targets,
     "surrogate_keys": surrogate_keys,
     "constraint_violations": constraint_violations,
+    "dimension_violations": dimension_violations,
     "calendar": calendar,
     "channel_dim": channel_areas,
     "agent_dim": agent_dim,

@@ -17,14 +17,14 @@ from stayline.operators.conform import (
     dedup_guests,
     keep_with_header,
     offset_collisions,
-    raw_lines,
     rate_as_of,
+    raw_lines,
     to_local_currency,
     with_parsed,
 )
 from stayline.operators.ordered import assign_keys
 from stayline.sources.schemas import ARRIVAL
-from stayline.sources.store import new_version, publish, version_path
+from stayline.sources.store import new_version, publish, retire, scratch, stored, version_path
 from stayline.vocabulary import PMS, Vocabulary
 
 DEFAULT_RATE = Decimal("3.0")
@@ -40,15 +40,18 @@ class SilverCounts(NamedTuple):
 
 def split_unusable(raw: DataFrame, properties: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Set aside the lines no booking can be built from, each with its reason: no booking id, no readable sale date,
-    a stay date that is no date, or a property the master does not list."""
+    a time of sale that is no time, a stay date that is no date, or a property the master does not list. A missing time
+    or stay date is none of these: the line stays, and its booking has no moment of sale or the line no night."""
     known = properties.select("property_id").distinct().withColumn("_known", F.lit(True))
     reason = (
         F.when(F.col("booking_id").isNull(), "no booking id")
         .when(F.col("sale_day").isNull(), "unreadable sale date")
+        .when((F.trim("created_time_txt") != "") & F.col("sale_seconds").isNull(), "unreadable sale time")
         .when(F.col("stay_date_txt").isNotNull() & F.col("stay_day").isNull(), "unreadable stay date")
         .when(F.col("_known").isNull(), "unknown property")
     )
-    judged = with_parsed(raw).join(known, "property_id", "left").withColumn("reason", reason).drop("_known")
+    # bronze is read and looked up once; everything later starts from what is set down here
+    judged = stored(with_parsed(raw).join(known, "property_id", "left").withColumn("reason", reason).drop("_known"), "judged")
     return judged.where(F.col("reason").isNull()).drop("reason"), judged.where(F.col("reason").isNotNull())
 
 
@@ -59,8 +62,14 @@ def build_silver(
     """Rebuild guests, bookings and stay nights into a new version and publish it when all three are complete.
 
     Each table is written before the next one reads it, so a lost executor costs its own tasks and not the chain
-    before them. With `rates` every sale is converted at the rate of its day, else all at `usd_rate`.
+    before them. With `rates` every sale is converted at the rate of its day, sales before the first rate and all others
+    at `usd_rate`. Intermediate tables are dropped at the end, and so are all versions but the last two.
     """
+    with scratch(spark):
+        return _build(spark, raw, properties, out, usd_rate, rates, tie_break, vocab)
+
+
+def _build(spark, raw, properties, out, usd_rate, rates, tie_break, vocab) -> SilverCounts:
     version = new_version()
 
     def write(table: str, frame: DataFrame) -> DataFrame:
@@ -78,11 +87,11 @@ def build_silver(
     if rates is None:
         lines = to_local_currency(lines, usd_rate, vocab=vocab)
     else:
-        lines = to_local_currency(rate_as_of(lines, rates), F.col("usd_rate"), vocab=vocab).drop("usd_rate")
+        lines = to_local_currency(rate_as_of(lines, rates, usd_rate), F.col("usd_rate"), vocab=vocab).drop("usd_rate")
     # a booking's lines stay or go together, so dropping first numbers the rest no differently
-    kept = offset_collisions(keep_with_header(lines, headers), tie_break, sizes_from=lines)
-    # keys follow the night, so files hold neighbouring nights and their min/max statistics prune scans
-    keyed = assign_keys(kept, ["stay_date", *BOOKING_KEY, "room_number", *tie_break], "line_id")
+    # one sort by night, booking and room gives the place among lines of a room and the line's number; files hold
+    # neighbouring nights, so their min/max statistics prune scans
+    keyed = offset_collisions(keep_with_header(lines, headers), tie_break, line_id="line_id")
     nights = write(
         "stay_nights",
         add_date_parts(keyed).select(
@@ -93,4 +102,5 @@ def build_silver(
     bookings = write("bookings", backfill_headers(headers, nights).withColumn("loaded_at", F.localtimestamp()))
     counts = SilverCounts(guests.count(), bookings.count(), nights.count(), quarantine.count(), version)
     publish(spark, out, version)
+    retire(spark, out)
     return counts

@@ -22,14 +22,16 @@ def tuned(spark: SparkSession) -> SparkSession:
 
 
 def local_session(
-    cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", java_options: str = ""
+    cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", java_options: str = "",
+    shared: str = "/tmp/checkpoints",
 ) -> SparkSession:
-    """Single-machine session for tests and the benchmark."""
+    """Single-machine session for tests and the benchmark; `shared` stands for the folder that a cluster shares."""
     return tuned(
         SparkSession.builder.master(f"local[{cores}]")
         .appName("stayline")
         .config("spark.driver.memory", memory)
         .config("spark.driver.extraJavaOptions", java_options)
+        .config("spark.checkpoint.dir", shared)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")

@@ -2,33 +2,60 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import datetime as dt
-import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 _POINTER = "_published"
+#: Versions that `retire` leaves in place: the one readers use and the one before it, which they may still be reading.
+KEPT_VERSIONS = 2
+#: Folders of the jobs that are running, the innermost last.
+_scopes: list[list[str]] = []
+_applications: set[str] = set()
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a local session without one gets a folder of its own."""
-    root = spark.conf.get(_SETTING, None)
-    if root:
-        return root
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return context.getCheckpointDir()
-    if not context.master.startswith("local"):
+    """The folder that the cluster shares, named by `spark.checkpoint.dir`; the context's checkpoint folder where a
+    program has set that itself."""
+    root = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if not root:
         raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="stayline-"))
-    return context.getCheckpointDir()
+    return root
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/stayline/{name}-{uuid.uuid4().hex}"
+    """A new folder for intermediate data. It goes when the `scratch` around it ends, at the latest with the process."""
+    home = f"{shared_root(spark)}/stayline/{spark.sparkContext.applicationId}"
+    if home not in _applications:
+        _applications.add(home)
+        atexit.register(_drop_quietly, spark, home)
+    path = f"{home}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+def _drop_quietly(spark: SparkSession, path: str) -> None:
+    """At the end of the process the session may be gone, and its folder is then the cluster's to clear."""
+    with contextlib.suppress(Exception):
+        drop_folder(spark, path)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are dropped at the end, so nothing that is read later may hang on them."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            drop_folder(spark, path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -54,6 +81,16 @@ def publish(spark: SparkSession, root: str, version: str) -> None:
     row.coalesce(1).write.mode("append").parquet(f"{root}/{_POINTER}")
 
 
+def retire(spark: SparkSession, root: str, keep: int = KEPT_VERSIONS) -> list[str]:
+    """Drop all but the newest published versions below `root`, and versions older than those that never were."""
+    published = sorted(row[0] for row in spark.read.parquet(f"{root}/{_POINTER}").select("version").distinct().collect())
+    kept = published[-keep:]
+    old = [name for name in child_folders(spark, root) if name != _POINTER and name < kept[0]]
+    for name in old:
+        drop_folder(spark, f"{root}/{name}")
+    return old
+
+
 def published_version(spark: SparkSession, root: str) -> str:
     return spark.read.parquet(f"{root}/{_POINTER}").agg(F.max("version")).head()[0]
 

@@ -58,6 +58,7 @@ ROOM_TYPES = [
     ("RF", LENS.tent),
 ]
 STAY_AS_OF = dt.date(2000, 6, 15)
+RATES_FROM = dt.date(1995, 7, 1)
 RUN_AS_OF = dt.datetime(2024, 1, 31)
 PIVOT = (1, 4, 6, 8, 12, 17, 21)
 INTERNAL = (3, 13, 23)
@@ -248,8 +249,9 @@ class Warehouse:
 
     @cached_property
     def rates(self) -> DataFrame:
-        """An exchange rate from the first day of each quarter anything was sold in."""
+        """An exchange rate from the first day of each quarter anything was sold in, but for the earliest two."""
         quarters = self.bookings.select(F.trunc(F.to_date("created_at"), "quarter").alias("rate_date")).distinct()
+        quarters = quarters.where(F.col("rate_date") >= F.lit(RATES_FROM))
         rate = (F.lit(3) + F.month("rate_date") * F.lit(1).cast("decimal(2,0)") / 100).cast("decimal(6,4)")
         return quarters.select("rate_date", rate.alias("usd_rate"))
 
@@ -262,7 +264,44 @@ class Warehouse:
 
 
 class Faulty(Warehouse):
-    """The same warehouse with one fault planted per health check."""
+    """The same warehouse with one fault planted per health check and per kind of constraint on dimensions."""
+
+    @cached_property
+    def channels(self) -> DataFrame:
+        """One channel listed twice in another area."""
+        seed = Warehouse.channels.func(self)
+        return seed.unionByName(seed.where("channel = '2-HIGH'").withColumn("area", F.lit(None).cast("string")))
+
+    @cached_property
+    def room_types(self) -> DataFrame:
+        """A room type without a category."""
+        types = Warehouse.room_types.func(self)
+        return types.withColumn("category", F.when(F.col("room_type") != "RO", F.col("category")))
+
+    @cached_property
+    def agents(self) -> DataFrame:
+        """Some agents without a name, and some listed twice."""
+        named = F.when(F.col("agent_src_id") % 9 != 0, F.col("agent_name"))
+        agents = Warehouse(self.spark, self.folder).agents.withColumn("agent_name", named)
+        return agents.unionByName(agents.where("agent_src_id % 11 = 0"))
+
+    @cached_property
+    def property_targets(self) -> DataFrame:
+        """Targets of a property that the master lacks, and targets without a month."""
+        targets = Warehouse.property_targets.func(self)
+        return targets.withColumns(
+            {
+                "property_id": F.when(F.col("property_id") % 8 == 0, 900).otherwise(F.col("property_id")),
+                "month": F.when(F.col("month") != 2, F.col("month")),
+            }
+        )
+
+    @cached_property
+    def agent_targets(self) -> DataFrame:
+        """Targets of agents that the dimension lacks."""
+        targets = Warehouse(self.spark, self.folder).agent_targets
+        lost = F.when(F.col("month") == 3, F.lit(-1).cast("bigint")).otherwise(F.col("agent_id"))
+        return targets.withColumn("agent_id", lost)
 
     @cached_property
     def guests(self) -> DataFrame:

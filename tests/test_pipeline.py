@@ -9,7 +9,7 @@ from stayline.plans.load import run_load
 from stayline.plans.runlog import RunLog, recent_runs, run_stats
 from stayline.plans.silver import build_silver
 from stayline.sources.bronze import land_batch, read_bronze
-from stayline.sources.store import publish, published_version, read_published
+from stayline.sources.store import child_folders, publish, published_version, read_published, shared_root
 from tests.conftest import day, rows_of
 
 
@@ -66,6 +66,21 @@ def test_silver_from_bronze(spark, folder, batch, properties):
         assert broken.collect() == []
 
 
+def test_a_sale_time_that_is_no_time_is_set_aside(spark, folder, raw, properties):
+    lines = raw(dict(booking_id=1, created_time_txt="25:99"), dict(booking_id=2, created_time_txt=None), dict(booking_id=3))
+    counts = build_silver(spark, lines, properties, f"{folder}/silver")
+    assert counts[:4] == (1, 2, 2, 1)
+    assert rows_of(read_published(spark, f"{folder}/silver", "quarantine"), "booking_id", "reason") == [(1, "unreadable sale time")]
+
+
+def test_intermediate_tables_and_old_versions_go(spark, folder, batch, properties):
+    home = f"{shared_root(spark)}/stayline/{spark.sparkContext.applicationId}"
+    before = set(child_folders(spark, home))
+    versions = [build_silver(spark, batch, properties, f"{folder}/silver").version for _ in range(3)]
+    assert set(child_folders(spark, home)) <= before
+    assert {name for name in child_folders(spark, f"{folder}/silver") if name != "_published"} == set(versions[1:])
+
+
 def test_silver_twice_is_the_same_and_the_former_version_stays(spark, folder, batch, properties):
     out = f"{folder}/silver"
     first = build_silver(spark, batch, properties, out)
@@ -115,7 +130,7 @@ def test_load_end_to_end(spark, folder, batch, raw, properties):
     agents = rows_of(read_published(spark, f"{folder}/dimensions", "dim_agent"), "agent_id", "agent_src_id", "active")
     assert agents == [(1, 7, True), (2, 8, True), (3, 3, True)]
     log = RunLog(spark, f"{folder}/run_log").runs()
-    assert log.count() == 12 and rows_of(log.select("status").distinct()) == [("OK",)]
+    assert log.count() == 15 and rows_of(log.select("status").distinct()) == [("OK",)]
 
 
 def test_failed_step_leaves_a_trail(spark, folder):
