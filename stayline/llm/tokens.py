@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 
 import numpy as np
 
 #: Units whose ids a worker remembers before it starts afresh.
-CACHE_UNITS = 300_000
-
-#: A blank between two characters that are no white space. The vocabulary's splitter never joins across it.
-_CUT = re.compile(r"(?<=\S)(?= \S)")
+CACHE_UNITS = 600_000
+#: Units per call of the tokenizer.
+_RUN = 500
 _UNSAFE = re.compile(r"\s\s")
 
 
@@ -21,11 +21,46 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class _Numbers(dict):
+    """Numbers units as they are first asked for, and lists those that are new."""
+
+    def __init__(self):
+        self.fresh: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = number = len(self)
+        self.fresh.append(unit)
+        return number
+
+
+class _Runs:
+    """Short arrays in a row, with room to grow."""
+
+    def __init__(self):
+        self.values, self.ends, self.count = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 0
+
+    def add(self, parts: list[np.ndarray]) -> None:
+        begin = int(self.ends[self.count])
+        ends = begin + np.cumsum([len(part) for part in parts])
+        self.values = self._grown(self.values, int(ends[-1]))
+        self.ends = self._grown(self.ends, self.count + len(parts) + 1)
+        self.values[begin : ends[-1]] = np.concatenate(parts)
+        self.ends[self.count + 1 : self.count + 1 + len(parts)] = ends
+        self.count += len(parts)
+
+    @staticmethod
+    def _grown(values: np.ndarray, size: int) -> np.ndarray:
+        return values if size <= len(values) else np.concatenate((values, np.zeros(max(size, len(values)), values.dtype)))
+
+
 class Encoder:
-    """Ids by the `tokenizers` library, with the ids of blank-separated units remembered.
+    """Ids by the `tokenizers` library, with the ids of single words remembered.
 
-    The vocabulary splits text into pieces before it merges bytes, and a single blank between two visible characters
-    always starts a new piece, so a text's ids are those of its units in a row. Units repeat, texts do not.
+    A byte-level vocabulary splits text into pieces before it merges bytes. A single blank between visible characters
+    belongs to the piece behind it, a single line end is a piece by itself, and no piece reaches across either. So the ids
+    of a text without neighbouring white space are those of its words in a row, each with the blank before it, and words
+    repeat where texts do not. New words go to the tokenizer many at a time, as lines of one text. Other texts go there
+    whole.
     """
 
     def __init__(self, path: str):
@@ -33,32 +68,71 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._known: dict[str, bytes] = {}
+        (self._line_end,) = self._whole(["\n"])[0]
+        self._forget()
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(one.ids, dtype=np.uint32) for one in found]
+
+    def _forget(self) -> None:
+        # a unit is a word behind a blank; a word at the start of a line is kept with a blank in front of its name
+        self._numbers = _Numbers()
+        self._known = _Runs()
+
+    def _learn(self) -> None:
+        """Ask the tokenizer for the units that were numbered since it was asked last."""
+        fresh = [unit[1:] if unit[:1] == " " else " " + unit for unit in self._numbers.fresh]
+        if not fresh:
+            return
+        self._numbers.fresh = []
+        plain = []
+        for at, text in enumerate(fresh):
+            visible = text.removeprefix(" ")
+            if visible and "\n" not in visible and visible == visible.strip():
+                plain.append(at)
+        found: list[np.ndarray | None] = [None] * len(fresh)
+        runs = [plain[at : at + _RUN] for at in range(0, len(plain), _RUN)]
+        for run, ids in zip(runs, self._whole(["\n".join([fresh[at] for at in run]) for run in runs]), strict=True):
+            cuts = np.flatnonzero(ids == self._line_end)
+            begins = [0, *(cuts + 1).tolist()]
+            for at, begin, end in zip(run, begins, [*cuts.tolist(), len(ids)], strict=True):
+                found[at] = ids[begin:end]
+        odd = [at for at, own in enumerate(found) if own is None]
+        for at, ids in zip(odd, self._whole([fresh[at] for at in odd]), strict=True):
+            found[at] = ids
+        self._known.add(found)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, without special tokens."""
-        units = [self._units(text) for text in texts]
-        known = self._known
-        missing = [u for u in set().union(*units) if u not in known] if units else []
-        if len(known) + len(missing) > CACHE_UNITS:
-            known.clear()
-            missing = list(set().union(*units))
-        for at in range(0, len(missing), 20_000):
-            part = missing[at : at + 20_000]
-            for unit, found in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[unit] = np.array(found.ids, dtype="<u4").tobytes()
-        return [np.frombuffer(b"".join([known[u] for u in own]), dtype="<u4") for own in units]
-
-    @staticmethod
-    def _units(text: str) -> list[str]:
-        if _UNSAFE.search(text):
-            return _CUT.split(text)
-        first, *rest = text.split(" ")
-        units = [" " + word for word in rest]
-        # a blank at either end, or next to nothing, is no cut
-        if not first or (rest and not rest[-1]):
-            return _CUT.split(text)
-        return [first, *units]
+        if len(self._numbers) > CACHE_UNITS:
+            self._forget()
+        numbers, rows, whole = self._numbers, [], []
+        end = numbers[" \n"]
+        for at, text in enumerate(texts):
+            if _UNSAFE.search(text):
+                whole.append(at)
+                rows.append([])
+                continue
+            row: list[int] = []
+            for line in text.split("\n"):
+                first, *rest = line.split(" ")
+                row.append(numbers[" " + first])
+                row += [numbers[word] for word in rest]
+                row.append(end)
+            rows.append(row[:-1])
+        self._learn()
+        counts = [len(row) for row in rows]
+        flat = np.fromiter(itertools.chain.from_iterable(rows), np.int64, sum(counts))
+        begins = self._known.ends[flat]
+        sizes = self._known.ends[flat + 1] - begins
+        stops = np.cumsum(sizes)
+        ids = self._known.values[np.repeat(begins - stops + sizes, sizes) + np.arange(stops[-1] if len(stops) else 0)]
+        borders = np.concatenate(([0], stops))[np.cumsum([0, *counts])]
+        out = [ids[a:b] for a, b in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True)]
+        for at, own in zip(whole, self._whole([texts[at] for at in whole]), strict=True):
+            out[at] = own
+        return out
 
 
 @functools.lru_cache(maxsize=2)
