@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stayline.llm import decontaminate, line_dedup, warc
+from stayline.llm import decontaminate, line_dedup, rendezvous, warc
 from stayline.llm.decontaminate import op10_decontaminate
 from stayline.llm.direct_codes import op4_direct_codes
 from stayline.llm.language_mix import op7_language_mix
@@ -30,5 +30,6 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op2_line_dedup": line_dedup.ORACLE,
     "op3_warc_revisits": warc.ORACLE,
+    "op5_rendezvous": rendezvous.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
 }

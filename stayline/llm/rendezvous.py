@@ -77,3 +77,30 @@ def op5_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 equal shards under the law `key`."""
     placed = shard_documents(read(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+#: The checksum by its table of 256 steps, which the rule of the polynomial gives.
+ORACLE = """
+WITH entries AS (
+  SELECT list_reduce(list_prepend(i, range(8)), 
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v, i
+  FROM range(256) r(i)),
+tables AS (SELECT list(v ORDER BY i) AS steps FROM entries),
+content AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+sums AS (
+  SELECT doc_id, octet_length(encode(text))::BIGINT + 16 AS size,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, [('0x' || b)::BIGINT for b in regexp_extract_all(hex(encode(text)), '..')]),
+      lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+  FROM content, tables),
+scores AS (
+  SELECT doc_id, list_transform(range(41), lambda s: -1.0 / ln(((
+    '0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || s), 1, 13))::BIGINT + 0.5) / 4503599627370496.0)) AS score
+  FROM documents),
+placed AS (
+  SELECT doc_id, (list_position(score[1:40], list_max(score[1:40])) - 1)::INT AS shard, 
+    (list_position(score, list_max(score)) - 1)::INT AS grown_shard
+  FROM scores)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, grown_shard
+FROM sums JOIN placed USING (doc_id)
+"""
