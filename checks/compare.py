@@ -51,7 +51,7 @@ def main(arguments: list[str]) -> int:
     connection = oracle_connection(folder)
     queries, oracles = entry.queries(), entry.oracle_sql()
     failures = 0
-    for name in arguments[1:] or queries:
+    for name in arguments[1:] or oracles:
         begun = time.monotonic()
         try:
             problem = compare(spark, connection, folder, queries[name], oracles[name])
