@@ -29,13 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from stayline.llm.tables import BATCH_ROWS, as_bytes, blocks, read, stored
+from stayline.llm.tables import BATCH_ROWS, as_bytes, blocks, read, release, stored
 
 #: Text of a block, and its documents, at most (one document at least).
 BLOCK_BYTES = 8 << 20
 BLOCK_DOCS = 4_000
 #: Entries of a shard, about.
-SHARD_ENTRIES = 2_000_000
+SHARD_ENTRIES = 1_000_000
 #: A context is spread over one more shard for every so many of its occurrences.
 SPREAD = 500_000
 #: Weight of a word's own probability beside what follows its context.
@@ -95,7 +95,9 @@ class EliasFano:
         top = int(values[-1]) if count else 0
         low_bits = max(0, (top // max(1, count)).bit_length() - 1)
         low = values & np.uint64((1 << low_bits) - 1)
-        bits = ((low[:, None] >> np.arange(low_bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
+        bits = np.empty((count, low_bits), dtype=np.uint8)
+        for bit in range(low_bits):
+            bits[:, bit] = (low >> np.uint64(bit)) & np.uint64(1)
         high = (values >> np.uint64(low_bits)).astype(np.int64)
         bitmap = np.zeros(count + (top >> low_bits) + 1, dtype=np.uint8)
         bitmap[high + np.arange(count)] = 1
@@ -463,8 +465,9 @@ def score(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     word_shards = blocks(sizes[0] or 0, SHARD_ENTRIES)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # rows hold whole blocks from here on
     counted = stored(count_words(numbered, word_shards), "word-counts")
+    release(spark)
     by_shard = counted.groupBy("shard").agg(*[F.first(name).alias(name) for name in ("n_train", "n_distinct", "n_words")])
-    # a row per shard, which holds two million words
+    # a row per shard, which holds a million words or so
     parts = by_shard.toPandas()
     words = np.zeros(word_shards, dtype=np.int64)
     words[parts["shard"]] = parts["n_words"]
