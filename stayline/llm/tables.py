@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import re
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -18,6 +20,9 @@ __all__ = ["blocks", "read", "stored", "tuned_for_text", "work_path"]
 #: Rows handed to Python at once; a text may be long, so the batches are far below Spark's own 10,000 rows.
 BATCH_ROWS = 1_000
 
+#: Ids (eight bytes each) that may be sent to every task.
+BROADCAST_IDS = 2_000_000
+
 #: Words of the contracts: runs of anything but ASCII white space. `bytes.split()` cuts at exactly these.
 SPACES = r"[ \x09-\x0D]+"
 
@@ -60,6 +65,20 @@ def blocks(total: int, size: int) -> int:
     return max(1, -(-total // size))
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver notice which shuffles are no longer needed, so that their files go before more are written. What
+    Python lets go of first is noticed in the second turn."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
+
+
+def sized_broadcast(ids: DataFrame) -> DataFrame:
+    """A stored table of ids, to be broadcast where it is counted to be small, and to be shuffled with its partner else."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def words_of(text: bytes) -> list[bytes]:
     return text.split()
 
