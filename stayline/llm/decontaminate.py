@@ -111,9 +111,6 @@ def item_word_counts(docs: DataFrame, items: list[tuple[str, bytes]]) -> dict[by
     return {bytes(row["word"]): row["n"] for row in counted.toLocalIterator()}
 
 
-_FOUND = "n_words bigint, spans array<struct<start: int, stop: int>>, items array<string>"
-
-
 def occurrences(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of `docs`: its columns, n_words, spans (runs of hit words, by their places), items (sorted, as strings).
 

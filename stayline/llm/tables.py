@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from stayline.sources.store import stored, work_path
 
-__all__ = ["blocks", "read", "stored", "tuned_for_text", "work_path"]
+__all__ = ["blocks", "read", "release", "sized_broadcast", "stored", "tuned_for_text", "work_path"]
 
 #: Rows handed to Python at once; a text may be long, so the batches are far below Spark's own 10,000 rows.
 BATCH_ROWS = 1_000
@@ -23,9 +23,6 @@ BATCH_ROWS = 1_000
 #: Ids (eight bytes each) that may be sent to every task.
 BROADCAST_IDS = 2_000_000
 
-#: Words of the contracts: runs of anything but ASCII white space. `bytes.split()` cuts at exactly these.
-SPACES = r"[ \x09-\x0D]+"
-
 
 def tuned_for_text(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
@@ -79,10 +76,6 @@ def sized_broadcast(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.split()
-
-
 def unused(df: DataFrame, name: str) -> str:
     """A column name that the frame does not have yet."""
     taken = {column.lower() for column in df.columns}
