@@ -62,7 +62,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared folder and go on from there, so that every later reader sees the same rows and a lost
     executor costs no more than re-reading its files."""
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
