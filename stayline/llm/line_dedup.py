@@ -3,12 +3,9 @@
 Lines are sets of words; two lines match at a Jaccard similarity of 0.8 or more, and a line goes if an earlier line of the
 corpus matches it. Equal lines meet first, by one map-side minimum, so that a line that fills a third of the corpus is one
 row afterwards. Then words are ordered by rarity, the rarest fifth (and one) of each line is its prefix, and lines that
-share a prefix word are candidates if their lengths, the places of the shared word and then their whole prefixes allow the
-similarity. Candidates are verified on their whole sets.
-
-It is asked whether a line has an earlier match, not how many, so thousands of variants of one line are never paired with
-each other: each line first meets only the earliest line under some of its prefix words, and those that match it are
-settled. The full join then looks for earlier lines of the others alone, among all lines.
+share a prefix word are candidates if their lengths, the places of the shared word, and a 64-bit parity of their words allow
+the similarity. Candidates are verified on their whole sets. Every match between two different lines is a link, and all
+links are found and counted; so variants of one line make as many links as there are pairs of them.
 
 Rarity comes from counts of all words, kept by hash in a table of fixed size; any order gives the same matches, a good one
 gives few candidates. Words are compared by 64 bits of their hash.
@@ -18,7 +15,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.llm.tables import read, release, sized_broadcast, stored, unused
@@ -28,8 +25,6 @@ SIMILAR, OF = 4, 5
 #: Counters of the rarity table; a byte each.
 RARITY_BITS = 20
 _CHUNK_BITS = 10
-#: Prefix words under which a line meets the earliest line in the first round; the second round does without a limit.
-LEADER_WORDS = 4
 
 
 def words_of(line: Column) -> Column:
@@ -73,7 +68,7 @@ def _hashes(line: Column) -> Column:
 
 
 def _heads(lines: DataFrame, ranks: DataFrame, bits: int) -> DataFrame:
-    """Per line: id, where it stands (doc, number), its number of words n, and its prefix, rarest word first."""
+    """Per line: id, its number of words n, the parity of its words, and its prefix, rarest word first."""
     mask = (1 << bits) - 1
 
     def ordered(table: Column) -> Column:
@@ -83,18 +78,15 @@ def _heads(lines: DataFrame, ranks: DataFrame, bits: int) -> DataFrame:
 
         return F.sort_array(F.array_distinct(F.transform(_hashes(F.col("line")), code)))
 
-    sets = lines.withColumn("ranks", ranks.scalar()).select("id", "first", ordered(F.col("ranks")).alias("words"))
+    sets = lines.withColumn("ranks", ranks.scalar()).select("id", ordered(F.col("ranks")).alias("words"))
     n = F.size("words")
     length = n - F.floor((SIMILAR * n + OF - 1) / OF).cast("int") + 1
-    # a null id comes before all others
-    doc = F.coalesce(F.col("first.doc_id").cast("bigint"), F.lit(-(1 << 63)))
-    return sets.select(
-        "id", doc.alias("doc"), F.col("first.number").alias("number"), n.alias("n"),
-        F.slice("words", F.lit(1), length).alias("prefix"),
+    one = F.lit(1).cast("long")
+    parity = F.aggregate(
+        "words", F.lit(0).cast("long"),
+        lambda seen, word: seen.bitwiseXOR(F.call_function("shiftleft", one, word.bitwiseAND(F.lit(63)).cast("int"))),
     )
-
-
-_ORDER = ["doc", "number", "id"]
+    return sets.select("id", n.alias("n"), parity.alias("parity"), F.slice("words", F.lit(1), length).alias("prefix"))
 
 
 def _must_share(total: Column) -> Column:
@@ -102,97 +94,72 @@ def _must_share(total: Column) -> Column:
     return F.floor((SIMILAR * total + SIMILAR + OF - 1) / (SIMILAR + OF)).cast("int")
 
 
-def _may_match(a: str, b: str) -> Column:
-    """Length and position bounds for two rows that share a prefix word; columns of each side begin with its name."""
-    n, left = ([F.col(f"{side}{name}") for side in (a, b)] for name in ("n", "left"))  # left: words from the shared one on
-    places = (SIMILAR + OF) * F.least(*left) >= SIMILAR * (n[0] + n[1])
-    return places & (OF * F.least(*n) >= SIMILAR * F.greatest(*n))
-
-
-def _near(heads: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs whose prefixes allow a match. A prefix holds all words of its line up to its last one, so up to the smaller
-    of two last words every word that only one prefix holds is one that only one line holds."""
-    side = lambda end: heads.select(F.col("id").alias(end), F.struct("n", "prefix").alias(f"{end}_head"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    a, b = F.col("a_head.prefix"), F.col("b_head.prefix")
-    last = F.least(F.element_at(a, -1), F.element_at(b, -1))
-    lone = [F.size(F.array_except(F.filter(x, lambda word: word <= last), y)) for x, y in ((a, b), (b, a))]
-    total = F.col("a_head.n") + F.col("b_head.n")
-    return both.where(lone[0] + lone[1] <= total - 2 * _must_share(total)).select("a", "b")
-
-
-def _leader_pairs(heads: DataFrame) -> DataFrame:
-    """(a, b): each line a and the earliest line b under one of its first prefix words, where they may match."""
-    few = heads.select(*_ORDER, "n", F.posexplode(F.slice("prefix", 1, LEADER_WORDS)).alias("place", "word"))
-    under = Window.partitionBy("word").orderBy(*_ORDER)
-    few = few.withColumn("left", F.col("n") - F.col("place"))
-    led = few.withColumn("leader", F.first(F.struct("id", "n", "left")).over(under)).select(
-        "id", "n", "left", *[F.col(f"leader.{c}").alias(f"leader_{c}") for c in ("id", "n", "left")]
-    )
-    pairs = led.where((F.col("id") != F.col("leader_id")) & _may_match("", "leader_"))
-    return pairs.select(F.col("id").alias("a"), F.col("leader_id").alias("b")).distinct()
-
-
-def _other_pairs(heads: DataFrame, settled: DataFrame) -> DataFrame:
-    """(a, b): each line a that is not settled and every earlier line b that shares a prefix word and may match."""
-    known = sized_broadcast(settled).select("id", F.lit(True).alias("settled"))
-    # number and settled in one column that both sides ask for, and set down, so that both sides are one shuffle
-    mark = 2 * F.col("number").cast("bigint") + F.when(F.col("settled"), 1).otherwise(0)
-    marked = heads.join(known, "id", "left").select("id", "doc", mark.alias("mark"), "n", "prefix")
-    rows = stored(marked, "marked").select("id", "doc", "mark", "n", F.posexplode("prefix").alias("place", "word"))
-    rows = rows.withColumn("left", F.col("n") - F.col("place"))
-    columns = ["id", "doc", "mark", "n", "left"]
+def _candidates(heads: DataFrame) -> DataFrame:
+    """Pairs (a, b) of line ids that share a prefix word and pass all bounds, once each."""
+    rows = heads.select("id", "n", "parity", F.posexplode("prefix").alias("place", "word"))
+    rows = rows.withColumn("left", F.col("n") - F.col("place"))  # words from the shared one on
+    columns = ["id", "n", "left", "parity"]
     sides = [rows.select("word", *[F.col(c).alias(f"{side}{c}") for c in columns]) for side in ("a_", "b_")]
-    # nothing stands before a settled line
-    is_settled, b_number = F.col("a_mark") % 2 == 1, F.shiftright("b_mark", 1)
-    bound = F.when(is_settled, -1).otherwise(F.shiftright("a_mark", 1))
-    start = F.when(is_settled, F.lit(-(1 << 63))).otherwise(F.col("a_doc"))
-    same = (F.col("b_doc") == start) & ((b_number < bound) | ((b_number == bound) & (F.col("b_id") < F.col("a_id"))))
+    total = F.col("a_n") + F.col("b_n")
+    lengths = OF * F.least("a_n", "b_n") >= SIMILAR * F.greatest("a_n", "b_n")
+    places = (SIMILAR + OF) * F.least("a_left", "b_left") >= SIMILAR * total
+    # a bit differs only where the number of words that one line alone holds is odd
+    parities = F.bit_count(F.col("a_parity").bitwiseXOR(F.col("b_parity"))) <= total - 2 * _must_share(total)
     met = sides[0].join(sides[1].hint("merge"), "word")
-    return met.where(_may_match("a_", "b_") & ((F.col("b_doc") < start) | same)).select(
+    return met.where((F.col("a_id") < F.col("b_id")) & lengths & places & parities).select(
         F.col("a_id").alias("a"), F.col("b_id").alias("b")
     ).distinct()
 
 
-def _matching(lines: DataFrame, heads: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
-    """Ids of the lines a of `pairs` that match their b, by their whole sets."""
-    pairs = stored(_near(heads, pairs), "near")
-    release(lines.sparkSession)
+def _links(lines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(later, earlier) of the pairs that match by their whole sets."""
     involved = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "involved")
     words = F.array_distinct(_hashes(F.col("line")))
-    whole = lines.select("id", "line").join(sized_broadcast(involved), "id")
-    sets = stored(whole.select("id", words.alias("words")), name)
-    side = lambda end: sets.select(F.col("id").alias(end), F.col("words").alias(f"{end}_words"))
+    whole = lines.join(sized_broadcast(involved), "id")
+    sets = stored(whole.select("id", words.alias("words"), "first"), "line-sets")
+    side = lambda end: sets.select(F.col("id").alias(end), F.struct("words", "first").alias(f"{end}_set"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    shared = F.size(F.array_intersect("a_words", "b_words"))
-    total = F.size("a_words") + F.size("b_words")
-    return both.where((SIMILAR + OF) * shared >= SIMILAR * total).select(F.col("a").alias("id")).distinct()
+    shared = F.size(F.array_intersect("a_set.words", "b_set.words"))
+    total = F.size("a_set.words") + F.size("b_set.words")
+    # a null id comes before all others
+    a_later = F.struct("a_set.first", "a") > F.struct("b_set.first", "b")
+    return both.where((SIMILAR + OF) * shared >= SIMILAR * total).select(
+        F.when(a_later, F.col("a")).otherwise(F.col("b")).alias("later"),
+        F.when(a_later, F.col("b")).otherwise(F.col("a")).alias("earlier"),
+    )
 
 
-def repeated_lines(docs: DataFrame, bits: int = RARITY_BITS) -> tuple[DataFrame, DataFrame]:
-    """(lines, gone): every different line (id, line, first) and the ids of those with an earlier match."""
+def line_links(docs: DataFrame, bits: int = RARITY_BITS) -> tuple[DataFrame, DataFrame]:
+    """(lines, links): every different line (id, line, first) and all matching pairs (later, earlier) of their ids."""
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text").where("text IS NOT NULL")
     lines = stored(_first_positions(texts).select(F.monotonically_increasing_id().alias("id"), "line", "first"), "lines")
     release(spark)
     ranks = stored(rarity(lines.select(F.col("line").alias("text")), bits), "rarity")
     heads = stored(_heads(lines, ranks, bits), "heads")
-    led = stored(_leader_pairs(heads), "pairs")
-    release(spark)
-    settled = stored(_matching(lines, heads, led, "line-sets"), "settled")
     release(spark)
-    others = stored(_other_pairs(heads, settled), "pairs")
+    pairs = stored(_candidates(heads), "candidates")
     release(spark)
-    more = stored(_matching(lines, heads, others, "line-sets"), "settled")
+    links = stored(_links(lines, pairs), "line-links")
     release(spark)
-    return lines, settled.unionByName(more)
+    return lines, links
 
 
 def kept_lines(docs: DataFrame, bits: int = RARITY_BITS) -> DataFrame:
-    """doc_id, code (text hash) and kept (numbers of lines that stay) of documents of which some line stays."""
-    lines, gone = repeated_lines(docs, bits)
-    firsts = lines.select("id", "first").join(gone, "id", "left_anti")
-    return firsts.groupBy("first.doc_id", "first.code").agg(F.collect_list("first.number").alias("kept"))
+    """doc_id, code (text hash), kept (numbers of lines that stay) and n_links of documents in which some line stands first.
+
+    n_links counts the links of the lines that stand in the document first, each between two different lines.
+    """
+    lines, links = line_links(docs, bits)
+    ends = [F.struct(F.col(end).alias("id"), F.lit(gone).alias("gone")) for end, gone in (("later", 1), ("earlier", 0))]
+    counts = links.select(F.explode(F.array(*ends)).alias("e"))
+    by_line = counts.groupBy(F.col("e.id").alias("id")).agg(F.max("e.gone").alias("gone"), F.count("*").alias("links"))
+    firsts = lines.select("id", "first").join(by_line, "id", "left")
+    stays = F.coalesce("gone", F.lit(0)) == 0
+    return firsts.groupBy("first.doc_id", "first.code").agg(
+        F.collect_list(F.when(stays, F.col("first.number"))).alias("kept"),
+        F.coalesce(F.sum("links"), F.lit(0)).cast("bigint").alias("n_links"),
+    )
 
 
 def _spoken(text: Column) -> Column:
@@ -202,15 +169,15 @@ def _spoken(text: Column) -> Column:
 
 
 def mark_lines(docs: DataFrame, bits: int = RARITY_BITS, prefix: str = "") -> DataFrame:
-    """Add to every row of `docs`: n_lines (lines with a word) and removed_lines (numbers from 0, ascending).
+    """Add to every row of `docs`: n_lines (lines with a word), removed_lines (numbers from 0, ascending) and n_links.
 
     A line goes if an equal or similar line stands earlier, by doc_id (null first), then line number; so a document
     removes repetitions inside itself too, and equal rows lose the same lines. Where different texts share a doc_id, one
     line of two at the same number counts as earlier. Lines without a word are never removed; null texts have no lines.
     """
-    names = {name: unused(docs, prefix + name) for name in ("n_lines", "removed_lines")}
+    names = {name: unused(docs, prefix + name) for name in ("n_lines", "removed_lines", "n_links")}
     code, spoken = unused(docs, "_code"), unused(docs, "_spoken")
-    kept = kept_lines(docs, bits).toDF("_kept_doc", "_kept_code", "_kept")
+    kept = kept_lines(docs, bits).toDF("_kept_doc", "_kept_code", "_kept", "_links")
     rows = docs.withColumns({code: F.xxhash64("text"), spoken: _spoken(F.col("text"))})
     joined = rows.join(kept, rows["doc_id"].eqNullSafe(kept["_kept_doc"]) & (rows[code] == kept["_kept_code"]), "left")
     removed = F.array_except(F.col(spoken), F.coalesce("_kept", F.array().cast("array<int>")))
@@ -218,15 +185,16 @@ def mark_lines(docs: DataFrame, bits: int = RARITY_BITS, prefix: str = "") -> Da
         *[rows[column] for column in docs.columns],
         F.size(spoken).cast("bigint").alias(names["n_lines"]),
         removed.alias(names["removed_lines"]),
+        F.coalesce("_links", F.lit(0)).cast("bigint").alias(names["n_links"]),
     )
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """Documents without their removed lines, with all columns; a document that loses every line with a word goes, one
     that had none stays. n_chars, where there is one, follows the text."""
-    marks = [unused(docs, "_m_" + name) for name in ("n_lines", "removed_lines")]
+    marks = [unused(docs, "_m_" + name) for name in ("n_lines", "removed_lines", "n_links")]
     marked = mark_lines(docs, prefix="_m_")
-    n_lines, removed = (F.col(name) for name in marks)
+    n_lines, removed, _ = (F.col(name) for name in marks)
     left = F.filter(F.transform(F.split("text", "\n"), lambda line, at: F.when(~F.array_contains(removed, at), line)), lambda line: line.isNotNull())
     text = F.when(F.size(removed) > 0, F.array_join(left, "\n")).otherwise(F.col("text"))
     stays = marked.where((n_lines == 0) | (F.size(removed) < n_lines))
@@ -241,7 +209,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = mark_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return marked.select(
         "doc_id", "n_lines", F.size("removed_lines").cast("bigint").alias("n_removed"),
-        F.array_join("removed_lines", ",").alias("removed_lines"),
+        F.array_join("removed_lines", ",").alias("removed_lines"), "n_links",
     )
 
 
@@ -266,13 +234,16 @@ links AS (
   SELECT CASE WHEN x.first > y.first THEN a ELSE b END AS later, CASE WHEN x.first > y.first THEN b ELSE a END AS earlier
   FROM pairs JOIN sets x ON x.id = a JOIN sets y ON y.id = b
   WHERE 9 * len(list_intersect(x.words, y.words)) >= 4 * (len(x.words) + len(y.words))),
+ends AS (SELECT later AS id FROM links UNION ALL SELECT earlier FROM links),
+by_line AS (SELECT id, count(*) AS n FROM ends GROUP BY id),
 kept AS (SELECT first[1] AS doc_id, first[2] AS number FROM sets WHERE id NOT IN (SELECT later FROM links)),
+linked AS (SELECT first[1] AS doc_id, sum(n) AS n_links FROM sets JOIN by_line USING (id) GROUP BY 1),
 marked AS (
   SELECT s.doc_id, s.number, k.number IS NULL AS gone FROM spoken s LEFT JOIN kept k ON s.doc_id = k.doc_id AND s.number = k.number),
 by_doc AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
     coalesce(string_agg(number::VARCHAR, ',' ORDER BY number) FILTER (WHERE gone), '') AS removed_lines FROM marked GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
-  coalesce(removed_lines, '') AS removed_lines
-FROM documents d LEFT JOIN by_doc USING (doc_id)
+  coalesce(removed_lines, '') AS removed_lines, coalesce(n_links, 0)::BIGINT AS n_links
+FROM documents d LEFT JOIN by_doc USING (doc_id) LEFT JOIN linked USING (doc_id)
 """

@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -91,3 +92,32 @@ def test_documents_keep_their_columns(docs):
 def test_main_path_runs_no_python(docs):
     plan = mark_lines(docs("a b", "a c"), BITS)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def plain_links(rows):
+    """Links of the lines that stand first in each document, by comparing every two different lines."""
+    first = {}
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            if re.search(r"[^ \x09-\x0D]", line):
+                first.setdefault(line, doc_id)
+    sets = {line: {w for w in re.split(r"[ \x09-\x0D]+", line.lower()) if w} for line in first}
+    counts = dict.fromkeys((doc_id for doc_id, _ in rows), 0)
+    for a, b in itertools.combinations(first, 2):
+        if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+            counts[first[a]] += 1
+            counts[first[b]] += 1
+    return counts
+
+
+def test_every_link_is_counted(docs):
+    pick = random.Random(11)
+    base = [f"v{n}" for n in range(40)]
+    # variants of one line, all linked to the first and many to each other
+    variants = [" ".join(w if pick.random() > 0.06 else f"x{pick.randrange(9)}" for w in base) for _ in range(50)]
+    mixed = ["a b c d", "a b c d e", "D c B a", "k l m", "k l m n", "a b c d\nA B C D\nown text", "", None, "a b c d"]
+    rows = list(enumerate([base[0], " ".join(base), *variants, *mixed]))
+    wanted = plain_links(rows)
+    assert sum(wanted.values()) > 1000
+    assert {r.doc_id: r.n_links for r in mark_lines(docs(*rows), BITS).collect()} == wanted
+    assert marked(docs(*rows)) == plain(rows)
