@@ -7,9 +7,10 @@ and the successors themselves (made monotone by adding the end of the context be
 a successor search inside the context's range.
 
 The corpus is never in one place. Tasks cut documents into blocks of bounded size and number the words of a block. The
-words go to shards by hash, which count them over all blocks and answer each block. Then pairs go to shards by context;
-frequent contexts are spread over several, as the counts tell. A shard builds its own part of the trie from its training
-pairs, answers all pairs it was sent, and returns one sum per document of each block.
+words go to shards by hash, which count them over all blocks and answer each block. Then the different pairs of each block,
+with their counts, go to shards by context; frequent contexts are spread over several, as the counts tell. A shard sums the
+counts, builds its own part of the trie, and returns a score per different pair of each block, which the block sums per
+document. So a pair costs a shard one entry per block, however often it stands there.
 """
 
 from __future__ import annotations
@@ -360,8 +361,22 @@ class Totals:
         return np.log10((counts + 1.0) / (self.tokens + self.distinct + 1.0))
 
 
+def pair_places(tokens: np.ndarray, lengths: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different pairs of a block, in order, as before * (n_words + 1) + word, where before is 0 or one above the place
+    of the word before; and the place of each token's pair among them."""
+    before = np.empty(len(tokens), dtype=np.int64)
+    before[1:] = tokens[:-1].astype(np.int64) + 1
+    before[_starts(lengths)] = START
+    return np.unique(before * np.int64(n_words + 1) + tokens, return_inverse=True)
+
+
+def _starts(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
+
+
 def deal_pairs(numbered: DataFrame, counted: DataFrame, totals: Totals, shards: int) -> DataFrame:
-    """Rows (kind, shard, block, doc_ids, body): the pairs of a block for each shard, and the documents of the block."""
+    """Rows (kind, shard, block, doc_ids, body): the different pairs of a block for each shard, with how often each stands in
+    the block's training texts, and the documents of the block."""
     target = to_arrow_schema(StructType.fromDDL(_PAIRS))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,24 +391,22 @@ def deal_pairs(numbered: DataFrame, counted: DataFrame, totals: Totals, shards:
         ids = np.concatenate([unpack(a["ranks"])[0] + np.uint64(totals.before[a["shard"]] + 1) for a in answers])
         (tokens,), (lengths,), (held,) = unpack(row["tokens"]), unpack(row["lengths"]), unpack(row["held"])
         own = totals.log_own(counts.astype(np.float64))
-        starts = np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
+        starts = _starts(lengths)
         base = np.add.reduceat(own[tokens], starts)
         known = np.add.reduceat((counts > 0)[tokens].astype(np.int64), starts)
-        documents = pack(held, lengths, known, base)
-        yield emit("documents", int(row["block"] % shards), row["block"], row["doc_ids"], documents)
-
         size = np.int64(len(ids) + 1)
-        before = np.empty(len(tokens), dtype=np.int64)
-        before[1:] = tokens[:-1].astype(np.int64) + 1
-        before[starts] = START
-        order = np.argsort(before * size + tokens, kind="stable")
-        before, tokens = before[order], tokens[order].astype(np.int64)
-        doc = np.repeat(np.arange(len(lengths), dtype=np.uint16), lengths)[order]
+        pairs, place = pair_places(tokens, lengths, len(ids))
+        train = np.repeat(held == 0, lengths)
+        times = np.bincount(place[train], minlength=len(pairs)).astype(np.uint32)
+        before, tokens = pairs // size, pairs % size
         all_ids = np.concatenate((np.zeros(1, np.uint64), ids))
         all_counts = np.concatenate((np.array([totals.documents], np.uint64), counts))
         context, word = all_ids[before], ids[tokens]
         spread = np.uint64(1) + all_counts[before] // np.uint64(SPREAD)
         shard = ((_mixed(context + np.uint64(1)) >> np.uint64(8)) + _mixed(word) % spread) % np.uint64(shards)
+        documents = pack(held, lengths, known, base, shard.astype(np.uint32))
+        yield emit("documents", int(row["block"] % shards), row["block"], row["doc_ids"], documents)
+
         by_shard = np.argsort(shard, kind="stable")
         found, heads = np.unique(shard[by_shard], return_index=True)
         for s, a, b in zip(found.tolist(), heads.tolist(), [*heads[1:].tolist(), len(shard)], strict=True):
@@ -402,7 +415,7 @@ def deal_pairs(numbered: DataFrame, counted: DataFrame, totals: Totals, shards:
             runs = np.diff(np.append(first, len(at))).astype(np.uint32)
             body = pack(
                 context[at][first], runs, all_counts[before[at][first]], word[at], counts[tokens[at]].astype(np.uint32),
-                doc[at], held,
+                times[at],
             )
             yield emit("pairs", s, row["block"], [], body)
 
@@ -414,36 +427,42 @@ def deal_pairs(numbered: DataFrame, counted: DataFrame, totals: Totals, shards:
     return numbered.select("block", "doc_ids", "tokens", "lengths", "held").join(answers, "block").mapInArrow(pairs, _PAIRS)
 
 
-def build(context: np.ndarray, word: np.ndarray, of_context: np.ndarray, log_own: np.ndarray) -> Trie:
-    """Trie of training pairs, one entry per occurrence; `of_context` is how often the context occurs at all."""
+def build(
+    context: np.ndarray, word: np.ndarray, of_context: np.ndarray, log_own: np.ndarray, often: np.ndarray | None = None
+) -> Trie:
+    """Trie of training pairs, of which each entry counts `often` times, or once; `of_context` is how often the context
+    occurs at all."""
     key = context << np.uint64(32) | word
-    pairs, first, times = np.unique(key, return_index=True, return_counts=True)
+    pairs, first, place = np.unique(key, return_index=True, return_inverse=True)
+    times = np.bincount(place, often, len(pairs))
     total = of_context[first].astype(np.float64)
     smoothed = (times + MU * 10.0 ** log_own[first]) / (total + MU)
     return Trie.of(pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF), np.log10(smoothed), np.log10(MU / (total + MU)))
 
 
 def score_shard(frame: pd.DataFrame, totals: Totals) -> pd.DataFrame:
-    """Build the shard's part of the trie, answer its pairs with a sum per document of each block; rows about documents
-    pass through, and the trie itself is a row."""
+    """Build the shard's part of the trie and answer its pairs with a score for each pair of each block; rows about
+    documents pass through, and the trie itself is a row."""
     passed = frame[frame["kind"] == "documents"]
     asked = frame[frame["kind"] == "pairs"]
     out = [passed]
     if len(asked):
         sets = []
         for body in asked["body"]:
-            contexts, runs, of_context, word, counts, doc, held = unpack(body)
-            sets.append((np.repeat(contexts, runs), word, np.repeat(of_context, runs), totals.log_own(counts.astype(np.float64)), doc, held))
-        joined = [np.concatenate([own[k] for own in sets]) for k in range(4)]
-        train = np.concatenate([own[5][own[4]] == 0 for own in sets])
+            contexts, runs, of_context, word, counts, times = unpack(body)
+            sets.append((np.repeat(contexts, runs), word, np.repeat(of_context, runs), totals.log_own(counts.astype(np.float64)), times))
+        joined = [np.concatenate([own[k] for own in sets]) for k in range(5)]
+        train = joined[4] > 0
         trie = build(*[values[train] for values in joined])
         trie = Trie.from_bytes(written := trie.to_bytes())
         scores, at, bodies = trie.score(joined[0], joined[1], joined[3]), 0, []
         for own in sets:
             size = len(own[1])
-            bodies.append(pack(np.bincount(own[4], scores[at : at + size], len(own[5]))))
+            # few values, as they are quantised
+            values, which = np.unique(scores[at : at + size], return_inverse=True)
+            bodies.append(pack(values, which.astype(np.uint32)))
             at += size
-        out.append(asked.assign(kind="sums", body=bodies))
+        out.append(asked.assign(kind="scores", body=bodies))
         out.append(asked.iloc[:1].assign(kind="trie", block=-1, body=[written]))
     return pd.concat(out)[["kind", "shard", "block", "doc_ids", "body"]]
 
@@ -481,23 +500,34 @@ def score(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     answered = stored(
         dealt.groupBy("shard").applyInPandas(lambda frame: score_shard(frame, totals), _PAIRS), "answers"
     )
+    del dealt
+    release(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
-    def finish(frame: pd.DataFrame) -> pd.DataFrame:
+    def finish(frame: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         documents = frame[frame["kind"] == "documents"].iloc[0]
-        held, lengths, known, base = unpack(documents["body"])
-        sums = np.sum([unpack(body)[0] for body in frame.loc[frame["kind"] == "sums", "body"]], axis=0)
+        held, lengths, known, base, shard = unpack(documents["body"])
+        # pairs of a shard are in the block's order
+        place = np.argsort(shard, kind="stable")
+        starts = np.searchsorted(shard[place], np.arange(shards + 1))
+        log_p = np.empty(len(shard))
+        for row in frame[frame["kind"] == "scores"].itertuples():
+            values, which = unpack(row.body)
+            log_p[place[starts[row.shard] : starts[row.shard + 1]]] = values[which]
+        (tokens,) = unpack(own["tokens"].iloc[0])
+        _, pair = pair_places(tokens, lengths, int(own["n_words"].iloc[0]))
         return pd.DataFrame(
             {
                 "doc_id": pd.array(list(documents["doc_ids"]), dtype="Int64"), "held_out": held > 0,
                 "n_tokens": lengths.astype(np.int64), "n_known": known, "train_tokens": totals.tokens, "base_score": base,
-                "score": sums,
+                "score": np.add.reduceat(log_p[pair], _starts(lengths)),
             }
         )
 
     per_block = answered.where("kind <> 'trie'").groupBy("block")
     trie = answered.where("kind = 'trie'").select("shard", F.col("body").alias("levels"))
-    return per_block.applyInPandas(finish, _SCORES), trie
+    texts = numbered.select("block", "n_words", "tokens").groupBy("block")
+    return per_block.cogroup(texts).applyInPandas(finish, _SCORES), trie
 
 
 def op9_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,3 +100,28 @@ def test_nothing_to_learn_from(docs):
     assert score(docs("a").where("false"))[0].count() == 0
     null = score(docs((None, "a a"), (None, None)))[0].collect()
     assert len(null) == 2 and {r.train_tokens for r in null} == {4}
+
+
+def test_a_pair_is_one_entry_of_a_block(docs, monkeypatch):
+    rows = [(n, "same run of words " * 200 + f"own{n}") for n in range(30)]
+    monkeypatch.setattr(ngram_trie, "BLOCK_DOCS", 5)
+    frame = docs(*rows).repartition(1)
+    numbered = ngram_trie.number_words(frame)
+    counted = ngram_trie.count_words(numbered, 1).cache()
+    part = counted.first()
+    totals = ngram_trie.Totals(part.n_train, part.n_distinct, 30, np.zeros(1, dtype=np.int64))
+    dealt = [r for r in ngram_trie.deal_pairs(numbered, counted, totals, 3).collect() if r.kind == "pairs"]
+    entries = Counter()
+    trained = Counter()
+    for row in dealt:
+        contexts, runs, _, words, _, times = unpack(row.body)
+        for pair, often in zip(zip(np.repeat(contexts, runs).tolist(), words.tolist()), times.tolist()):
+            entries[row.block, *pair] += 1
+            trained[pair] += often
+    assert set(entries.values()) == {1}
+    # four pairs run through all texts, the last of them once less often in each
+    train = [n for n, _ in rows if zlib.crc32(str(n).encode()) % 7 != 2]
+    assert sorted(trained.values())[-4:] == [199 * len(train)] + [200 * len(train)] * 3
+    wanted = plain(rows)
+    for row in score(frame)[0].collect():
+        assert abs(row.score - wanted[row.doc_id][5]) <= 0.03 * wanted[row.doc_id][1]
