@@ -26,8 +26,6 @@ BUCKETS = 1 << BUCKET_BITS
 SMOOTHING = 0.5
 EM_ROUNDS = 6
 SET_ROUNDS = 3
-#: Largest set of languages that is tried for a document; a document in more is still ranked by all of them.
-MAX_SET = 5
 #: Overlapping trigrams see every letter three times.
 OVERLAP = 3.0
 UNKNOWN = "und"
@@ -132,7 +130,7 @@ def mixtures(texts: list[str], model: Model) -> list[np.ndarray | None]:
     share = _shares(weight, ratio, start, docs_at, total, share, EM_ROUNDS)
     rank = np.argsort(np.argsort(-share, axis=1, kind="stable"), axis=1, kind="stable")
     best, best_value = None, None
-    for size in range(1, min(count, MAX_SET) + 1):
+    for size in range(1, count + 1):
         tried = np.where(rank < size, np.maximum(share, 1e-6), 0).astype(np.float32)
         tried /= tried.sum(axis=1, keepdims=True)
         if size > 1:

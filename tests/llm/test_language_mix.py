@@ -63,3 +63,16 @@ def test_rejected_documents_go(docs):
 def test_trigrams_are_letters_only():
     assert len(language_mix.trigrams("12 . ,")) == 0
     assert np.array_equal(language_mix.trigrams("AB"), language_mix.trigrams(" ab,"))
+
+
+def test_a_text_may_hold_all_languages():
+    letters = "abcdefg"
+    counts = np.full((language_mix.BUCKETS, len(letters)), language_mix.SMOOTHING)
+    for at, letter in enumerate(letters):
+        np.add.at(counts, (language_mix.trigrams((letter * 4 + " ") * 500), at), 1)
+    probability = counts / counts.sum(axis=0)
+    top = probability.max(axis=1)
+    model = language_mix.Model(list(letters), (probability / top[:, None]).astype(np.float32), np.log(top))
+    own, few = language_mix.mixtures([" ".join(letter * 4 for letter in letters * 60), "aaaa bbbb " * 200], model)
+    assert abs(own - 1 / len(letters)).max() < 0.01
+    assert (few > 0.01).tolist() == [True, True] + [False] * 5
