@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from stayline.llm import decontaminate, line_dedup, rendezvous, warc
+from stayline.llm import decontaminate, line_dedup, minhash, rendezvous, warc
 from stayline.llm.decontaminate import op10_decontaminate
 from stayline.llm.direct_codes import op4_direct_codes
 from stayline.llm.language_mix import op7_language_mix
 from stayline.llm.line_crf import op1_line_crf
 from stayline.llm.line_dedup import op2_line_dedup
+from stayline.llm.minhash import op11_minhash
 from stayline.llm.ngram_trie import op9_ngram_trie
 from stayline.llm.packing import op6_pack_genetic
 from stayline.llm.rendezvous import op5_rendezvous
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_ngram_trie": op9_ngram_trie,
     "op10_decontaminate": op10_decontaminate,
+    "op11_minhash": op11_minhash,
 }
 
 ORACLES: dict[str, str] = {
@@ -32,4 +34,5 @@ ORACLES: dict[str, str] = {
     "op3_warc_revisits": warc.ORACLE,
     "op5_rendezvous": rendezvous.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op11_minhash": minhash.ORACLE,
 }
