@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.functions.dates import month_bounds
@@ -188,14 +188,23 @@ def same_month_by_year(
 
 
 def rate_vs_network(lines: DataFrame, bookings: DataFrame, properties: DataFrame) -> DataFrame:
-    """Average room-night amount of each property against the average over every room-night of the chain."""
-    network = lines.agg(ratio(F.sum("total"), F.count("total")).alias("network")).scalar()
+    """Average room-night amount of each property against the average over every room-night of the chain.
+
+    Lines are read once: totals per booking keep those without a header, which count for the chain alone, and the chain's
+    total is added up over the properties' totals.
+    """
     per_booking = lines.groupBy(*BOOKING_KEY).agg(F.sum("total").alias("amount"), F.count("total").alias("counted"))
-    totals = (
-        per_booking.join(bookings.select(*BOOKING_KEY, "property_id"), BOOKING_KEY)
+    per_property = (
+        per_booking.join(bookings.select(*BOOKING_KEY, "property_id"), BOOKING_KEY, "left")
         .groupBy("property_id")
-        .agg(ratio(F.sum("amount"), F.sum("counted")).alias("rate"))
-        .withColumn("network", network)
+        .agg(F.sum("amount").alias("amount"), F.sum("counted").alias("counted"))
+    )
+    # a row per property
+    chain = Window.partitionBy()
+    totals = per_property.select(
+        "property_id",
+        ratio(F.col("amount"), F.col("counted")).alias("rate"),
+        ratio(F.sum("amount").over(chain), F.sum("counted").over(chain)).alias("network"),
     )
     names = properties.select("property_id", F.col("name").alias("property"))
     return totals.join(names, "property_id").select(

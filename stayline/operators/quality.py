@@ -1,19 +1,22 @@
 """Health checks: a count and a traffic light each.
 
-Checks that read the same table share one pass over it, reduced to a profile of its dimension values before the
-dimensions are looked up; checks against large tables compare pre-counted keys.
+All checks are one grouping. A pass over each table turns every row into a few tagged keys, one for each thing that is
+checked of it: a line names its booking and its room type, a header names itself as a booking, and its guest, channel,
+property and agent, and each dimension names its members. Keys of both sides of a reference so meet in one group, counted on
+the map side, and whoever is named but not known shows without a join.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Collection, Sequence
 from decimal import Decimal
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayline.functions.rules import BOOKING_KEY
 from stayline.operators.conform import has_national_id, with_created
 
 OK, WARN, CRITICAL = "OK", "WARN", "CRITICAL"
@@ -69,84 +72,130 @@ def rated(counts: DataFrame) -> DataFrame:
     return counts.select("check_no", label.alias("label"), "found", status.alias("status"))
 
 
-def _absent(column: str, marker: str) -> Column:
-    return F.col(marker).isNull() & F.col(column).isNotNull()
+# what is grouped, and the checks that are read off it
+_GUESTS, _BOOKINGS, _IDS, _CHANNELS, _PROPERTIES, _AGENTS, _TYPES, _STAGED = range(8)
+_GROUPINGS = {
+    1: {_GUESTS}, 2: {_BOOKINGS}, 3: {_TYPES}, 4: {_IDS}, 5: {_PROPERTIES}, 6: {_CHANNELS}, 7: {_PROPERTIES},
+    9: {_CHANNELS}, 10: {_CHANNELS}, 11: {_AGENTS}, 12: {_TYPES}, 13: {_STAGED, _GUESTS},
+}
 
 
-def _marked(dim: DataFrame, column: str, marker: str) -> DataFrame:
-    return dim.select(column).distinct().withColumn(marker, F.lit(True))
+def _entry(
+    grouping: int, number: str | None = None, year: str | None = None, text: str | None = None, named: bool = True,
+    first: Column | None = None, second: Column | None = None,
+) -> Column:
+    """A key that a row names or, if not, makes known, with up to two flags of the row."""
+    def column(name: str | None, kind: str) -> Column:
+        return (F.lit(None) if name is None else F.col(name)).cast(kind)
 
+    def flag(value: Column | None) -> Column:
+        # a flag that is null is not raised
+        return F.lit(0) if value is None else F.when(value, 1).otherwise(0)
 
-def header_checks(
-    bookings: DataFrame, properties: DataFrame, channels: DataFrame, agents: DataFrame,
-    amount_limit: Decimal = AMOUNT_LIMIT,
-) -> DataFrame:
-    """Checks 6, 7, 9, 10 and 11 from one pass over the headers."""
-    profile = bookings.groupBy("channel", "property_id", "agent_src_id").agg(
-        F.count("*").alias("n"),
-        F.count_if(F.col("booking_total") > F.lit(amount_limit)).alias("above"),
-        F.count_if(F.col("checkout") < F.col("checkin")).alias("reversed"),
-    )
-    looked_up = (
-        profile.join(_marked(channels, "channel", "_channel"), "channel", "left")
-        .join(_marked(properties, "property_id", "_property"), "property_id", "left")
-        .join(_marked(agents, "agent_src_id", "_agent"), "agent_src_id", "left")
-    )
-    # a booking without any property is one of an unknown property, too
-    totals = looked_up.agg(
-        F.count_distinct(F.when(_absent("channel", "_channel"), F.col("channel"))).alias("c6"),
-        F.coalesce(F.sum(F.when(F.col("_property").isNull(), F.col("n"))), F.lit(0)).alias("c7"),
-        F.coalesce(F.sum("above"), F.lit(0)).alias("c9"),
-        F.coalesce(F.sum("reversed"), F.lit(0)).alias("c10"),
-        F.count_distinct(F.when(_absent("agent_src_id", "_agent"), F.col("agent_src_id"))).alias("c11"),
+    return F.struct(
+        F.lit(grouping).alias("grouping"), column(number, "bigint").alias("number"), column(year, "int").alias("year"),
+        column(text, "string").alias("text"), F.lit(int(named)).alias("named"), F.lit(int(not named)).alias("known"),
+        flag(first).alias("first"), flag(second).alias("second"),
     )
-    return _unpivot(totals, [6, 7, 9, 10, 11])
 
 
-def line_checks(lines: DataFrame, room_types: DataFrame) -> DataFrame:
-    """Checks 3 and 12 from one pass over the lines."""
-    profile = lines.groupBy("room_type").agg(
-        F.count_if((F.col("unit_price") < 0) | (F.col("total") < 0)).alias("negative")
-    )
-    totals = profile.join(_marked(room_types, "room_type", "_type"), "room_type", "left").agg(
-        F.coalesce(F.sum("negative"), F.lit(0)).alias("c3"),
-        F.count_if(_absent("room_type", "_type")).alias("c12"),
-    )
-    return _unpivot(totals, [3, 12])
+_Entries = dict[int, Column]
 
 
-def property_checks(properties: DataFrame) -> DataFrame:
-    return _unpivot(properties.agg(F.count_if(F.col("city").isNull()).alias("c5")), [5])
+def _tagged(table: DataFrame, entries: _Entries, wanted: Collection[int]) -> list[DataFrame]:
+    chosen = [entry for grouping, entry in entries.items() if grouping in wanted]
+    return [table.select(F.inline(F.array(*chosen)))] if chosen else []
 
 
-def _orphans(child: DataFrame, parent: DataFrame, key: list[str], number: int) -> DataFrame:
-    """Rows whose key the parent lacks; keys are counted first, so a key with very many rows joins as one."""
-    lost = child.groupBy(*key).agg(F.count("*").alias("n")).join(parent.select(*key), key, "left_anti")
-    return _unpivot(lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias(f"c{number}")), [number])
+def _header_entries(limit: Decimal) -> _Entries:
+    return {
+        _GUESTS: _entry(_GUESTS, "guest_id"),
+        _BOOKINGS: _entry(_BOOKINGS, "booking_id", "created_year", named=False),
+        _CHANNELS: _entry(
+            _CHANNELS, text="channel", first=F.col("booking_total") > F.lit(limit), second=F.col("checkout") < F.col("checkin")
+        ),
+        _PROPERTIES: _entry(_PROPERTIES, "property_id"),
+        _AGENTS: _entry(_AGENTS, "agent_src_id"),
+    }
 
 
-def orphan_bookings(bookings: DataFrame, guests: DataFrame) -> DataFrame:
-    return _orphans(bookings, guests, ["guest_id"], 1)
+def _line_entries() -> _Entries:
+    return {
+        _BOOKINGS: _entry(_BOOKINGS, "booking_id", "created_year"),
+        _TYPES: _entry(_TYPES, text="room_type", first=(F.col("unit_price") < 0) | (F.col("total") < 0)),
+    }
 
 
-def orphan_lines(lines: DataFrame, bookings: DataFrame) -> DataFrame:
-    return _orphans(lines, bookings, BOOKING_KEY, 2)
+def _guest_entries() -> _Entries:
+    return {_GUESTS: _entry(_GUESTS, "guest_id", named=False), _IDS: _entry(_IDS, text="national_id")}
 
 
-def guest_checks(guests: DataFrame) -> DataFrame:
-    """Check 4: rows beyond the first of each national id. Counting rows per id first leaves no wide distinct."""
-    per_id = guests.groupBy("national_id").agg(F.count("*").alias("n"))
-    return _unpivot(per_id.agg(F.coalesce(F.sum("n") - F.count("national_id"), F.lit(0)).alias("c4")), [4])
+def _counts(parts: Sequence[DataFrame], checks: Sequence[int]) -> DataFrame:
+    """(check_no, found) from tagged rows of all tables that the checks look at."""
+    groups = (
+        reduce(DataFrame.unionAll, parts)
+        .groupBy("grouping", "number", "year", "text")
+        .agg(*[F.sum(name).alias(name) for name in ("named", "first", "second")], F.max("known").alias("known"))
+    )
+    of = lambda grouping: F.col("grouping") == grouping
+    complete = (
+        F.when(of(_BOOKINGS), F.col("number").isNotNull() & F.col("year").isNotNull())
+        .when(F.col("grouping").isin(_IDS, _CHANNELS, _TYPES), F.col("text").isNotNull())
+        .otherwise(F.col("number").isNotNull())
+    )
+    # a key with a null in it names nobody; as a member of a dimension it is merely missing and not counted
+    lost = (F.col("known") == 0) | ~complete
+    unlisted = (F.col("known") == 0) & complete & (F.col("named") > 0)
+    total = lambda grouping, value, where=F.lit(True): F.sum(F.when(of(grouping) & where, value))
+    found: dict[int, Callable[[], Column]] = {
+        1: lambda: total(_GUESTS, F.col("named"), lost),
+        2: lambda: total(_BOOKINGS, F.col("named"), lost),
+        3: lambda: total(_TYPES, F.col("first")),
+        # rows beyond the first of each id, and all without one
+        4: lambda: total(_IDS, F.col("named") - F.when(complete, 1).otherwise(0)),
+        5: lambda: total(_PROPERTIES, F.col("first")),
+        6: lambda: total(_CHANNELS, F.lit(1), unlisted),
+        # a booking without any property is one of an unknown property, too
+        7: lambda: total(_PROPERTIES, F.col("named"), lost),
+        9: lambda: total(_CHANNELS, F.col("first")),
+        10: lambda: total(_CHANNELS, F.col("second")),
+        11: lambda: total(_AGENTS, F.lit(1), unlisted),
+        12: lambda: total(_TYPES, F.lit(1), unlisted),
+        # every header names a guest once
+        13: lambda: F.abs(F.coalesce(total(_STAGED, F.lit(1)), F.lit(0)) - F.coalesce(total(_GUESTS, F.col("named")), F.lit(0))),
+    }
+    return _unpivot(groups.agg(*[F.coalesce(found[n](), F.lit(0)).alias(f"c{n}") for n in checks]), list(checks))
+
+
+def _wanted(checks: Sequence[int]) -> set[int]:
+    return set().union(*[_GROUPINGS[number] for number in checks])
+
+
+def _staged(raw: DataFrame, properties: DataFrame) -> DataFrame:
+    """Raw lines that a header is made from: those with a guest and a known property."""
+    known = properties.select("property_id")
+    return with_created(raw.where(has_national_id())).join(known, "property_id", "left_semi")
 
 
-def reconciliation(raw: DataFrame, properties: DataFrame, bookings: DataFrame) -> DataFrame:
-    """Check 13: distinct bookings in bronze, with a guest and a known property, against headers in silver."""
-    known = properties.select("property_id")
-    staged = (
-        with_created(raw.where(has_national_id())).join(known, "property_id", "left_semi").select(*BOOKING_KEY).distinct()
-    )
-    sides = staged.select(F.lit(1).alias("sign")).unionByName(bookings.select(F.lit(-1).alias("sign")))
-    return _unpivot(sides.agg(F.abs(F.coalesce(F.sum("sign"), F.lit(0))).alias("c13")), [13])
+def table_checks(
+    checks: Sequence[int], raw: DataFrame | None = None, guests: DataFrame | None = None, bookings: DataFrame | None = None,
+    lines: DataFrame | None = None, properties: DataFrame | None = None, channels: DataFrame | None = None,
+    agents: DataFrame | None = None, room_types: DataFrame | None = None, amount_limit: Decimal = AMOUNT_LIMIT,
+) -> DataFrame:
+    """(check_no, found) of any checks but the eighth, from one pass over each table that is handed in."""
+    wanted = _wanted(checks)
+    tables: list[tuple[DataFrame | None, _Entries]] = [
+        (guests, _guest_entries()),
+        (bookings, _header_entries(amount_limit)),
+        (lines, _line_entries()),
+        (properties, {_PROPERTIES: _entry(_PROPERTIES, "property_id", named=False, first=F.col("city").isNull())}),
+        (channels, {_CHANNELS: _entry(_CHANNELS, text="channel", named=False)}),
+        (agents, {_AGENTS: _entry(_AGENTS, "agent_src_id", named=False)}),
+        (room_types, {_TYPES: _entry(_TYPES, text="room_type", named=False)}),
+        (None if raw is None else _staged(raw, properties), {_STAGED: _entry(_STAGED, "booking_id", "created_year")}),
+    ]
+    parts = [part for table, entries in tables if table is not None for part in _tagged(table, entries, wanted)]
+    return _counts(parts, checks)
 
 
 def last_build(runs: DataFrame, as_of: dt.datetime, process: str = "build_silver") -> DataFrame:
@@ -173,14 +222,7 @@ def health_report(
     channels: DataFrame, agents: DataFrame, room_types: DataFrame, runs: DataFrame, as_of: dt.datetime,
     process: str = "build_silver", amount_limit: Decimal = AMOUNT_LIMIT,
 ) -> DataFrame:
-    """All thirteen checks as one table."""
-    counts = (
-        header_checks(bookings, properties, channels, agents, amount_limit)
-        .unionByName(line_checks(lines, room_types))
-        .unionByName(property_checks(properties))
-        .unionByName(guest_checks(guests))
-        .unionByName(orphan_bookings(bookings, guests))
-        .unionByName(orphan_lines(lines, bookings))
-        .unionByName(reconciliation(raw, properties, bookings))
-    )
+    """All thirteen checks as one table, from one pass over each of the others."""
+    checks = [check.number for check in CHECKS if check.number in _GROUPINGS]
+    counts = table_checks(checks, raw, guests, bookings, lines, properties, channels, agents, room_types, amount_limit)
     return rated(counts).unionByName(last_build(runs, as_of, process))

@@ -1,4 +1,8 @@
-"""Declared constraints as a job that counts what breaks them; Spark tables enforce nothing by themselves."""
+"""Declared constraints as a job that counts what breaks them; Spark tables enforce nothing by themselves.
+
+All rules are one grouping over one pass of each table: a row names, for each rule that concerns it, its key or that it
+breaks the rule, and a parent of references names its keys as known. Keys are compared as text.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -41,56 +45,69 @@ Rule = NotNull | MaxLength | Unique | References
 
 
 def validate(table: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule with the number of offending rows. Column rules share one pass."""
-    parts = []
-    simple = {}
-    for rule in rules:
-        if isinstance(rule, NotNull):
-            simple[f"not null: {rule.column}"] = F.col(rule.column).isNull()
-        elif isinstance(rule, MaxLength):
-            simple[f"length <= {rule.limit}: {rule.column}"] = F.length(rule.column) > rule.limit
-        elif isinstance(rule, Unique):
-            parts.append(_repeated(table, rule))
-        else:
-            parts.append(_dangling(table, rule))
-    if simple:
-        counts = table.agg(*[F.count_if(broken).alias(f"r{i}") for i, broken in enumerate(simple.values())])
-        entries = [
-            F.struct(F.lit(name).alias("rule"), F.col(f"r{i}").alias("violations")) for i, name in enumerate(simple)
-        ]
-        parts.append(counts.select(F.inline(F.array(*entries))))
-    return reduce(DataFrame.unionByName, parts)
+    """One row per rule with the number of offending rows."""
+    return validate_all({"": table}, {"": rules}).select("rule", "violations")
 
 
 def validate_all(tables: Mapping[str, DataFrame], rules: Mapping[str, Sequence[Rule]]) -> DataFrame:
     """(table_name, rule, violations) of every table that has rules."""
-    parts = [
-        validate(table, rules[name]).select(F.lit(name).alias("table_name"), "rule", "violations")
-        for name, table in tables.items()
+    every = [(name, rule) for name in tables for rule in rules[name]]
+    passes: dict[int, tuple[DataFrame, list[Column]]] = {}
+
+    def name_in(table: DataFrame, number: int, key: Column, named: Column | int, known: int = 0) -> None:
+        _, entries = passes.setdefault(id(table), (table, []))
+        entries.append(F.struct(
+            F.lit(number).alias("rule"), key.alias("key"), F.lit(named).cast("int").alias("named"), F.lit(known).alias("known"),
+        ))
+
+    none = F.lit(None).cast("array<string>")
+    for number, (name, rule) in enumerate(every):
+        table = tables[name]
+        if isinstance(rule, NotNull):
+            name_in(table, number, none, F.col(rule.column).isNull())
+        elif isinstance(rule, MaxLength):
+            name_in(table, number, none, F.coalesce(F.length(rule.column) > rule.limit, F.lit(False)))
+        else:
+            name_in(table, number, _key(rule.columns), 1)
+            if isinstance(rule, References):
+                name_in(rule.parent, number, _key(rule.parent_columns), 0, 1)
+    parts = [table.select(F.inline(F.array(*entries))) for table, entries in passes.values()]
+    groups = reduce(DataFrame.unionAll, parts).groupBy("rule", "key").agg(
+        F.sum("named").alias("named"), F.max("known").alias("known")
+    )
+    counts = groups.agg(*[
+        F.coalesce(F.sum(F.when(F.col("rule") == number, _broken(rule))), F.lit(0)).alias(f"r{number}")
+        for number, (_, rule) in enumerate(every)
+    ])
+    rows = [
+        F.struct(F.lit(name).alias("table_name"), F.lit(_label(rule)).alias("rule"), F.col(f"r{number}").alias("violations"))
+        for number, (name, rule) in enumerate(every)
     ]
-    return reduce(DataFrame.unionByName, parts)
-
+    return counts.select(F.inline(F.array(*rows)))
 
-def _complete(columns: Sequence[str]):
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
-
-def _result(name: str, counted: DataFrame, violations) -> DataFrame:
-    return counted.agg(F.coalesce(violations, F.lit(0)).alias("violations")).select(
-        F.lit(name).alias("rule"), "violations"
-    )
+def _key(columns: Sequence[str]) -> Column:
+    """The columns as text; null where one of them is, as such a key refers to nothing and repeats nothing."""
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+    return F.when(complete, F.array(*[F.col(c).cast("string") for c in columns]))
 
 
-def _repeated(table: DataFrame, rule: Unique) -> DataFrame:
-    per_key = table.where(_complete(rule.columns)).groupBy(*rule.columns).agg(F.count("*").alias("n"))
-    return _result(f"unique: {', '.join(rule.columns)}", per_key.where(F.col("n") > 1), F.sum(F.col("n") - 1))
+def _broken(rule: Rule) -> Column:
+    """Offending rows of a group."""
+    if isinstance(rule, Unique):
+        return F.when(F.col("key").isNotNull(), F.col("named") - 1)
+    if isinstance(rule, References):
+        return F.when(F.col("key").isNotNull() & (F.col("known") == 0), F.col("named"))
+    return F.col("named")
 
 
-def _dangling(table: DataFrame, rule: References) -> DataFrame:
-    per_key = table.where(_complete(rule.columns)).groupBy(*rule.columns).agg(F.count("*").alias("n"))
-    known = rule.parent.select(*[F.col(p).alias(c) for p, c in zip(rule.parent_columns, rule.columns)])
-    lost = per_key.join(known, list(rule.columns), "left_anti")
-    return _result(f"references: {', '.join(rule.columns)}", lost, F.sum("n"))
+def _label(rule: Rule) -> str:
+    if isinstance(rule, NotNull):
+        return f"not null: {rule.column}"
+    if isinstance(rule, MaxLength):
+        return f"length <= {rule.limit}: {rule.column}"
+    kind = "unique" if isinstance(rule, Unique) else "references"
+    return f"{kind}: {', '.join(rule.columns)}"
 
 
 # the limits below are fixed values, as the tables declare them

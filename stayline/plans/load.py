@@ -26,6 +26,7 @@ from stayline.session import tuned
 from stayline.sources.bronze import Reload, read_bronze, reload_window, vacuum
 from stayline.sources.store import (
     child_folders,
+    counted,
     new_version,
     publish,
     read_published,
@@ -65,11 +66,14 @@ def refresh_dimensions(
         types = build_room_type_dim(lines, room_seed, vocab)
     version = new_version()
     tables = {"dim_channel": channels, "dim_agent": agents, "dim_room_type": types}
+    rows = 0
     for name, frame in tables.items():
+        frame, written = counted(frame)
         frame.write.parquet(version_path(out, version, name))
+        rows += written()
     publish(spark, out, version)
     retire(spark, out)
-    return sum(read_published(spark, out, name, version).count() for name in tables)
+    return rows
 
 
 def check_load(

@@ -22,9 +22,19 @@ from stayline.operators.conform import (
     to_local_currency,
     with_parsed,
 )
-from stayline.operators.ordered import assign_keys
+from stayline.operators.keys import carried, check_append_only, keyed
 from stayline.sources.schemas import ARRIVAL
-from stayline.sources.store import new_version, publish, retire, scratch, stored, version_path
+from stayline.sources.store import (
+    counted,
+    has_published,
+    new_version,
+    publish,
+    read_published,
+    retire,
+    scratch,
+    stored,
+    version_path,
+)
 from stayline.vocabulary import PMS, Vocabulary
 
 DEFAULT_RATE = Decimal("3.0")
@@ -63,7 +73,9 @@ def build_silver(
 
     Each table is written before the next one reads it, so a lost executor costs its own tasks and not the chain
     before them. With `rates` every sale is converted at the rate of its day, sales before the first rate and all others
-    at `usd_rate`. Intermediate tables are dropped at the end, and so are all versions but the last two.
+    at `usd_rate`. Guests keep the ids that the version published last knew them by, even those who are missing for a
+    while. Rows are counted as they are written. Intermediate tables are dropped at the end, and so are all versions but
+    the last two.
     """
     with scratch(spark):
         return _build(spark, raw, properties, out, usd_rate, rates, tie_break, vocab)
@@ -72,15 +84,23 @@ def build_silver(
 def _build(spark, raw, properties, out, usd_rate, rates, tie_break, vocab) -> SilverCounts:
     version = new_version()
 
+    former = read_published(spark, out, "guest_keys") if has_published(spark, out) else None
+    rows: dict[str, int] = {}
+
     def write(table: str, frame: DataFrame) -> DataFrame:
         path = version_path(out, version, table)
+        frame, written = counted(frame)
         frame.write.parquet(path)
+        rows[table] = written()
         return spark.read.schema(frame.schema).parquet(path)
 
     usable, unusable = split_unusable(raw, properties)
-    quarantine = write("quarantine", unusable)
+    write("quarantine", unusable)
 
-    guests = write("guests", assign_keys(dedup_guests(usable, tie_break, vocab), ["national_id"], "guest_id"))
+    guests = write("guests", keyed(dedup_guests(usable, tie_break, vocab), former, "national_id", "guest_id"))
+    keys = write("guest_keys", carried(former, guests, "national_id", "guest_id"))
+    if former is not None:
+        check_append_only(former, keys, "national_id", "guest_id")
     headers = write("_headers", dedup_bookings(usable, guests, tie_break))
 
     lines = raw_lines(usable, tie_break)
@@ -91,16 +111,16 @@ def _build(spark, raw, properties, out, usd_rate, rates, tie_break, vocab) -> Si
     # a booking's lines stay or go together, so dropping first numbers the rest no differently
     # one sort by night, booking and room gives the place among lines of a room and the line's number; files hold
     # neighbouring nights, so their min/max statistics prune scans
-    keyed = offset_collisions(keep_with_header(lines, headers), tie_break, line_id="line_id")
+    numbered = offset_collisions(keep_with_header(lines, headers), tie_break, line_id="line_id")
     nights = write(
         "stay_nights",
-        add_date_parts(keyed).select(
+        add_date_parts(numbered).select(
             "line_id", *BOOKING_KEY, "stay_date", "room_number", "room_type", "quantity", "unit_price", "total",
             "adults", "children", "day", "month", "year",
         ),
     )
-    bookings = write("bookings", backfill_headers(headers, nights).withColumn("loaded_at", F.localtimestamp()))
-    counts = SilverCounts(guests.count(), bookings.count(), nights.count(), quarantine.count(), version)
+    write("bookings", backfill_headers(headers, nights).withColumn("loaded_at", F.localtimestamp()))
+    counts = SilverCounts(rows["guests"], rows["bookings"], rows["stay_nights"], rows["quarantine"], version)
     publish(spark, out, version)
     retire(spark, out)
     return counts

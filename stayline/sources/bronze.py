@@ -19,7 +19,7 @@ from stayline.functions.dates import month_bounds, month_of, parse_day
 from stayline.operators.conform import with_parsed
 from stayline.operators.sides import literal
 from stayline.sources import schemas
-from stayline.sources.store import child_folders, drop_folder, new_version, publish, published_version
+from stayline.sources.store import child_folders, counted, drop_folder, new_version, publish, published_version
 
 _PARTITIONS = ["stay_month", "batch_id"]
 _NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
@@ -115,16 +115,16 @@ def land_batch(batch: DataFrame, path: str, batch_id: str) -> int:
     """Append rows that are already in the declared shape."""
     spark, version = batch.sparkSession, new_version()
     kept = [part for part in parts(spark, path) if part.batch != batch_id]
-    fresh = _write(stamp(batch, batch_id), path, version)
+    fresh, landed = _write(stamp(batch, batch_id), path, version)
     _publish(spark, path, version, kept + fresh)
-    return _read(spark, path, fresh).count()
+    return landed
 
 
 def delete_window(spark: SparkSession, path: str, low: dt.date, high: dt.date) -> int:
     """Remove rows staying from `low` to `high`, both included; rows without a readable night stay."""
-    deleted = read_bronze(spark, path).where(_inside(low, high)).count()
     version = new_version()
-    _publish(spark, path, version, _without(spark, path, version, parts(spark, path), low, high))
+    rest, deleted = _without(spark, path, version, parts(spark, path), low, high)
+    _publish(spark, path, version, rest)
     return deleted
 
 
@@ -132,14 +132,21 @@ def reload_window(
     spark: SparkSession, path: str, low: dt.date, high: dt.date, batch: DataFrame, batch_id: str
 ) -> Reload:
     """Replace the window by a batch. The new table is complete before it is published, and running it twice leaves the
-    same table."""
-    deleted = read_bronze(spark, path).where(_inside(low, high)).count()
+    same table.
+
+    Loads must not overlap: of two that start from the same table, the one published last undoes the other.
+    """
     version = new_version()
-    others = [part for part in parts(spark, path) if part.batch != batch_id]
-    rest = _without(spark, path, f"{version}-rest", others, low, high)
-    fresh = _write(stamp(batch, batch_id), path, version)
+    listed = parts(spark, path)
+    rest, deleted = _without(spark, path, f"{version}-rest", [part for part in listed if part.batch != batch_id], low, high)
+    # the former rows of this batch go whatever their night; those of the window count as deleted
+    _, whole, partly = _split([part for part in listed if part.batch == batch_id], low, high)
+    deleted += _rows(spark, path, whole)
+    if partly:
+        deleted += _read(spark, path, partly).where(_inside(low, high)).count()
+    fresh, landed = _write(stamp(batch, batch_id), path, version)
     _publish(spark, path, version, rest + fresh)
-    return Reload(deleted, _read(spark, path, fresh).count())
+    return Reload(deleted, landed)
 
 
 def vacuum(spark: SparkSession, path: str, keep: int = 2) -> int:
@@ -173,12 +180,18 @@ def _number(day: dt.date) -> int:
     return day.year * 100 + day.month
 
 
-def _write(rows: DataFrame, path: str, version: str) -> list[Part]:
-    """Write rows as folders of a version; returns those that it wrote, which the calendar and the batches bound."""
+def _rows(spark: SparkSession, path: str, listed: Sequence[Part]) -> int:
+    """Rows of some folders by the footers of their files; no column is read."""
+    return _read(spark, path, listed).count() if listed else 0
+
+
+def _write(rows: DataFrame, path: str, version: str) -> tuple[list[Part], int]:
+    """Write rows as folders of a version; returns those that it wrote, which the calendar and the batches bound, and the
+    number of rows in them."""
     # rebalance gathers a month's rows into few files and splits a month that holds too many
-    writer = rows.hint("rebalance", F.col("stay_month")).write.partitionBy(*_PARTITIONS).mode("append")
-    writer.parquet(f"{path}/{_DATA}/version={version}")
-    return _folders(rows.sparkSession, path, version)
+    rows, written = counted(rows.hint("rebalance", F.col("stay_month")))
+    rows.write.partitionBy(*_PARTITIONS).mode("append").parquet(f"{path}/{_DATA}/version={version}")
+    return _folders(rows.sparkSession, path, version), written()
 
 
 def _folders(spark: SparkSession, path: str, version: str) -> list[Part]:
@@ -190,22 +203,31 @@ def _folders(spark: SparkSession, path: str, version: str) -> list[Part]:
     return found
 
 
-def _without(
-    spark: SparkSession, path: str, version: str, listed: Sequence[Part], low: dt.date, high: dt.date
-) -> list[Part]:
-    """The folders less the window; months that it covers in part are rewritten under `version`."""
-    kept, partly = [], []
+def _split(listed: Sequence[Part], low: dt.date, high: dt.date) -> tuple[list[Part], list[Part], list[Part]]:
+    """The folders outside a window, inside it, and covered by it in part."""
+    outside, whole, partly = [], [], []
     for part in listed:
         if part.month is None or not _number(low) <= part.month <= _number(high):
-            kept.append(part)
+            outside.append(part)
             continue
         first, following = month_bounds(dt.date(part.month // 100, part.month % 100, 1))
-        if not (low <= first and following - dt.timedelta(days=1) <= high):
-            partly.append(part)
+        inside = low <= first and following - dt.timedelta(days=1) <= high
+        (whole if inside else partly).append(part)
+    return outside, whole, partly
+
+
+def _without(
+    spark: SparkSession, path: str, version: str, listed: Sequence[Part], low: dt.date, high: dt.date
+) -> tuple[list[Part], int]:
+    """The folders less the window, and the number of rows that this takes away; months that the window covers in part are
+    rewritten under `version`, which is the only time that any row is read."""
+    kept, whole, partly = _split(listed, low, high)
+    taken = _rows(spark, path, whole + partly)
     if partly:
         rest = _read(spark, path, partly).where(~F.col("stay_day").between(low, high))
-        kept += _write(rest, path, version)
-    return kept
+        rewritten, left = _write(rest, path, version)
+        kept, taken = kept + rewritten, taken - left
+    return kept, taken
 
 
 def normalise_dates(df: DataFrame, columns: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:

@@ -6,17 +6,18 @@ import atexit
 import contextlib
 import datetime as dt
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 _POINTER = "_published"
 #: Versions that `retire` leaves in place: the one readers use and the one before it, which they may still be reading.
 KEPT_VERSIONS = 2
-#: Folders of the jobs that are running, the innermost last.
-_scopes: list[list[str]] = []
+#: Folders of the innermost job that is running in this thread; each thread has its own jobs.
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 _applications: set[str] = set()
 
 
@@ -36,8 +37,9 @@ def work_path(spark: SparkSession, name: str) -> str:
         _applications.add(home)
         atexit.register(_drop_quietly, spark, home)
     path = f"{home}/{name}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
     return path
 
 
@@ -50,11 +52,13 @@ def _drop_quietly(spark: SparkSession, path: str) -> None:
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Intermediate tables made inside are dropped at the end, so nothing that is read later may hang on them."""
-    _scopes.append([])
+    outer = _scope.set([])
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        made = _scope.get()
+        _scope.reset(outer)
+        for path in made or []:
             drop_folder(spark, path)
 
 
@@ -66,6 +70,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """The same rows, and how many of them were written, to be asked for after the frame's one write. They are counted as
+    they pass, in the tasks that write; a task that is run again counts once."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), lambda: int(seen.get["rows"])
+
+
 def new_version() -> str:
     """Names sort by time, so the newest publication is the greatest one."""
     return f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
@@ -95,6 +106,10 @@ def published_version(spark: SparkSession, root: str) -> str:
     return spark.read.parquet(f"{root}/{_POINTER}").agg(F.max("version")).head()[0]
 
 
+def has_published(spark: SparkSession, root: str) -> bool:
+    return _POINTER in child_folders(spark, root)
+
+
 def read_published(spark: SparkSession, root: str, table: str, version: str | None = None) -> DataFrame:
     return spark.read.parquet(version_path(root, version or published_version(spark, root), table))
 

@@ -1,15 +1,26 @@
 import datetime as dt
 from decimal import Decimal
+from threading import Event, Thread
 
 import pytest
 from pyspark.sql import functions as F
 
+from stayline.operators.keys import KeysChanged, check_append_only
 from stayline.operators.validation import silver_rules, validate
 from stayline.plans.load import run_load
 from stayline.plans.runlog import RunLog, recent_runs, run_stats
 from stayline.plans.silver import build_silver
 from stayline.sources.bronze import land_batch, read_bronze
-from stayline.sources.store import child_folders, publish, published_version, read_published, shared_root
+from stayline.sources.store import (
+    child_folders,
+    counted,
+    publish,
+    published_version,
+    read_published,
+    scratch,
+    shared_root,
+    stored,
+)
 from tests.conftest import day, rows_of
 
 
@@ -91,6 +102,62 @@ def test_silver_twice_is_the_same_and_the_former_version_stays(spark, folder, ba
     assert read_published(spark, out, "bookings", first.version).count() == 3
 
 
+def test_guests_keep_their_ids(spark, folder, raw, properties):
+    out = f"{folder}/silver"
+
+    def ids(*national_ids):
+        build_silver(spark, raw(*[dict(booking_id=n, national_id=i) for n, i in enumerate(national_ids)]), properties, out)
+        return dict(rows_of(read_published(spark, out, "guests"), "national_id", "guest_id"))
+
+    assert ids("M", "T") == {"M": 1, "T": 2}
+    # a smaller id arrives and a guest is missing for a while
+    assert ids("A", "Z", "T") == {"A": 3, "T": 2, "Z": 4}
+    assert ids("M", "B", "A") == {"M": 1, "A": 3, "B": 5}
+    assert rows_of(read_published(spark, out, "guest_keys"), "guest_id", "national_id") == [
+        (1, "M"), (2, "T"), (3, "A"), (4, "Z"), (5, "B"),
+    ]
+    assert rows_of(read_published(spark, out, "bookings"), "booking_id", "guest_id") == [(0, 1), (1, 5), (2, 3)]
+
+
+@pytest.mark.parametrize("after", [[("A", 1)], [("A", 1), ("B", 3)], [("A", 1), ("B", 2), ("C", 2)], [("A", 1), ("B", 2), ("B", 3)]])
+def test_a_registry_that_changes_is_refused(table, after):
+    kind = "national_id string, guest_id bigint"
+    before = table(kind, ("A", 1), ("B", 2))
+    check_append_only(before, table(kind, ("A", 1), ("B", 2), ("C", 3)), "national_id", "guest_id")
+    with pytest.raises(KeysChanged):
+        check_append_only(before, table(kind, *after), "national_id", "guest_id")
+
+
+def test_rows_are_counted_as_they_are_written(spark, folder, table):
+    for rows in ([(1,), (2,), (3,)], []):
+        frame, written = counted(table("x int", *rows).repartition(2))
+        frame.write.mode("overwrite").parquet(f"{folder}/t")
+        assert written() == len(rows)
+    frame, written = counted(table("x int", (1,)).where("x > 1 AND false"))
+    frame.write.mode("overwrite").parquet(f"{folder}/t")
+    assert written() == 0
+
+
+def test_jobs_of_two_threads_drop_their_own_tables(spark, table):
+    rows, begun, ended, seen = table("x int", (1,)), Event(), Event(), []
+
+    def short():
+        with scratch(spark):
+            stored(rows, "short")
+            begun.set()
+            ended.wait(60)
+
+    thread = Thread(target=short)
+    with scratch(spark):
+        thread.start()
+        begun.wait(60)
+        own = stored(rows, "long")
+        ended.set()
+        thread.join()
+        seen = own.collect()
+    assert len(seen) == 1
+
+
 def test_room_offset_onto_a_taken_room_is_reported(spark, folder, raw, properties):
     lines = raw(dict(room_type="A"), dict(room_type="B"), dict(room_number=1101))
     build_silver(spark, lines, properties, f"{folder}/silver")

@@ -1,7 +1,9 @@
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from stayline.operators import quality, validation
 from stayline.operators.validation import MaxLength, NotNull, References, Unique
@@ -107,3 +109,46 @@ def test_dimension_rules(table):
     assert found["unique: agent_src_id"] == 1 and found["not null: agent_name"] == 1
     found = {r.rule: r.violations for r in validation.validate(targets, rules["agent_targets"]).collect()}
     assert found["unique: agent_id, year, month"] == 1 and found["references: agent_id"] == 1
+
+
+def scans(df):
+    """Table names of the file scans in a plan."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return sorted(re.findall(r"Relation \[([a-z_]+)#", plan))
+
+
+def test_every_table_is_read_once(spark, sound, folder):
+    tables = {}
+    for name, frame in sound.items():
+        if name == "as_of":
+            continue
+        # the first column tells the scans apart
+        frame.withColumn(f"of_{name}", F.lit(1)).select(f"of_{name}", *frame.columns).write.parquet(f"{folder}/{name}")
+        tables[name] = spark.read.parquet(f"{folder}/{name}")
+    report = quality.health_report(**tables, as_of=NOW)
+    # properties are looked up by the raw lines, too
+    assert scans(report) == sorted([f"of_{name}" for name in tables] + ["of_properties"])
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" not in plan and "CartesianProduct" not in plan
+    guests = tables["guests"].withColumn("full_name", F.lit("x")).withColumn("phone", F.lit("x"))
+    rules = {"guests": [Unique(("guest_id",)), NotNull("national_id")],
+             "bookings": [References(("guest_id",), guests, ("guest_id",)), MaxLength("channel", 3)]}
+    found = validation.validate_all({"guests": guests, "bookings": tables["bookings"]}, rules)
+    assert scans(found) == ["of_bookings", "of_guests"]
+    assert {(r.table_name, r.rule): r.violations for r in found.collect()} == {
+        ("guests", "unique: guest_id"): 0, ("guests", "not null: national_id"): 0,
+        ("bookings", "references: guest_id"): 0, ("bookings", "length <= 3: channel"): 1,
+    }
+
+
+def test_null_keys_are_nobodys(table):
+    guests = table("guest_id long, national_id string", (None, None), (None, None), (3, "X"))
+    bookings = table(
+        "booking_id long, created_year int, property_id int, guest_id long, channel string, agent_src_id long,"
+        " booking_total decimal(12,2), checkin date, checkout date",
+        (1, 2025, None, None, None, None, None, None, None), (2, None, 10, 3, "C", 7, None, None, None),
+    )
+    lines = table("booking_id long, created_year int, room_type string, unit_price decimal(10,2), total decimal(10,2)",
+                  (2, None, None, None, None))
+    got = quality.table_checks([1, 2, 4, 6, 7, 11, 12], guests=guests, bookings=bookings, lines=lines)
+    assert {r.check_no: r.found for r in got.collect()} == {1: 1, 2: 1, 4: 2, 6: 1, 7: 2, 11: 1, 12: 0}
