@@ -4,8 +4,14 @@ Lines are sets of words; two lines match at a Jaccard similarity of 0.8 or more,
 corpus matches it. Equal lines meet first, by one map-side minimum, so that a line that fills a third of the corpus is one
 row afterwards. Then words are ordered by rarity, the rarest fifth (and one) of each line is its prefix, and lines that
 share a prefix word are candidates if their lengths, the places of the shared word, and a 64-bit parity of their words allow
-the similarity. Candidates are verified on their whole sets. Every match between two different lines is a link, and all
-links are found and counted; so variants of one line make as many links as there are pairs of them.
+the similarity. Words that occur once are shared by nobody and make no candidates. Candidates are verified on whole sets.
+
+Every match between two different lines is a link, and all links are counted, but those of many variants of one line are
+not listed, as they grow with the square of the variants. Where many lines share one of their rarest words, a pivot is
+chosen among them. A line that shares o of its n words with a pivot of m words gets the margin 18 o - 8 n - 9 m. Two lines
+share at least the sum of what they share with the pivot, less m; so two lines whose margins add up to zero or more match for
+certain. How many lines of a pivot reach a given margin is a running sum over its few different margins. Pairs that are
+certain never become candidates; all others take the way above.
 
 Rarity comes from counts of all words, kept by hash in a table of fixed size; any order gives the same matches, a good one
 gives few candidates. Words are compared by 64 bits of their hash.
@@ -15,7 +21,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayline.llm.tables import read, release, sized_broadcast, stored, unused
@@ -25,6 +31,11 @@ SIMILAR, OF = 4, 5
 #: Counters of the rarity table; a byte each.
 RARITY_BITS = 20
 _CHUNK_BITS = 10
+#: Lines look for a pivot at so many of their rarest words, where at least so many lines share the word. Both decide which
+#: links are counted without listing them, not which there are.
+PIVOT_WORDS, PIVOT_LINES = 3, 16
+#: Logarithm of a count of one.
+_ONCE = 3
 
 
 def words_of(line: Column) -> Column:
@@ -67,8 +78,13 @@ def _hashes(line: Column) -> Column:
     return F.array_remove(F.transform(words_of(line), lambda word: F.xxhash64(word)), F.xxhash64(F.lit("")))
 
 
+def _rank(word: Column) -> Column:
+    return F.shiftrightunsigned(word, 56)
+
+
 def _heads(lines: DataFrame, ranks: DataFrame, bits: int) -> DataFrame:
-    """Per line: id, its number of words n, the parity of its words, and its prefix, rarest word first."""
+    """Per line: id, its number of words n, how many of them occur once, the parity of its words, and those words of its
+    prefix that occur more often, rarest first, with their places in it."""
     mask = (1 << bits) - 1
 
     def ordered(table: Column) -> Column:
@@ -86,7 +102,13 @@ def _heads(lines: DataFrame, ranks: DataFrame, bits: int) -> DataFrame:
         "words", F.lit(0).cast("long"),
         lambda seen, word: seen.bitwiseXOR(F.call_function("shiftleft", one, word.bitwiseAND(F.lit(63)).cast("int"))),
     )
-    return sets.select("id", n.alias("n"), parity.alias("parity"), F.slice("words", F.lit(1), length).alias("prefix"))
+    # words that occur once come first in the order
+    once = F.size(F.filter("words", lambda word: _rank(word) <= _ONCE))
+    skipped = F.least(once, length)
+    return sets.select(
+        "id", n.alias("n"), once.alias("once"), parity.alias("parity"), skipped.alias("skipped"),
+        F.slice("words", skipped + 1, length - skipped).alias("prefix"),
+    )
 
 
 def _must_share(total: Column) -> Column:
@@ -94,29 +116,85 @@ def _must_share(total: Column) -> Column:
     return F.floor((SIMILAR * total + SIMILAR + OF - 1) / (SIMILAR + OF)).cast("int")
 
 
-def _candidates(heads: DataFrame) -> DataFrame:
-    """Pairs (a, b) of line ids that share a prefix word and pass all bounds, once each."""
-    rows = heads.select("id", "n", "parity", F.posexplode("prefix").alias("place", "word"))
-    rows = rows.withColumn("left", F.col("n") - F.col("place"))  # words from the shared one on
-    columns = ["id", "n", "left", "parity"]
+def _sets_of(lines: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """Whole sets of some lines: id, words, first."""
+    whole = lines.join(sized_broadcast(stored(ids.distinct(), f"{name}-ids")), "id")
+    return stored(whole.select("id", F.array_distinct(_hashes(F.col("line"))).alias("words"), "first"), name)
+
+
+def _members(lines: DataFrame, heads: DataFrame) -> DataFrame:
+    """Lines with a pivot: id, pivot, margin, first. The pivot matches the line, and a line has one at most.
+
+    Among lines that share a rare word the pivot is the one with the fewest words that occur once: variants have such words
+    where the line that they come from has others.
+    """
+    keys = heads.select("id", "once", F.explode(F.slice("prefix", 1, PIVOT_WORDS)).alias("word"))
+    busy = stored(keys.groupBy("word").agg(F.count("*").alias("lines")).where(F.col("lines") >= PIVOT_LINES).select("word"), "busy-words")
+    near = stored(keys.join(sized_broadcast(busy), "word"), "busy-lines")
+    pivots = near.groupBy("word").agg(F.min(F.struct("once", "id")).alias("p")).select("word", F.col("p.id").alias("pivot"))
+    sets = _sets_of(lines, near.select("id"), "pivot-sets")
+    tried = near.join(pivots, "word").select("id", "pivot").distinct()
+    centres = sets.select(F.col("id").alias("pivot"), F.col("words").alias("centre"))
+    both = tried.join(sets, "id").join(centres, "pivot")
+    n, m, shared = F.size("words"), F.size("centre"), F.size(F.array_intersect("words", "centre"))
+    margin = 2 * (SIMILAR + OF) * shared - 2 * SIMILAR * n - (SIMILAR + OF) * m
+    # the pivot's own margin is m
+    matching = stored(both.select("id", "pivot", "first", margin.alias("margin"), m.alias("m")).where("margin >= -m").drop("m"), "pivot-matches")
+    follow = matching.groupBy("pivot").agg(F.count("*").alias("following"))
+    best = F.max(F.struct("following", "pivot", "margin", "first")).alias("best")
+    chosen = matching.join(follow, "pivot").groupBy("id").agg(best)
+    return stored(chosen.select("id", "best.pivot", "best.margin", "best.first"), "members")
+
+
+def _certain(members: DataFrame) -> DataFrame:
+    """id, gone and links of lines with a pivot, by the links that margins make certain."""
+    own = F.struct("first", "id")
+    counted = stored(members.groupBy("pivot", "margin").agg(F.count("*").alias("lines"), F.min(own).alias("earliest")), "margins")
+    # a margin is reached by those that are at least its negative
+    events = counted.select("pivot", F.col("margin").alias("at"), "lines", "earliest", F.lit(0).alias("asks")).unionByName(
+        counted.select("pivot", (-F.col("margin")).alias("at"), F.lit(0).cast("long").alias("lines"), F.lit(None).alias("earliest"), F.lit(1).alias("asks"))
+    )
+    falling = Window.partitionBy("pivot").orderBy(F.col("at").desc(), "asks").rowsBetween(Window.unboundedPreceding, 0)
+    reached = events.select("pivot", "at", "asks", F.sum("lines").over(falling).alias("reached"), F.min("earliest").over(falling).alias("earliest"))
+    answers = reached.where("asks = 1").select("pivot", (-F.col("at")).alias("margin"), "reached", "earliest")
+    met = members.join(answers, ["pivot", "margin"])
+    itself = F.when(F.col("margin") >= 0, 1).otherwise(0)
+    gone = F.coalesce(F.col("earliest") < own, F.lit(False)).cast("int")
+    return met.select("id", gone.alias("gone"), (F.col("reached") - itself).alias("links"))
+
+
+def _candidates(heads: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of line ids that share a prefix word and pass all bounds, once each, without those that are certain.
+
+    Where lines with a pivot and a margin of zero or more share a word, they are all certain matches of each other. The
+    largest such party at a word stays on one side of the join there, and so never meets itself.
+    """
+    rows = heads.join(sized_broadcast(members.select("id", "pivot", "margin")), "id", "left")
+    rows = rows.select("id", "n", "parity", "skipped", "pivot", "margin", F.posexplode("prefix").alias("place", "word"))
+    inside = rows.where("margin >= 0").groupBy("word", "pivot").agg(F.count("*").alias("lines"))
+    party = inside.groupBy("word").agg(F.max(F.struct("lines", "pivot")).alias("p")).where(F.col("p.lines") >= PIVOT_LINES)
+    party = stored(party.select("word", F.col("p.pivot").alias("party")), "parties")
+    rows = rows.join(sized_broadcast(party), "word", "left")
+    rows = rows.withColumn("left", F.col("n") - F.col("skipped") - F.col("place"))  # words from the shared one on
+    rows = rows.withColumn("within", F.coalesce((F.col("pivot") == F.col("party")) & (F.col("margin") >= 0), F.lit(False)))
+    columns = ["id", "n", "left", "parity", "pivot", "margin", "within"]
     sides = [rows.select("word", *[F.col(c).alias(f"{side}{c}") for c in columns]) for side in ("a_", "b_")]
     total = F.col("a_n") + F.col("b_n")
     lengths = OF * F.least("a_n", "b_n") >= SIMILAR * F.greatest("a_n", "b_n")
     places = (SIMILAR + OF) * F.least("a_left", "b_left") >= SIMILAR * total
     # a bit differs only where the number of words that one line alone holds is odd
     parities = F.bit_count(F.col("a_parity").bitwiseXOR(F.col("b_parity"))) <= total - 2 * _must_share(total)
-    met = sides[0].join(sides[1].hint("merge"), "word")
-    return met.where((F.col("a_id") < F.col("b_id")) & lengths & places & parities).select(
-        F.col("a_id").alias("a"), F.col("b_id").alias("b")
+    certain = F.coalesce((F.col("a_pivot") == F.col("b_pivot")) & (F.col("a_margin") + F.col("b_margin") >= 0), F.lit(False))
+    once = (F.col("a_id") < F.col("b_id")) | F.col("b_within")
+    met = sides[0].where("NOT a_within").join(sides[1].hint("merge"), "word")
+    return met.where((F.col("a_id") != F.col("b_id")) & once & lengths & places & parities & ~certain).select(
+        F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")
     ).distinct()
 
 
-def _links(lines: DataFrame, pairs: DataFrame) -> DataFrame:
+def _listed(lines: DataFrame, pairs: DataFrame) -> DataFrame:
     """(later, earlier) of the pairs that match by their whole sets."""
-    involved = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "involved")
-    words = F.array_distinct(_hashes(F.col("line")))
-    whole = lines.join(sized_broadcast(involved), "id")
-    sets = stored(whole.select("id", words.alias("words"), "first"), "line-sets")
+    sets = _sets_of(lines, pairs.select(F.explode(F.array("a", "b")).alias("id")), "line-sets")
     side = lambda end: sets.select(F.col("id").alias(end), F.struct("words", "first").alias(f"{end}_set"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("a_set.words", "b_set.words"))
@@ -129,8 +207,9 @@ def _links(lines: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def line_links(docs: DataFrame, bits: int = RARITY_BITS) -> tuple[DataFrame, DataFrame]:
-    """(lines, links): every different line (id, line, first) and all matching pairs (later, earlier) of their ids."""
+def linked_lines(docs: DataFrame, bits: int = RARITY_BITS) -> tuple[DataFrame, DataFrame]:
+    """(lines, linked): every different line (id, line, first), and of those with a match id, gone (1 where an earlier line
+    matches) and the number of links."""
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text").where("text IS NOT NULL")
     lines = stored(_first_positions(texts).select(F.monotonically_increasing_id().alias("id"), "line", "first"), "lines")
@@ -138,11 +217,14 @@ def line_links(docs: DataFrame, bits: int = RARITY_BITS) -> tuple[DataFrame, Dat
     ranks = stored(rarity(lines.select(F.col("line").alias("text")), bits), "rarity")
     heads = stored(_heads(lines, ranks, bits), "heads")
     release(spark)
-    pairs = stored(_candidates(heads), "candidates")
+    members = _members(lines, heads)
+    pairs = stored(_candidates(heads, members), "candidates")
     release(spark)
-    links = stored(_links(lines, pairs), "line-links")
+    links = stored(_listed(lines, pairs), "line-links")
     release(spark)
-    return lines, links
+    ends = [F.struct(F.col(end).alias("id"), F.lit(gone).alias("gone"), F.lit(1).cast("long").alias("links")) for end, gone in (("later", 1), ("earlier", 0))]
+    every = links.select(F.inline(F.array(*ends))).unionByName(_certain(members))
+    return lines, every.groupBy("id").agg(F.max("gone").alias("gone"), F.sum("links").alias("links"))
 
 
 def kept_lines(docs: DataFrame, bits: int = RARITY_BITS) -> DataFrame:
@@ -150,11 +232,8 @@ def kept_lines(docs: DataFrame, bits: int = RARITY_BITS) -> DataFrame:
 
     n_links counts the links of the lines that stand in the document first, each between two different lines.
     """
-    lines, links = line_links(docs, bits)
-    ends = [F.struct(F.col(end).alias("id"), F.lit(gone).alias("gone")) for end, gone in (("later", 1), ("earlier", 0))]
-    counts = links.select(F.explode(F.array(*ends)).alias("e"))
-    by_line = counts.groupBy(F.col("e.id").alias("id")).agg(F.max("e.gone").alias("gone"), F.count("*").alias("links"))
-    firsts = lines.select("id", "first").join(by_line, "id", "left")
+    lines, linked = linked_lines(docs, bits)
+    firsts = lines.select("id", "first").join(linked, "id", "left")
     stays = F.coalesce("gone", F.lit(0)) == 0
     return firsts.groupBy("first.doc_id", "first.code").agg(
         F.collect_list(F.when(stays, F.col("first.number"))).alias("kept"),
@@ -177,15 +256,16 @@ def mark_lines(docs: DataFrame, bits: int = RARITY_BITS, prefix: str = "") -> Da
     """
     names = {name: unused(docs, prefix + name) for name in ("n_lines", "removed_lines", "n_links")}
     code, spoken = unused(docs, "_code"), unused(docs, "_spoken")
-    kept = kept_lines(docs, bits).toDF("_kept_doc", "_kept_code", "_kept", "_links")
+    own = {name: unused(docs, f"_first_{name}") for name in ("doc_id", "code", "kept", "n_links")}
+    kept = kept_lines(docs, bits).withColumnsRenamed(own)
     rows = docs.withColumns({code: F.xxhash64("text"), spoken: _spoken(F.col("text"))})
-    joined = rows.join(kept, rows["doc_id"].eqNullSafe(kept["_kept_doc"]) & (rows[code] == kept["_kept_code"]), "left")
-    removed = F.array_except(F.col(spoken), F.coalesce("_kept", F.array().cast("array<int>")))
-    return joined.select(
+    same = rows["doc_id"].eqNullSafe(kept[own["doc_id"]]) & (rows[code] == kept[own["code"]])
+    removed = F.array_except(F.col(spoken), F.coalesce(own["kept"], F.array().cast("array<int>")))
+    return rows.join(kept, same, "left").select(
         *[rows[column] for column in docs.columns],
         F.size(spoken).cast("bigint").alias(names["n_lines"]),
         removed.alias(names["removed_lines"]),
-        F.coalesce("_links", F.lit(0)).cast("bigint").alias(names["n_links"]),
+        F.coalesce(own["n_links"], F.lit(0)).cast("bigint").alias(names["n_links"]),
     )
 
 
