@@ -2,9 +2,10 @@
 
 Lines are sets of words; two lines match at a Jaccard similarity of 0.8 or more, and a line goes if an earlier line of the
 corpus matches it. Equal lines meet first, by one map-side minimum, so that a line that fills a third of the corpus is one
-row afterwards. Then words are ordered by rarity, the rarest fifth (and one) of each line is its prefix, and lines that
-share a prefix word are candidates if their lengths, the places of the shared word, and a 64-bit parity of their words allow
-the similarity. Words that occur once are shared by nobody and make no candidates. Candidates are verified on whole sets.
+row afterwards. Then words are ordered by rarity, and the rarest ones of each line are its prefix: a ninth (and one) where
+it meets a line with as many words or more, a fifth (and one) where it meets one with fewer. Lines that share a prefix word
+are candidates if their lengths, the places of the shared word, and a 32-bit parity of their words allow the similarity.
+Words that occur once are shared by nobody and make no candidates. Candidates are verified on whole sets.
 
 Every match between two different lines is a link, and all links are counted, but those of many variants of one line are
 not listed, as they grow with the square of the variants. Where many lines share one of their rarest words, a pivot is
@@ -14,7 +15,7 @@ certain. How many lines of a pivot reach a given margin is a running sum over it
 certain never become candidates; all others take the way above.
 
 Rarity comes from counts of all words, kept by hash in a table of fixed size; any order gives the same matches, a good one
-gives few candidates. Words are compared by 64 bits of their hash.
+gives few candidates. Words meet by 31 bits of their hash and are compared by 64.
 """
 
 from __future__ import annotations
@@ -29,11 +30,11 @@ from stayline.llm.tables import read, release, sized_broadcast, stored, unused
 #: Similarity of 4/5 or more; kept as a fraction, so that all bounds are exact.
 SIMILAR, OF = 4, 5
 #: Counters of the rarity table; a byte each.
-RARITY_BITS = 20
+RARITY_BITS = 22
 _CHUNK_BITS = 10
 #: Lines look for a pivot at so many of their rarest words, where at least so many lines share the word. Both decide which
 #: links are counted without listing them, not which there are.
-PIVOT_WORDS, PIVOT_LINES = 3, 16
+PIVOT_WORDS, PIVOT_LINES = 8, 32
 #: Logarithm of a count of one.
 _ONCE = 3
 
@@ -83,8 +84,8 @@ def _rank(word: Column) -> Column:
 
 
 def _heads(lines: DataFrame, ranks: DataFrame, bits: int) -> DataFrame:
-    """Per line: id, its number of words n, how many of them occur once, the parity of its words, and those words of its
-    prefix that occur more often, rarest first, with their places in it."""
+    """Per line: id, its number of words n, the parity of its words, the sum of their ranks (logarithms of counts), and the
+    words of its prefix, rarest first, as far as they occur more than once, behind the `skipped` that do not."""
     mask = (1 << bits) - 1
 
     def ordered(table: Column) -> Column:
@@ -97,17 +98,21 @@ def _heads(lines: DataFrame, ranks: DataFrame, bits: int) -> DataFrame:
     sets = lines.withColumn("ranks", ranks.scalar()).select("id", ordered(F.col("ranks")).alias("words"))
     n = F.size("words")
     length = n - F.floor((SIMILAR * n + OF - 1) / OF).cast("int") + 1
-    one = F.lit(1).cast("long")
-    parity = F.aggregate(
+    # parity in the lower half, sum of ranks in the upper
+    one, upper = F.lit(1).cast("long"), F.lit(0xFF << 32)
+    summed = F.aggregate(
         "words", F.lit(0).cast("long"),
-        lambda seen, word: seen.bitwiseXOR(F.call_function("shiftleft", one, word.bitwiseAND(F.lit(63)).cast("int"))),
+        lambda seen, word: (seen + F.shiftrightunsigned(word, 24).bitwiseAND(upper)).bitwiseXOR(
+            F.call_function("shiftleft", one, word.bitwiseAND(F.lit(31)).cast("int"))
+        ),
     )
+    sets = sets.select("id", n.alias("n"), summed.alias("summed"), F.slice("words", F.lit(1), length).alias("prefix"))
     # words that occur once come first in the order
-    once = F.size(F.filter("words", lambda word: _rank(word) <= _ONCE))
-    skipped = F.least(once, length)
+    often = F.filter("prefix", lambda word: F.shiftrightunsigned(word, 56) > _ONCE)
+    met = F.transform(often, lambda word: word.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
     return sets.select(
-        "id", n.alias("n"), once.alias("once"), parity.alias("parity"), skipped.alias("skipped"),
-        F.slice("words", skipped + 1, length - skipped).alias("prefix"),
+        "id", "n", F.col("summed").bitwiseAND(F.lit(0xFFFFFFFF)).alias("parity"), F.shiftright("summed", 32).alias("ranks"),
+        (F.size("prefix") - F.size(often)).alias("skipped"), met.alias("prefix"),
     )
 
 
@@ -125,13 +130,14 @@ def _sets_of(lines: DataFrame, ids: DataFrame, name: str) -> DataFrame:
 def _members(lines: DataFrame, heads: DataFrame) -> DataFrame:
     """Lines with a pivot: id, pivot, margin, first. The pivot matches the line, and a line has one at most.
 
-    Among lines that share a rare word the pivot is the one with the fewest words that occur once: variants have such words
-    where the line that they come from has others.
+    Among lines that share a rare word the pivot has the number of words that most of them have, and of those the largest
+    sum of ranks: where a variant has a word of its own, the line that it comes from has one that all variants share.
     """
-    keys = heads.select("id", "once", F.explode(F.slice("prefix", 1, PIVOT_WORDS)).alias("word"))
+    keys = heads.select("id", "n", "ranks", F.explode(F.slice("prefix", 1, PIVOT_WORDS)).alias("word"))
     busy = stored(keys.groupBy("word").agg(F.count("*").alias("lines")).where(F.col("lines") >= PIVOT_LINES).select("word"), "busy-words")
     near = stored(keys.join(sized_broadcast(busy), "word"), "busy-lines")
-    pivots = near.groupBy("word").agg(F.min(F.struct("once", "id")).alias("p")).select("word", F.col("p.id").alias("pivot"))
+    sizes = near.groupBy("word", "n").agg(F.count("*").alias("lines"), F.max(F.struct("ranks", "id")).alias("p"))
+    pivots = sizes.groupBy("word").agg(F.max(F.struct("lines", "n", "p")).alias("u")).select("word", F.col("u.p.id").alias("pivot"))
     sets = _sets_of(lines, near.select("id"), "pivot-sets")
     tried = near.join(pivots, "word").select("id", "pivot").distinct()
     centres = sets.select(F.col("id").alias("pivot"), F.col("words").alias("centre"))
@@ -175,21 +181,27 @@ def _candidates(heads: DataFrame, members: DataFrame) -> DataFrame:
     party = inside.groupBy("word").agg(F.max(F.struct("lines", "pivot")).alias("p")).where(F.col("p.lines") >= PIVOT_LINES)
     party = stored(party.select("word", F.col("p.pivot").alias("party")), "parties")
     rows = rows.join(sized_broadcast(party), "word", "left")
-    rows = rows.withColumn("left", F.col("n") - F.col("skipped") - F.col("place"))  # words from the shared one on
-    rows = rows.withColumn("within", F.coalesce((F.col("pivot") == F.col("party")) & (F.col("margin") >= 0), F.lit(False)))
-    columns = ["id", "n", "left", "parity", "pivot", "margin", "within"]
-    sides = [rows.select("word", *[F.col(c).alias(f"{side}{c}") for c in columns]) for side in ("a_", "b_")]
+    place = F.col("skipped") + F.col("place")
+    rows = rows.withColumn("left", F.col("n") - place)  # words from the shared one on
+    within = F.coalesce((F.col("pivot") == F.col("party")) & (F.col("margin") >= 0), F.lit(False))
+    columns = ["id", "n", "left", "parity", "pivot", "margin"]
+    kept = lambda side: [F.col(c).alias(f"{side}{c}") for c in columns]
+    twice = F.shiftleft("word", 1)
+    # the party of a word has a key of its own on the short side, which only the others have on the long side
+    ninth = F.col("n") - F.floor((2 * SIMILAR * F.col("n") + SIMILAR + OF - 1) / (SIMILAR + OF)).cast("int") + 1
+    short = rows.where(place < ninth).select(twice.bitwiseOR(within.cast("int")).alias("key"), *kept("a_"))
+    both = F.when(F.col("party").isNotNull() & ~within, F.array(twice, twice.bitwiseOR(F.lit(1)))).otherwise(F.array(twice))
+    long = rows.select(F.explode(both).alias("key"), *kept("b_"))
     total = F.col("a_n") + F.col("b_n")
-    lengths = OF * F.least("a_n", "b_n") >= SIMILAR * F.greatest("a_n", "b_n")
+    lengths = (OF * F.col("a_n") >= SIMILAR * F.col("b_n")) & (
+        (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_id") < F.col("b_id")))
+    )
     places = (SIMILAR + OF) * F.least("a_left", "b_left") >= SIMILAR * total
     # a bit differs only where the number of words that one line alone holds is odd
     parities = F.bit_count(F.col("a_parity").bitwiseXOR(F.col("b_parity"))) <= total - 2 * _must_share(total)
     certain = F.coalesce((F.col("a_pivot") == F.col("b_pivot")) & (F.col("a_margin") + F.col("b_margin") >= 0), F.lit(False))
-    once = (F.col("a_id") < F.col("b_id")) | F.col("b_within")
-    met = sides[0].where("NOT a_within").join(sides[1].hint("merge"), "word")
-    return met.where((F.col("a_id") != F.col("b_id")) & once & lengths & places & parities & ~certain).select(
-        F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")
-    ).distinct()
+    met = short.join(long.hint("merge"), "key")
+    return met.where(lengths & places & parities & ~certain).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
 
 
 def _listed(lines: DataFrame, pairs: DataFrame) -> DataFrame:

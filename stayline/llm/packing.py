@@ -1,10 +1,15 @@
 """Best-fit packing of documents into sequences by a grouping genetic algorithm on islands.
 
 A gene is a whole bin. Crossover injects well-filled bins of one parent into another, removes the bins that now hold a
-document twice, and puts the displaced documents back by best fit. Each island evolves a small population over its own
-share of the pieces. Between epochs the elite migrates: bins of the best individual that are filled as good as fully are
-final, and the documents of all others travel on to islands that are dealt anew, so poorly filled remainders of different
-islands meet. Islands hold a bounded number of pieces, whatever the number of documents.
+document twice, and puts the displaced documents back by best fit. Pieces are dealt to blocks of bounded size, and every
+block is settled by several islands, each a task with a population of its own. After an epoch the best individual of each
+island migrates to the next island of its block, where it takes part in crossover, and in the end the best individual of the
+block stays. Bins that are filled as good as fully are then final; the pieces of all others are dealt to new blocks, so poorly
+filled remainders of different blocks meet.
+
+Every island goes through at least one generation of an epoch, and stops early once it is at the least possible number of
+bins. Where lengths are many and small against the capacity, as those of documents usually are, best fit alone is there
+already; the search gains where few lengths fit together.
 """
 
 from __future__ import annotations
@@ -15,7 +20,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayline.llm.tables import blocks, map_batches, read, stored
@@ -23,12 +28,16 @@ from stayline.llm.tokens import default_tokenizer, encoder
 
 CAPACITY = 2048
 END_ID = 0
-ISLAND_PIECES = 8_000
-POPULATION = 4
+BLOCK_PIECES = 8_000
+#: Populations per block, and of them: individuals, generations of an epoch, epochs between migrations.
+ISLANDS = 2
+POPULATION = 3
 GENERATIONS = 6
-EPOCHS = 4
-#: Waste, as a share of the capacity, up to which a bin is final before the last epoch.
-ELITE_WASTE = 0.002
+EPOCHS = 2
+#: Times that what is left over is dealt anew.
+ROUNDS = 3
+#: Waste, as a share of the capacity, up to which a bin is final before the last round.
+FULL_WASTE = 0.002
 
 #: Sequence ids of full pieces start here; those of islands are below.
 _ALONE = 1 << 62
@@ -122,92 +131,143 @@ def crossover(receiver: list[list[int]], donor: list[list[int]], sizes: list[int
             kept.append(list(own))
         else:
             displaced.extend(i for i in own if i not in inside)
-    # the emptiest bins that survived are opened too: their pieces may fill others
-    loose = sorted(range(len(kept)), key=lambda b: sum(sizes[i] for i in kept[b]))[: max(1, len(kept) // 20)] if kept else []
+    # some bins that survived are opened too, the emptiest and any others: their pieces may fill the rest
+    loose = set(sorted(range(len(kept)), key=lambda b: sum(sizes[i] for i in kept[b]))[: -(-len(kept) // 20)])
+    loose |= set(rng.integers(0, len(kept), len(kept) // 20).tolist()) if kept else set()
     for b in sorted(loose, reverse=True):
         displaced.extend(kept.pop(b))
-    displaced.sort(key=lambda i: -sizes[i])
-    return _best_fit(displaced, sizes, capacity, kept + [list(own) for own in injected])
+    displaced.sort(key=lambda i: sizes[i])
+    _exchange(kept, displaced, sizes, capacity)
+    return _best_fit(displaced[::-1], sizes, capacity, kept + [list(own) for own in injected])
+
+
+def _exchange(bins: list[list[int]], displaced: list[int], sizes: list[int], capacity: int) -> None:
+    """Let larger displaced pieces take the place of smaller ones where a bin has room for the difference, as close to full
+    as it goes; `displaced` stays in ascending order."""
+    lengths = [sizes[i] for i in displaced]
+    for own in bins:
+        room = capacity - sum(sizes[i] for i in own)
+        for at, piece in enumerate(own):
+            if not room or not displaced:
+                break
+            where = bisect.bisect_right(lengths, sizes[piece] + room) - 1
+            if where >= 0 and lengths[where] > sizes[piece]:
+                room -= lengths[where] - sizes[piece]
+                own[at] = displaced.pop(where)
+                del lengths[where]
+                back = bisect.bisect_left(lengths, sizes[piece])
+                lengths.insert(back, sizes[piece])
+                displaced.insert(back, piece)
 
 
 def evolve(
-    sizes: list[int], capacity: int = CAPACITY, population: int = POPULATION, generations: int = GENERATIONS, seed: int = 0
+    sizes: list[int], capacity: int = CAPACITY, population: int = POPULATION, generations: int = GENERATIONS, seed: int | list[int] = 0,
+    settlers: list[list[list[int]]] = (),
 ) -> list[list[int]]:
-    """Bins (lists of positions in `sizes`) of the best individual. Stops early at the least possible number of bins."""
+    """Bins (lists of positions in `sizes`) of the best individual after the generations. `settlers` are individuals that
+    join the first population; the rest of it comes from best fit, in falling order and in orders close to it. One
+    generation is always made; the search ends before the others at the least possible number of bins."""
+    if not sizes:
+        return []
     rng = np.random.default_rng(seed)
     least = -(-sum(sizes) // capacity)
-    falling = sorted(range(len(sizes)), key=lambda i: -sizes[i])
-    people = [_best_fit(falling, sizes, capacity)]
-    if len(people[0]) <= least:
-        return people[0]
-    for _ in range(population - 1):
-        # a shuffled start within classes of similar size: other bins, of like quality
+    people = [[list(own) for own in one] for one in settlers]
+    if not people:
+        people.append(_best_fit(sorted(range(len(sizes)), key=lambda i: -sizes[i]), sizes, capacity))
+    while len(people) < population:
+        # a shuffled order among pieces of similar size: other bins, of like quality
         jitter = np.asarray(sizes) * rng.uniform(0.8, 1.0, len(sizes))
         people.append(_best_fit(np.argsort(-jitter, kind="stable").tolist(), sizes, capacity))
     scored = sorted(((_fitness(p, sizes, capacity), p) for p in people), key=lambda x: x[0])
     for _ in range(generations):
+        for _ in range(max(1, population // 2)):
+            a, b = rng.choice(len(scored), 2, replace=False).tolist() if len(scored) > 1 else (0, 0)
+            for donor, receiver in ((a, b), (b, a)):
+                child = crossover(scored[receiver][1], scored[donor][1], sizes, capacity, rng)
+                scored.append((_fitness(child, sizes, capacity), child))
+                if scored[0][0][0] <= least:
+                    break
+        # individuals of equal fitness are as good as the same one
+        scored = list(dict(sorted(scored, key=lambda x: x[0], reverse=True)).items())[::-1][:population]
         if scored[0][0][0] <= least:
             break
-        for _ in range(population // 2):
-            a, b = rng.choice(len(scored), 2, replace=False).tolist()
-            child = crossover(scored[max(a, b)][1], scored[min(a, b)][1], sizes, capacity, rng)
-            scored.append((_fitness(child, sizes, capacity), child))
-        scored = sorted(scored, key=lambda x: x[0])[:population]
     return scored[0][1]
 
 
-def pack(found: DataFrame, capacity: int = CAPACITY, island_pieces: int = ISLAND_PIECES) -> DataFrame:
+_STATE = "block bigint, island int, uid bigint, length bigint, own int, guest int"
+
+
+def pack(found: DataFrame, capacity: int = CAPACITY, block_pieces: int = BLOCK_PIECES) -> DataFrame:
     """Add sequence_id and offset to pieces (doc_id, piece, start, length, ids_crc32), a stored table.
 
     Every piece gets one place; places of a sequence are gapless from 0. Full pieces are sequences by themselves. Null
     ids, repeated documents and an empty table are allowed. Which documents share a sequence depends on how the stored
     table is split; a recomputed task sees the same split.
     """
+    numbered = found.withColumn("uid", F.monotonically_increasing_id())
     full = F.col("length") == capacity
-    alone = (F.lit(_ALONE) + F.monotonically_increasing_id()).alias("sequence_id")
-    done = [found.where(full).select("*", alone, F.lit(0).cast("bigint").alias("offset"))]
-    open_pieces = found.where(~full)
-    total = open_pieces.count()
-    for epoch in range(EPOCHS):
-        last = epoch == EPOCHS - 1
-        islands = blocks(total, island_pieces)
-        waste = capacity if last else int(ELITE_WASTE * capacity)
-        packed = stored(_epoch(open_pieces, epoch, islands, capacity, waste), f"packing-{epoch}")
-        done.append(packed.where("sequence_id IS NOT NULL"))
-        open_pieces = packed.where("sequence_id IS NULL").drop("sequence_id", "offset")
-        if last:
-            break
-        total = open_pieces.count()
+    alone = numbered.where(full).select("uid", (F.lit(_ALONE) + F.col("uid")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+    # lengths and places travel; what else is known of a piece waits for its place
+    left, done = numbered.where(~full).select("uid", "length"), [alone]
+    for round_ in range(ROUNDS):
+        total = left.count()
         if not total:
             break
-    result = done[0]
+        waste = capacity if round_ == ROUNDS - 1 else int(FULL_WASTE * capacity)
+        placed = _settled(left, round_, blocks(total, block_pieces), capacity, waste)
+        done.append(placed.where("sequence_id IS NOT NULL").select("uid", "sequence_id", "offset"))
+        left = placed.where("sequence_id IS NULL").select("uid", "length")
+    places = done[0]
     for more in done[1:]:
-        result = result.unionByName(more)
-    return result
+        places = places.unionByName(more)
+    return numbered.join(places, "uid").drop("uid")
 
 
-def _epoch(found: DataFrame, epoch: int, islands: int, capacity: int, waste: int) -> DataFrame:
-    def island(frame: pd.DataFrame) -> pd.DataFrame:
-        number = int(frame["_island"].iloc[0])
-        frame = frame.sort_values(["length", "doc_id", "piece", "ids_crc32"], kind="stable").reset_index(drop=True)
+def _settled(pieces_left: DataFrame, round_: int, n_blocks: int, capacity: int, waste: int) -> DataFrame:
+    """uid, length, sequence_id and offset of all pieces; null where the bin is not full enough to stay."""
+    def islands(frame: pd.DataFrame, epoch: int) -> pd.DataFrame:
+        frame = frame.sort_values("uid").reset_index(drop=True)
         sizes = frame["length"].tolist()
-        bins = evolve(sizes, capacity, seed=1_000 * epoch + number)
-        sequence, offset = [None] * len(sizes), [None] * len(sizes)
-        for own_number, own in enumerate(bins):
-            if capacity - sum(sizes[i] for i in own) <= waste:
-                place = 0
-                for i in own:
-                    # epoch and island above, the bin below: unique without asking the other islands
-                    sequence[i], offset[i] = (epoch << 56) | (number << 24) | own_number, place
-                    place += sizes[i]
-        frame["sequence_id"] = pd.array(sequence, dtype="Int64")
-        frame["offset"] = pd.array(offset, dtype="Int64")
-        return frame.drop(columns="_island")
-
-    # by place in the stored table, not by value: one document repeated many times must not fill an island
-    salted = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(epoch)), F.lit(islands))
-    dealt = found.withColumn("_island", salted)
-    return dealt.groupBy("_island").applyInPandas(island, _PIECES + ", sequence_id bigint, offset bigint")
+        seed = [round_, epoch, int(frame["block"].iloc[0]), int(frame["island"].iloc[0])]
+        settlers = [_bins_of(frame[name].tolist()) for name in ("own", "guest") if frame[name].notna().all()]
+        numbers = np.zeros(len(sizes), np.int32)
+        for number, own in enumerate(evolve(sizes, capacity, seed=seed, settlers=settlers)):
+            numbers[own] = number
+        return frame.assign(own=numbers, guest=frame["guest"].astype("Int32"))
+
+    # by place in the stored table, not by value: one document repeated many times must not fill a block
+    block = F.pmod(F.xxhash64("uid", F.lit(round_)), F.lit(n_blocks)).alias("block")
+    none = F.lit(None).cast("int")
+    every = F.explode(F.array(*[F.lit(number) for number in range(ISLANDS)])).alias("island")
+    state = pieces_left.select(block, every, "uid", "length", none.alias("own"), none.alias("guest"))
+    for epoch in range(EPOCHS):
+        grown = state.groupBy("block", "island").applyInPandas(lambda frame, epoch=epoch: islands(frame, epoch), _STATE)
+        grown = stored(grown, f"packing-{round_}-{epoch}")
+        # the elite of each island settles on the next one, too
+        following = F.pmod(F.col("island") + 1, F.lit(ISLANDS)).cast("int").alias("island")
+        guests = grown.select("block", following, "uid", F.col("own").alias("guest"))
+        state = grown.drop("guest").join(guests, ["block", "island", "uid"])
+    bins = grown.groupBy("block", "island", "own").agg(F.sum("length").alias("filled"))
+    # fewest bins first, then bins that are full beside bins that are nearly empty
+    judged = bins.groupBy("block", "island").agg(F.count("*").alias("n"), (-F.sum(F.col("filled") * F.col("filled"))).alias("spread"))
+    best = judged.groupBy("block").agg(F.min(F.struct("n", "spread", "island")).alias("b")).select("block", F.col("b.island").alias("island"))
+    chosen = grown.join(best, ["block", "island"]).join(bins, ["block", "island", "own"])
+    # round and block above, the bin below: unique without asking the other blocks
+    number = F.lit(round_ << 56) + F.shiftleft("block", 24) + F.col("own")
+    inside = Window.partitionBy("block", "own").orderBy("uid").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("length").over(inside), F.lit(0))
+    final = F.col("filled") >= capacity - waste
+    return stored(
+        chosen.select("uid", "length", F.when(final, number).alias("sequence_id"), F.when(final, before).alias("offset")),
+        f"packing-{round_}",
+    )
+
+
+def _bins_of(numbers: list[int]) -> list[list[int]]:
+    bins: dict[int, list[int]] = {}
+    for at, number in enumerate(numbers):
+        bins.setdefault(number, []).append(at)
+    return list(bins.values())
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:

@@ -8,8 +8,8 @@ import re
 
 import numpy as np
 
-#: Units whose ids a worker remembers before it starts afresh.
-CACHE_UNITS = 600_000
+#: Units whose ids a worker remembers before it drops those that it has met in one call only; some 250 MB.
+CACHE_UNITS = 1_200_000
 #: Units per call of the tokenizer.
 _RUN = 500
 _UNSAFE = re.compile(r"\s\s")
@@ -24,7 +24,8 @@ def default_tokenizer() -> str:
 class _Numbers(dict):
     """Numbers units as they are first asked for, and lists those that are new."""
 
-    def __init__(self):
+    def __init__(self, units: list[str] = ()):
+        super().__init__(zip(units, range(len(units)), strict=True))
         self.fresh: list[str] = []
 
     def __missing__(self, unit: str) -> int:
@@ -33,24 +34,14 @@ class _Numbers(dict):
         return number
 
 
-class _Runs:
-    """Short arrays in a row, with room to grow."""
+def _spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of all elements of runs, one run after another."""
+    stops = np.cumsum(sizes)
+    return np.repeat(begins - stops + sizes, sizes) + np.arange(stops[-1] if len(stops) else 0)
 
-    def __init__(self):
-        self.values, self.ends, self.count = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 0
 
-    def add(self, parts: list[np.ndarray]) -> None:
-        begin = int(self.ends[self.count])
-        ends = begin + np.cumsum([len(part) for part in parts])
-        self.values = self._grown(self.values, int(ends[-1]))
-        self.ends = self._grown(self.ends, self.count + len(parts) + 1)
-        self.values[begin : ends[-1]] = np.concatenate(parts)
-        self.ends[self.count + 1 : self.count + 1 + len(parts)] = ends
-        self.count += len(parts)
-
-    @staticmethod
-    def _grown(values: np.ndarray, size: int) -> np.ndarray:
-        return values if size <= len(values) else np.concatenate((values, np.zeros(max(size, len(values)), values.dtype)))
+def _grown(values: np.ndarray, size: int) -> np.ndarray:
+    return values if size <= len(values) else np.concatenate((values, np.zeros(max(size, len(values)), values.dtype)))
 
 
 class Encoder:
@@ -60,25 +51,41 @@ class Encoder:
     belongs to the piece behind it, a single line end is a piece by itself, and no piece reaches across either. So the ids
     of a text without neighbouring white space are those of its words in a row, each with the blank before it, and words
     repeat where texts do not. New words go to the tokenizer many at a time, as lines of one text. Other texts go there
-    whole.
+    whole, and so do those that hold the name of an added token, which the library cuts out before all else.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._added = [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
         (self._line_end,) = self._whole(["\n"])[0]
-        self._forget()
+        # a unit is a word behind a blank; a word at the start of a line is kept with a blank in front of its name
+        self._numbers = _Numbers()
+        self._begins, self._sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self._again = np.zeros(1 << 14, bool)
+        self._values, self._filled = np.zeros(1 << 16, np.uint32), 0
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, dtype=np.uint32) for one in found]
 
     def _forget(self) -> None:
-        # a unit is a word behind a blank; a word at the start of a line is kept with a blank in front of its name
-        self._numbers = _Numbers()
-        self._known = _Runs()
+        """Go on with the units met more than once, or with none where that are too many."""
+        kept = np.flatnonzero(self._again[: len(self._numbers)])
+        kept = kept if 2 * len(kept) <= CACHE_UNITS else kept[:0]
+        units, sizes = list(self._numbers), self._sizes[kept]
+        values = self._values[_spread(self._begins[kept], sizes)]
+        self._numbers = _Numbers([units[number] for number in kept.tolist()])
+        self._begins[: len(kept)], self._sizes[: len(kept)] = np.cumsum(sizes) - sizes, sizes
+        self._again[:] = False
+        self._values[: len(values)], self._filled = values, len(values)
+
+    def _add(self, numbers: np.ndarray, sizes: np.ndarray, values: np.ndarray) -> None:
+        self._values = _grown(self._values, self._filled + len(values))
+        self._values[self._filled : self._filled + len(values)] = values
+        self._begins[numbers], self._sizes[numbers] = self._filled + np.cumsum(sizes) - sizes, sizes
+        self._filled += len(values)
 
     def _learn(self) -> None:
         """Ask the tokenizer for the units that were numbered since it was asked last."""
@@ -86,51 +93,50 @@ class Encoder:
         if not fresh:
             return
         self._numbers.fresh = []
-        plain = []
-        for at, text in enumerate(fresh):
-            visible = text.removeprefix(" ")
-            if visible and "\n" not in visible and visible == visible.strip():
-                plain.append(at)
-        found: list[np.ndarray | None] = [None] * len(fresh)
-        runs = [plain[at : at + _RUN] for at in range(0, len(plain), _RUN)]
-        for run, ids in zip(runs, self._whole(["\n".join([fresh[at] for at in run]) for run in runs]), strict=True):
-            cuts = np.flatnonzero(ids == self._line_end)
-            begins = [0, *(cuts + 1).tolist()]
-            for at, begin, end in zip(run, begins, [*cuts.tolist(), len(ids)], strict=True):
-                found[at] = ids[begin:end]
-        odd = [at for at, own in enumerate(found) if own is None]
-        for at, ids in zip(odd, self._whole([fresh[at] for at in odd]), strict=True):
-            found[at] = ids
-        self._known.add(found)
+        total = len(self._numbers)
+        first = total - len(fresh)
+        self._begins, self._sizes, self._again = (_grown(one, total) for one in (self._begins, self._sizes, self._again))
+        # a word has no blank or line end inside; other white space at its ends might run on into the line end
+        plain = [at for at, text in enumerate(fresh) if (word := text.removeprefix(" ")) and word == word.strip()]
+        for at in range(0, len(plain), _RUN):
+            run = plain[at : at + _RUN]
+            (ids,) = self._whole(["\n".join([fresh[i] for i in run])])
+            ends = ids == self._line_end
+            cuts = np.concatenate(([-1], np.flatnonzero(ends), [len(ids)]))
+            self._add(first + np.array(run), np.diff(cuts) - 1, ids[~ends])
+        odd = sorted(set(range(len(fresh))).difference(plain))
+        if odd:
+            found = self._whole([fresh[at] for at in odd])
+            self._add(first + np.array(odd), np.array([len(ids) for ids in found]), np.concatenate(found))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, without special tokens."""
+        """Ids of each text, as the library gives them without special tokens at its ends."""
         if len(self._numbers) > CACHE_UNITS:
             self._forget()
         numbers, rows, whole = self._numbers, [], []
+        known, number = len(numbers), numbers.__getitem__
         end = numbers[" \n"]
         for at, text in enumerate(texts):
-            if _UNSAFE.search(text):
+            if _UNSAFE.search(text) or any(name in text for name in self._added):
                 whole.append(at)
                 rows.append([])
                 continue
             row: list[int] = []
             for line in text.split("\n"):
                 first, *rest = line.split(" ")
-                row.append(numbers[" " + first])
-                row += [numbers[word] for word in rest]
+                row.append(number(" " + first))
+                row += map(number, rest)
                 row.append(end)
             rows.append(row[:-1])
         self._learn()
         counts = [len(row) for row in rows]
         flat = np.fromiter(itertools.chain.from_iterable(rows), np.int64, sum(counts))
-        begins = self._known.ends[flat]
-        sizes = self._known.ends[flat + 1] - begins
-        stops = np.cumsum(sizes)
-        ids = self._known.values[np.repeat(begins - stops + sizes, sizes) + np.arange(stops[-1] if len(stops) else 0)]
-        borders = np.concatenate(([0], stops))[np.cumsum([0, *counts])]
-        out = [ids[a:b] for a, b in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True)]
-        for at, own in zip(whole, self._whole([texts[at] for at in whole]), strict=True):
+        self._again[flat[flat < known]] = True
+        sizes = self._sizes[flat]
+        ids = self._values[_spread(self._begins[flat], sizes)]
+        borders = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum([0, *counts])]
+        out = [ids[a:b] for a, b in itertools.pairwise(borders.tolist())]
+        for at, own in zip(whole, self._whole([texts[at] for at in whole]) if whole else (), strict=True):
             out[at] = own
         return out
 

@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     entry = importlib.import_module("__spark_entry__")
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
