@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import bisect
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -225,7 +226,7 @@ def pack(found: DataFrame, capacity: int = CAPACITY, block_pieces: int = BLOCK_P
 
 def _settled(pieces_left: DataFrame, round_: int, n_blocks: int, capacity: int, waste: int) -> DataFrame:
     """uid, length, sequence_id and offset of all pieces; null where the bin is not full enough to stay."""
-    def islands(frame: pd.DataFrame, epoch: int) -> pd.DataFrame:
+    def island(frame: pd.DataFrame, epoch: int) -> pd.DataFrame:
         frame = frame.sort_values("uid").reset_index(drop=True)
         sizes = frame["length"].tolist()
         seed = [round_, epoch, int(frame["block"].iloc[0]), int(frame["island"].iloc[0])]
@@ -240,8 +241,11 @@ def _settled(pieces_left: DataFrame, round_: int, n_blocks: int, capacity: int,
     none = F.lit(None).cast("int")
     every = F.explode(F.array(*[F.lit(number) for number in range(ISLANDS)])).alias("island")
     state = pieces_left.select(block, every, "uid", "length", none.alias("own"), none.alias("guest"))
+    def settle(epoch: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+        return lambda frame: island(frame, epoch)
+
     for epoch in range(EPOCHS):
-        grown = state.groupBy("block", "island").applyInPandas(lambda frame, epoch=epoch: islands(frame, epoch), _STATE)
+        grown = state.groupBy("block", "island").applyInPandas(settle(epoch), _STATE)
         grown = stored(grown, f"packing-{round_}-{epoch}")
         # the elite of each island settles on the next one, too
         following = F.pmod(F.col("island") + 1, F.lit(ISLANDS)).cast("int").alias("island")
