@@ -38,6 +38,7 @@ _VIEWS = {
     "bookings": _view("bookings", lens.BOOKINGS, "orders"),
     "stay_nights": _view("stay_nights", lens.STAY_NIGHTS, "lineitem"),
     "runs": _view("runs", lens.RUNS, "events"),
+    "run_events": _view("run_events", lens.RUN_EVENTS, "events"),
     "sales": _view("sales", lens.RAW_HEADER, "orders"),
     "raw_lines": _view("raw_lines", lens.RAW_LINE, "lineitem"),
     "raw_stays": "raw_stays AS (SELECT * FROM raw_lines JOIN sales USING (src_order))",
@@ -369,6 +370,9 @@ _QUERIES = {
             FROM raw WHERE agent_src_id > 0) WHERE place = 1) LEFT JOIN channels USING (channel)""",
     "room_type_dim": """SELECT row_number() OVER (ORDER BY room_type) AS room_type_id, room_type, category, true AS active
         FROM room_types""",
+    "stable_guest_keys": """SELECT row_number() OVER (ORDER BY first <> 1995, national_id) AS guest_id, national_id FROM (
+        SELECT national_id, min(created_year) AS first FROM raw WHERE stay_date IS NOT NULL AND national_id <> ''
+        GROUP BY national_id)""",
     "dim_refresh": """SELECT row_number() OVER (ORDER BY first <> 1995, national_id) AS guest_key, national_id FROM (
         SELECT national_id, min(year(CAST(strptime(created_date_txt, '%d/%m/%Y') AS DATE))) AS first FROM sales
         GROUP BY national_id)""",
@@ -432,6 +436,14 @@ _QUERIES = {
                 count(*) OVER (PARTITION BY l.guest_id) AS guest_pairs
             FROM stays e JOIN stays l ON e.guest_id = l.guest_id AND e.checkin < l.checkin)
         WHERE guest_pairs > 1 GROUP BY ALL""",
+    "stay_pair_rows": """SELECT * EXCLUDE (guest_pairs) FROM (
+            SELECT l.guest_id, row_number() OVER (PARTITION BY l.guest_id ORDER BY l.checkin, l.booking_id, l.created_year,
+                    e.checkin, e.booking_id, e.created_year) AS pair_no, count(*) OVER (PARTITION BY l.guest_id) AS guest_pairs,
+                e.booking_id AS earlier_booking_id, e.created_year AS earlier_created_year, e.checkin AS earlier_checkin,
+                e.checkout AS earlier_checkout, l.booking_id, l.created_year, l.checkin, l.checkout,
+                CAST(l.checkin - e.checkin AS INT) AS days_between
+            FROM stays e JOIN stays l ON e.guest_id = l.guest_id AND e.checkin < l.checkin)
+        WHERE guest_pairs > 1 AND pair_no <= 10""",
     "return_intervals": _INTERVALS,
     "return_median": f"""SELECT count(*) AS returns, CAST(median(days_between) AS DOUBLE) AS median_days FROM ({_INTERVALS})""",
     **{f"health_{number:02d}": _health(number) for number in range(1, 14)},
@@ -443,6 +455,8 @@ _QUERIES = {
         count(*) FILTER (WHERE status = 'ERROR') AS failed, {_r2('CAST(sum(seconds) AS DOUBLE) / count(seconds)')} AS avg_seconds,
         CAST(max(seconds) AS DOUBLE) AS max_seconds, max(started_at) AS last_start FROM runs
         WHERE started_at >= TIMESTAMP '2024-01-01 00:00:00' GROUP BY process""",
+    "run_states": """SELECT CASE WHEN NOT e.is_end AND e.lease_until < TIMESTAMP '2024-01-15 00:00:00' THEN 'ABANDONED' ELSE e.status END AS status,
+        count(*) AS runs FROM (SELECT run_id, max({'is_end': is_end, 'lease_until': lease_until, 'status': status}) AS e FROM run_events GROUP BY run_id) GROUP BY ALL""",
     "run_audit": """SELECT 'count_lines' AS process, 'SCAN' AS action, (SELECT count(*) FROM stay_nights) AS rows,
         'OK' AS status, true AS timed, true AS ended
         UNION ALL SELECT 'load_targets', 'READ', (SELECT count(*) FROM bookings), 'ERROR', true, true""",

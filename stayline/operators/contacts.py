@@ -85,6 +85,28 @@ def stay_pairs(bookings: DataFrame) -> DataFrame:
     )
 
 
+def pair_rows(bookings: DataFrame, low: int = 1, high: int = 10, guests: DataFrame | None = None) -> DataFrame:
+    """The pairs at positions `low` to `high` of each guest, or of some guests (guest_id), as rows.
+
+    A position among a guest's pairs tells both stays: the later one by the range it falls in, the earlier one by how far
+    into the range it lies, as that is its number among the guest's stays. So only the pairs that are asked for are made.
+    """
+    later = stay_pairs(bookings).where((F.col("last_pair") >= low) & (F.col("first_pair") <= high))
+    everyone = stays(bookings)
+    if guests is not None:
+        later, everyone = (rows.join(guests.select("guest_id"), "guest_id", "left_semi") for rows in (later, everyone))
+    places = F.sequence(F.greatest("first_pair", F.lit(low).cast("long")), F.least("last_pair", F.lit(high).cast("long")))
+    asked = later.withColumn("pair_no", F.explode(places))
+    asked = asked.withColumn("stay_no", F.col("pair_no") - F.col("first_pair") + 1)
+    order = [F.col("checkin"), *[F.col(key) for key in BOOKING_KEY]]
+    numbered = rank_within(everyone, ["guest_id"], order, "stay_no")
+    earlier = numbered.select("guest_id", "stay_no", *[F.col(name).alias(f"earlier_{name}") for name in (*BOOKING_KEY, "checkin", "checkout")])
+    return asked.join(earlier, ["guest_id", "stay_no"]).select(
+        "guest_id", "pair_no", *[f"earlier_{name}" for name in (*BOOKING_KEY, "checkin", "checkout")], *BOOKING_KEY, "checkin",
+        "checkout", F.date_diff("checkin", "earlier_checkin").alias("days_between"),
+    )
+
+
 def return_intervals(bookings: DataFrame) -> DataFrame:
     """Days between consecutive stays of each guest who came back, one row per return."""
     order = [F.col("checkin"), *[F.col(key) for key in BOOKING_KEY]]

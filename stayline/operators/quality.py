@@ -21,6 +21,7 @@ from stayline.operators.conform import has_national_id, with_created
 
 OK, WARN, CRITICAL = "OK", "WARN", "CRITICAL"
 NEVER_RUN, LAST_FAILED, STALE = "WARN: never run", "CRITICAL: last run failed", "WARN: older than 2 days"
+LAST_ABANDONED = "CRITICAL: last run abandoned"
 
 
 class Check(NamedTuple):
@@ -208,6 +209,7 @@ def last_build(runs: DataFrame, as_of: dt.datetime, process: str = "build_silver
     status = (
         F.when(F.col("last_start").isNull(), NEVER_RUN)
         .when(F.col("last_status") == "ERROR", LAST_FAILED)
+        .when(F.col("last_status") == "ABANDONED", LAST_ABANDONED)
         .when(F.col("last_start") < limit, STALE)
         .otherwise(OK)
     )

@@ -16,7 +16,7 @@ from stayline.operators import conform, contacts, dimensions, guests, occupancy,
 from stayline.operators.ordered import assign_keys
 from stayline.operators.sides import literal
 from stayline.plans.gold import refresh_gold
-from stayline.plans.runlog import RunLog, recent_runs, run_stats
+from stayline.plans.runlog import RunLog, current_runs, recent_runs, run_stats
 from stayline.plans.silver import build_silver
 from stayline.session import tuned
 from stayline.sources import bronze, master, schemas
@@ -38,6 +38,7 @@ WINDOW = (dt.date(2000, 6, 1), dt.date(2000, 6, 30))
 COMPARE_YEARS = (1997, 1998, 1999, 2000)
 SALT = "stayline"
 HEALTH_PROCESS = "job_0"
+LEASE_AS_OF = dt.datetime(2024, 1, 15)
 
 
 def _by_day(bronze_rows: DataFrame) -> DataFrame:
@@ -166,6 +167,14 @@ def surrogate_keys(w: Warehouse) -> DataFrame:
     return assign_keys(w.guests.select("national_id"), ["national_id"], "guest_key")
 
 
+def stable_guest_keys(w: Warehouse) -> DataFrame:
+    """Guest ids after a rebuild that brought guests with smaller national ids than those of the first year."""
+    out, raw = work_path(w.spark, "silver"), stored(conform.with_parsed(w.raw_stays), "raw")
+    for lines in (raw.where(F.year("sale_day") == 1995), raw):
+        build_silver(w.spark, lines, w.properties, out, RATE, tie_break=TIE_BREAK, vocab=LENS)
+    return read_published(w.spark, out, "guests").select("guest_id", "national_id")
+
+
 def constraint_violations(w: Warehouse) -> DataFrame:
     faulty = w.with_faults()
     headers = stored(faulty.headers, "headers")
@@ -342,6 +351,11 @@ def run_audit(w: Warehouse) -> DataFrame:
     )
 
 
+def run_states(w: Warehouse) -> DataFrame:
+    """Runs by state on a day: ended, still within their lease, or abandoned."""
+    return current_runs(w.run_events, LEASE_AS_OF).groupBy("status").agg(F.count("*").alias("runs"))
+
+
 JOBS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "date_quarantine": date_quarantine,
     "land_raw_roundtrip": land_raw_roundtrip,
@@ -362,6 +376,7 @@ JOBS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "silver_nights": silver_nights,
     "master_targets": master_targets,
     "surrogate_keys": surrogate_keys,
+    "stable_guest_keys": stable_guest_keys,
     "constraint_violations": constraint_violations,
     "dimension_violations": dimension_violations,
     "calendar": calendar,
@@ -391,6 +406,7 @@ JOBS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "post_stay_contacts": post_stay_contacts,
     "rate_vs_network": lambda w: occupancy.rate_vs_network(w.stay_nights, w.bookings, w.properties),
     "stay_pairs": lambda w: contacts.stay_pairs(w.headers),
+    "stay_pair_rows": lambda w: contacts.pair_rows(w.headers),
     "return_intervals": lambda w: contacts.return_intervals(w.headers),
     "return_median": lambda w: contacts.median_return(contacts.return_intervals(w.headers)),
     **HEALTH,
@@ -398,6 +414,7 @@ JOBS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "recent_runs": lambda w: recent_runs(w.runs),
     "run_stats": lambda w: run_stats(w.runs, RUN_AS_OF),
     "run_audit": run_audit,
+    "run_states": run_states,
 }
 
 

@@ -48,7 +48,7 @@ AGENT_TARGETS = "agent_id bigint, year int, month int, production_target decimal
 
 RUN_EVENTS = """
     run_id bigint, process string, action string, rows bigint, status string, message string,
-    seconds decimal(10,2), started_at timestamp_ntz, ended_at timestamp_ntz, is_end boolean
+    seconds decimal(10,2), started_at timestamp_ntz, ended_at timestamp_ntz, is_end boolean, lease_until timestamp_ntz
 """
 
 LINE_MONEY = "decimal(10,2)"

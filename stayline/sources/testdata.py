@@ -161,6 +161,13 @@ RUNS = {
     "started_at": "ts",
     "ended_at": "ts",
 }
+# four events a run: a start, two renewals, and an end unless the process died
+RUN_EVENTS = {
+    **{name: text for name, text in RUNS.items() if name != "run_id"},
+    "run_id": "cast(floor(event_id / 4) as bigint)",
+    "is_end": "event_id % 4 = 3 and floor(event_id / 4) % 3 <> 0",
+    "lease_until": "ts + interval '12' hour",
+}
 
 
 def projection(columns: dict[str, str], timestamp: str) -> list[str]:
@@ -259,6 +266,10 @@ class Warehouse:
     def runs(self) -> DataFrame:
         return self._view("events", RUNS)
 
+    @cached_property
+    def run_events(self) -> DataFrame:
+        return self._view("events", RUN_EVENTS)
+
     def with_faults(self) -> "Faulty":
         return Faulty(self.spark, self.folder)
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 from decimal import Decimal
 from threading import Event, Thread
 
@@ -6,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayline.operators.keys import KeysChanged, check_append_only
+from stayline.operators.quality import LAST_ABANDONED, last_build
 from stayline.operators.validation import silver_rules, validate
 from stayline.plans.load import run_load
 from stayline.plans.runlog import RunLog, recent_runs, run_stats
@@ -217,6 +219,26 @@ def test_failed_step_leaves_a_trail(spark, folder):
     assert done.seconds > 0 and done.ended_at > done.started_at
 
 
+def test_a_run_that_is_no_longer_heard_of_is_abandoned(spark, folder, monkeypatch):
+    log = RunLog(spark, f"{folder}/log", lease=dt.timedelta(seconds=9))
+    appended = []
+    append = log._append
+    monkeypatch.setattr(log, "_append", lambda *values: (append(*values), appended.append(values)))
+    with log.step("build_silver", "REBUILD"):
+        # the lease is renewed while the step goes on
+        deadline = time.monotonic() + 60
+        while len(appended) < 2 and time.monotonic() < deadline:
+            time.sleep(0.2)
+        begun, renewed = appended[0][-1], appended[-1][-1]
+        assert renewed > begun
+        state = lambda at: {r.status for r in log.runs(at).collect()}
+        assert state(begun + dt.timedelta(milliseconds=1)) == {"RUNNING"}
+        later = renewed + dt.timedelta(days=1)
+        assert state(later) == {"ABANDONED"}
+        assert last_build(log.runs(later), later).head().status == LAST_ABANDONED
+    assert state(later) == {"OK"} and log.runs().head().ended_at is not None
+
+
 def test_recent_runs_and_statistics(table):
     at = dt.datetime(2025, 3, 1, 8, 5, 9)
     rows = [(n, "a", "X", 1, "OK" if n % 3 else "ERROR", None, Decimal(n), at + dt.timedelta(hours=n), None) for n in range(60)]

@@ -214,6 +214,21 @@ def test_pairs_agree_with_listing_them(table):
     assert {row[0] for row in wanted} == {3, 4, 5, 6}
 
 
+def test_pairs_are_spelled_out_where_asked_for(table):
+    bookings = stays(table, {1: 1, 2: 2, 4: 5, 6: 9})
+    rows = [tuple(r) for r in contacts.stays(bookings).collect()]
+    every = {}
+    for guest in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == guest), key=lambda r: (r[3], r[1], r[2]))
+        pairs = [(e, l) for l in own for e in own if e[3] < l[3]]
+        every[guest] = pairs if len(pairs) > 1 else []
+    def spelled(low, high, guests):
+        return sorted(((g, n, *e[1:], *l[1:], (l[3] - e[3]).days) for g in guests for n, (e, l) in enumerate(every[g], 1) if low <= n <= high), key=repr)
+    assert rows_of(contacts.pair_rows(bookings, 1, 10**6)) == spelled(1, 10**6, every)
+    assert rows_of(contacts.pair_rows(bookings, 3, 7)) == spelled(3, 7, every)
+    assert rows_of(contacts.pair_rows(bookings, 2, 30, table("guest_id long", (6,)))) == spelled(2, 30, [6])
+
+
 def test_intervals_between_consecutive_stays(table):
     got = contacts.return_intervals(stays(table, {1: 1, 2: 2, 6: 9}))
     assert got.where("guest_id = 1").count() == 0
