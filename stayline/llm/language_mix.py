@@ -163,7 +163,8 @@ def identify(docs: DataFrame, model: Model, name: str = "language") -> DataFrame
     """Add the struct `name`: lang, score (its share, 0 to 1) and mixture (languages of the chosen set, largest first).
 
     Only the text is looked at. Null texts and texts without a letter get `und`, score 0 and no mixture. Ties go to the
-    language that sorts first.
+    language that sorts first. Repeated rows each get a result. A column that is already called `name` is replaced, all
+    others stay as they are.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

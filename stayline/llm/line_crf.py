@@ -186,7 +186,8 @@ def training_rows(text: bytes) -> list[list[float]]:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Field:
     """Fit on at most `sample` labelled documents, those with the smallest hash of their id, so the choice does not depend
-    on the order of rows. Without any label the prior weights are returned."""
+    on the order of rows. Of rows that repeat an id, the text with the smallest hash counts, and of labels the smaller one.
+    Without any label the prior weights are returned."""
     chosen = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
@@ -194,9 +195,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Field:
     def of_lines(texts: pd.Series) -> pd.Series:
         return pd.Series([training_rows(text) for text in texts])
 
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", of_lines(as_bytes()).alias("rows"))
-    # as many rows as documents were chosen, but for repeated ids; each holds a bounded number of lines
-    sequences = [(row["quality"], row["rows"]) for row in found.orderBy("quality").limit(2 * sample).collect() if row["rows"]]
+    # `sample` rows at most, so it may be broadcast; as many come back, and each holds a bounded number of lines
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    texts = texts.groupBy("doc_id", "quality").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    found = texts.select("doc_id", "quality", of_lines(as_bytes()).alias("rows"))
+    sequences = [(row["quality"], row["rows"]) for row in sorted(found.collect(), key=lambda row: row["doc_id"]) if row["rows"]]
     return _fit(sequences)
 
 
@@ -268,7 +271,8 @@ def judge(docs: DataFrame, field: Field, name: str = "quality") -> DataFrame:
     """Add the struct `name`: figures of the whole text, whether it fails the base rules, whether it is kept, the share
     of words in content lines and the numbers of boilerplate lines.
 
-    Null and empty texts have no words and fail. Lines without a word are neither content nor boilerplate.
+    Null and empty texts have no words and fail. Lines without a word are neither content nor boilerplate. Repeated rows
+    each get their figures. A column that is already called `name` is replaced, all others stay as they are.
     """
     sent = docs.sparkSession.sparkContext.broadcast(field)
 

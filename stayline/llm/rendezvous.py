@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stayline.llm.tables import read, stored
+from stayline.llm.tables import read, stored, unused
 
 SHARDS = 40
 #: Bytes that a record takes beside its text.
@@ -36,23 +36,25 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
 
 
 def with_slots(rows: DataFrame, group: str, order: Sequence[str]) -> DataFrame:
-    """Add `slot`, the place of each row in its group, gapless from 0, in `order`; equal rows are interchangeable.
+    """Add `slot`, the place of each row in its group, gapless from 0, in `order`; equal rows are interchangeable. `rows`
+    has no column of that name and no null in `group`; its other columns may have any names.
 
     Rows are sorted in ranges, not by group, so a group that holds a third of all rows spreads over a third of the
     ranges. A range adds what the ranges before it hold of the group: one small row per range and group.
     """
-    keyed = rows.withColumn("_row", F.monotonically_increasing_id())  # splits runs of equal rows
-    columns = [F.col(group), *[F.col(name) for name in order], F.col("_row")]
+    row, pos, range_, count, first, before = (unused(rows, f"_{name}") for name in ("row", "pos", "range", "n", "first", "before"))
+    keyed = rows.withColumn(row, F.monotonically_increasing_id())  # splits runs of equal rows
+    columns = [F.col(group), *[F.col(name) for name in order], F.col(row)]
     placed = stored(
-        keyed.repartitionByRange(*columns).sortWithinPartitions(*columns).drop("_row")
-        .withColumn("_pos", F.monotonically_increasing_id()),
+        keyed.repartitionByRange(*columns).sortWithinPartitions(*columns).drop(row)
+        .withColumn(pos, F.monotonically_increasing_id()),
         "slots",
-    ).withColumn("_range", F.shiftright("_pos", _ROW_BITS))
-    sizes = placed.groupBy(group, "_range").agg(F.count("*").alias("_n"), F.min("_pos").alias("_first"))
-    before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(group, "_range", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    joined = placed.join(starts, [group, "_range"])
-    return joined.withColumn("slot", F.col("_before") + F.col("_pos") - F.col("_first")).select(*rows.columns, "slot")
+    ).withColumn(range_, F.shiftright(pos, _ROW_BITS))
+    sizes = placed.groupBy(group, range_).agg(F.count("*").alias(count), F.min(pos).alias(first))
+    earlier = Window.partitionBy(group).orderBy(range_).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(group, range_, first, F.coalesce(F.sum(count).over(earlier), F.lit(0)).alias(before))
+    joined = placed.join(starts, [group, range_])
+    return joined.withColumn("slot", F.col(before) + F.col(pos) - F.col(first)).select(*rows.columns, "slot")
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS, weights: Sequence[float] | None = None) -> DataFrame:

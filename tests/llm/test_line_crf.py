@@ -83,6 +83,16 @@ def test_fitted_field_tells_prose_from_junk(spark, docs):
     assert set(range(6, 12)) >= set(marked) and len(marked) >= 5
 
 
+def test_repeated_ids_count_once_in_the_fit(spark, docs):
+    pick = random.Random(6)
+    rows = [(n, good(pick) if n % 3 else bad(pick)) for n in range(40)]
+    labels = spark.createDataFrame([(n, 1 if n % 3 else 0) for n in range(40)], "doc_id bigint, quality int")
+    once, often = (line_crf.fit(docs(*own), labels) for own in (rows, rows + rows[1:2] * 500))
+    assert np.allclose(once.weights, often.weights)
+    frame = docs(*rows).withColumnRenamed("lang", "quality").withColumnRenamed("source", "rows")
+    assert judge(frame, once).columns == frame.columns
+
+
 def test_without_labels_the_prior_decides(spark, docs):
     none = spark.createDataFrame([], "doc_id bigint, quality int")
     field = line_crf.fit(docs("a"), none)

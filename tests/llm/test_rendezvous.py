@@ -59,6 +59,14 @@ def test_one_group_that_fills_the_table(spark):
     assert sorted(slots) == list(range(1000))
 
 
+def test_columns_may_have_any_names(spark):
+    names = ["_row", "_pos", "_range", "_n", "_first", "_before"]
+    frame = spark.range(50).select((F.col("id") % 3).alias("g"), "id", *[F.lit(7).alias(name) for name in names])
+    got = with_slots(frame, "g", ["id"])
+    assert got.columns == [*frame.columns, "slot"]
+    assert sorted((r.g, r.slot, r.id, r._before) for r in got.collect()) == sorted((n % 3, n // 3, n, 7) for n in range(50))
+
+
 def test_main_path_runs_no_python(docs):
     plan = shard_documents(docs("a", "b"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|ArrowEval|Cartesian|NestedLoop", plan)
