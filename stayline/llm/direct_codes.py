@@ -129,16 +129,14 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
 
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), [text or "" for text in batch.column(1).to_pylist()]
-            for at in range(0, len(texts), 100):
-                found = encoder(name).encode(texts[at : at + 100])
-                for doc_id, own in zip(names[at : at + 100], found, strict=True):
-                    doc_ids.append(doc_id)
-                    ids.append(np.append(own, np.uint32(end_id)))
-                    size += len(ids[-1])
-                    if size >= SEGMENT_IDS:
-                        yield close()
-                        segment, start = segment + 1, start + size
-                        doc_ids, ids, size = [], [], 0
+            for doc_id, own in zip(names, encoder(name).encode(texts), strict=True):
+                doc_ids.append(doc_id)
+                ids.append(np.append(own, np.uint32(end_id)))
+                size += len(ids[-1])
+                if size >= SEGMENT_IDS:
+                    yield close()
+                    segment, start = segment + 1, start + size
+                    doc_ids, ids, size = [], [], 0
         if ids:
             yield close()
 

@@ -33,7 +33,7 @@ BLOCK_PIECES = 8_000
 #: Populations per block, and of them: individuals, generations of an epoch, epochs between migrations.
 ISLANDS = 2
 POPULATION = 3
-GENERATIONS = 6
+GENERATIONS = 4
 EPOCHS = 2
 #: Times that what is left over is dealt anew.
 ROUNDS = 3
@@ -62,12 +62,11 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
         doc_ids = batch.column(0).to_pylist()
         texts = [text or "" for text in batch.column(1).to_pylist()]
         rows = []
-        for at in range(0, len(texts), 100):
-            for doc_id, ids in zip(doc_ids[at : at + 100], encoder(path).encode(texts[at : at + 100]), strict=True):
-                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                for number, (start, length) in enumerate(cut(len(ids), capacity)):
-                    code = zlib.crc32(ids[start : start + length].tobytes())
-                    rows.append((doc_id, number, start, length, code))
+        for doc_id, ids in zip(doc_ids, encoder(path).encode(texts), strict=True):
+            ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+            for number, (start, length) in enumerate(cut(len(ids), capacity)):
+                code = zlib.crc32(ids[start : start + length].tobytes())
+                rows.append((doc_id, number, start, length, code))
         return dict(zip(("doc_id", "piece", "start", "length", "ids_crc32"), zip(*rows, strict=True), strict=True)) if rows else None
 
     return map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), tokenized, _PIECES)

@@ -4,15 +4,26 @@ from __future__ import annotations
 
 import functools
 import itertools
-import re
+import sys
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Units whose ids a worker remembers before it drops those that it has met in one call only; some 250 MB.
 CACHE_UNITS = 1_200_000
 #: Units per call of the tokenizer.
 _RUN = 500
-_UNSAFE = re.compile(r"\s\s")
+#: Code points that are looked up at once, so that words which repeat among them are looked up once.
+_CHUNK = 4_000_000
+
+
+@functools.cache
+def _two_blanks() -> str:
+    """Pattern of two white space characters of any kind side by side."""
+    blanks = "".join(f"\\x{{{code:x}}}" for code in range(sys.maxunicode + 1) if chr(code).isspace())
+    return f"[{blanks}][{blanks}]"
 
 
 def default_tokenizer() -> str:
@@ -111,36 +122,64 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as the library gives them without special tokens at its ends."""
+        return [ids for chunk in _chunks(texts) for ids in self._encode(chunk)]
+
+    def _numbered(self, words: pa.Array, mark: str) -> np.ndarray:
+        """Numbers of the units of some words, each different word asked for once."""
+        coded = words.dictionary_encode()
+        number = self._numbers.__getitem__
+        found = [number(mark + word) for word in coded.dictionary.to_pylist()]
+        return np.array(found, np.int64)[coded.indices.to_numpy()] if found else np.zeros(0, np.int64)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self._numbers) > CACHE_UNITS:
             self._forget()
-        numbers, rows, whole = self._numbers, [], []
-        known, number = len(numbers), numbers.__getitem__
-        end = numbers[" \n"]
-        for at, text in enumerate(texts):
-            if _UNSAFE.search(text) or any(name in text for name in self._added):
-                whole.append(at)
-                rows.append([])
-                continue
-            row: list[int] = []
-            for line in text.split("\n"):
-                first, *rest = line.split(" ")
-                row.append(number(" " + first))
-                row += map(number, rest)
-                row.append(end)
-            rows.append(row[:-1])
+        known, end = len(self._numbers), self._numbers[" \n"]
+        column = pa.array(texts, pa.string())
+        odd = pc.match_substring_regex(column, _two_blanks())
+        for name in self._added:
+            odd = pc.or_(odd, pc.match_substring(column, name))
+        whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        lines = pc.split_pattern(pc.if_else(odd, "", column), "\n")
+        words = pc.split_pattern(lines.flatten(), " ")
+        starts = words.offsets.to_numpy()[:-1] - words.offsets[0].as_py()
+        flat_words = words.flatten()
+        # a line's first word has no blank before it; behind each line but a text's last one there is a line end
+        first = np.zeros(len(flat_words), bool)
+        first[starts] = True
+        line_counts = pc.list_value_length(lines).to_numpy()
+        ends_before = np.arange(len(starts)) - np.repeat(np.arange(len(texts)), line_counts)
+        sizes_of_lines = np.diff(np.append(starts, len(flat_words)))
+        places = np.arange(len(flat_words)) + np.repeat(ends_before, sizes_of_lines)
+        flat = np.full(len(flat_words) + len(starts) - len(texts), end, np.int64)
+        flat[places[first]] = self._numbered(flat_words.filter(pa.array(first)), " ")
+        flat[places[~first]] = self._numbered(flat_words.filter(pa.array(~first)), "")
         self._learn()
-        counts = [len(row) for row in rows]
-        flat = np.fromiter(itertools.chain.from_iterable(rows), np.int64, sum(counts))
         self._again[flat[flat < known]] = True
         sizes = self._sizes[flat]
         ids = self._values[_spread(self._begins[flat], sizes)]
-        borders = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum([0, *counts])]
+        # units of a text: its words and the line ends between them
+        last_lines = np.cumsum(line_counts)
+        units = np.append(starts, len(flat_words))[last_lines] + last_lines - np.arange(1, len(texts) + 1)
+        borders = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], units))]
         out = [ids[a:b] for a, b in itertools.pairwise(borders.tolist())]
-        for at, own in zip(whole, self._whole([texts[at] for at in whole]) if whole else (), strict=True):
+        for at, own in zip(whole.tolist(), self._whole([texts[at] for at in whole]) if len(whole) else (), strict=True):
             out[at] = own
         return out
 
 
+def _chunks(texts: list[str]) -> Iterator[list[str]]:
+    run, size = [], 0
+    for text in texts:
+        run.append(text)
+        size += len(text)
+        if size > _CHUNK:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One encoder per worker and vocabulary."""
