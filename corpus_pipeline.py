@@ -49,7 +49,7 @@ STAGES = [
     ("best_fit_packing", packing),
 ]
 
-#: The stages learn, link and pack; SQL cannot express them. Tests hold them against brute force.
+#: The stages learn, link and pack; SQL cannot express them. A test holds run() on planted documents against plain Python.
 ORACLE_SQL = None
 
 

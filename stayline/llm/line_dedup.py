@@ -32,9 +32,9 @@ SIMILAR, OF = 4, 5
 #: Counters of the rarity table; a byte each.
 RARITY_BITS = 22
 _CHUNK_BITS = 10
-#: Lines look for a pivot at so many of their rarest words, where at least so many lines share the word. Both decide which
-#: links are counted without listing them, not which there are.
-PIVOT_WORDS, PIVOT_LINES = 8, 32
+#: Lines look for a pivot at so many words, the least rare ones of their prefix, where at least so many lines share the word.
+#: Both decide which links are counted without listing them, not which there are.
+PIVOT_WORDS, PIVOT_LINES = 3, 32
 #: Logarithm of a count of one.
 _ONCE = 3
 
@@ -127,13 +127,18 @@ def _sets_of(lines: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     return stored(whole.select("id", F.array_distinct(_hashes(F.col("line"))).alias("words"), "first"), name)
 
 
+def _last(prefix: str) -> Column:
+    """The words of a prefix that a line shares with its variants most likely: they are not the rarest ones."""
+    return F.slice(prefix, F.greatest(F.size(prefix) - PIVOT_WORDS + 1, F.lit(1)), F.lit(PIVOT_WORDS))
+
+
 def _members(lines: DataFrame, heads: DataFrame) -> DataFrame:
     """Lines with a pivot: id, pivot, margin, first. The pivot matches the line, and a line has one at most.
 
     Among lines that share a rare word the pivot has the number of words that most of them have, and of those the largest
     sum of ranks: where a variant has a word of its own, the line that it comes from has one that all variants share.
     """
-    keys = heads.select("id", "n", "ranks", F.explode(F.slice("prefix", 1, PIVOT_WORDS)).alias("word"))
+    keys = heads.select("id", "n", "ranks", F.explode(_last("prefix")).alias("word"))
     busy = stored(keys.groupBy("word").agg(F.count("*").alias("lines")).where(F.col("lines") >= PIVOT_LINES).select("word"), "busy-words")
     near = stored(keys.join(sized_broadcast(busy), "word"), "busy-lines")
     sizes = near.groupBy("word", "n").agg(F.count("*").alias("lines"), F.max(F.struct("ranks", "id")).alias("p"))
@@ -182,7 +187,7 @@ def _candidates(heads: DataFrame, members: DataFrame) -> DataFrame:
     party = stored(party.select("word", F.col("p.pivot").alias("party")), "parties")
     rows = rows.join(sized_broadcast(party), "word", "left")
     place = F.col("skipped") + F.col("place")
-    rows = rows.withColumn("left", F.col("n") - place)  # words from the shared one on
+    rows = rows.withColumn("left", F.col("n") - place)  # words from the shared one on, itself included
     within = F.coalesce((F.col("pivot") == F.col("party")) & (F.col("margin") >= 0), F.lit(False))
     columns = ["id", "n", "left", "parity", "pivot", "margin"]
     kept = lambda side: [F.col(c).alias(f"{side}{c}") for c in columns]
@@ -230,6 +235,7 @@ def linked_lines(docs: DataFrame, bits: int = RARITY_BITS) -> tuple[DataFrame, D
     heads = stored(_heads(lines, ranks, bits), "heads")
     release(spark)
     members = _members(lines, heads)
+    release(spark)
     pairs = stored(_candidates(heads, members), "candidates")
     release(spark)
     links = stored(_listed(lines, pairs), "line-links")
