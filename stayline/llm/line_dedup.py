@@ -177,36 +177,27 @@ def _certain(members: DataFrame) -> DataFrame:
 def _candidates(heads: DataFrame, members: DataFrame) -> DataFrame:
     """Pairs (a, b) of line ids that share a prefix word and pass all bounds, once each, without those that are certain.
 
-    Where lines with a pivot and a margin of zero or more share a word, they are all certain matches of each other. The
-    largest such party at a word stays on one side of the join there, and so never meets itself.
+    Both sides of the join are one and the same shuffle, so a prefix word of a line is written once.
     """
     rows = heads.join(sized_broadcast(members.select("id", "pivot", "margin")), "id", "left")
     rows = rows.select("id", "n", "parity", "skipped", "pivot", "margin", F.posexplode("prefix").alias("place", "word"))
-    inside = rows.where("margin >= 0").groupBy("word", "pivot").agg(F.count("*").alias("lines"))
-    party = inside.groupBy("word").agg(F.max(F.struct("lines", "pivot")).alias("p")).where(F.col("p.lines") >= PIVOT_LINES)
-    party = stored(party.select("word", F.col("p.pivot").alias("party")), "parties")
-    rows = rows.join(sized_broadcast(party), "word", "left")
-    place = F.col("skipped") + F.col("place")
-    rows = rows.withColumn("left", F.col("n") - place)  # words from the shared one on, itself included
-    within = F.coalesce((F.col("pivot") == F.col("party")) & (F.col("margin") >= 0), F.lit(False))
+    # words from the shared one on, itself included
+    rows = rows.withColumn("left", F.col("n") - F.col("skipped") - F.col("place"))
     columns = ["id", "n", "left", "parity", "pivot", "margin"]
-    kept = lambda side: [F.col(c).alias(f"{side}{c}") for c in columns]
-    twice = F.shiftleft("word", 1)
-    # the party of a word has a key of its own on the short side, which only the others have on the long side
-    ninth = F.col("n") - F.floor((2 * SIMILAR * F.col("n") + SIMILAR + OF - 1) / (SIMILAR + OF)).cast("int") + 1
-    short = rows.where(place < ninth).select(twice.bitwiseOR(within.cast("int")).alias("key"), *kept("a_"))
-    both = F.when(F.col("party").isNotNull() & ~within, F.array(twice, twice.bitwiseOR(F.lit(1)))).otherwise(F.array(twice))
-    long = rows.select(F.explode(both).alias("key"), *kept("b_"))
+    sides = [rows.select("word", *[F.col(c).alias(f"{side}{c}") for c in columns]) for side in ("a_", "b_")]
     total = F.col("a_n") + F.col("b_n")
     lengths = (OF * F.col("a_n") >= SIMILAR * F.col("b_n")) & (
         (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_id") < F.col("b_id")))
     )
+    # the line with fewer words meets the other by the first ninth of its own
+    ninth = F.col("a_n") - F.floor((2 * SIMILAR * F.col("a_n") + SIMILAR + OF - 1) / (SIMILAR + OF)).cast("int") + 1
+    early = F.col("a_n") - F.col("a_left") < ninth
     places = (SIMILAR + OF) * F.least("a_left", "b_left") >= SIMILAR * total
     # a bit differs only where the number of words that one line alone holds is odd
     parities = F.bit_count(F.col("a_parity").bitwiseXOR(F.col("b_parity"))) <= total - 2 * _must_share(total)
     certain = F.coalesce((F.col("a_pivot") == F.col("b_pivot")) & (F.col("a_margin") + F.col("b_margin") >= 0), F.lit(False))
-    met = short.join(long.hint("merge"), "key")
-    return met.where(lengths & places & parities & ~certain).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+    met = sides[0].join(sides[1].hint("merge"), "word")
+    return met.where(lengths & early & places & parities & ~certain).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
 
 
 def _listed(lines: DataFrame, pairs: DataFrame) -> DataFrame:

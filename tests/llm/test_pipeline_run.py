@@ -44,8 +44,8 @@ def planted():
         "\n".join([line(3, 0), " ".join(words("aa", pick, 25))]),  # a line stands earlier
         "\n".join([" ".join(words("bb", pick, 25)), " ".join(changed)]),  # a similar line does
         rows[5][1],  # all lines do
-        broken(plain[6], 31),  # the same words in other lines
-        broken(plain[7][:-1] + ["anders"], 31),  # nearly
+        broken(plain[6], 38),  # the same words in other lines
+        broken(plain[7][:-1] + ["anders"], 38),  # nearly
         broken(far, 19),  # less so
         broken(words("aa", pick, 60), 20) + "\n" + items[0][1].upper(),  # a fifth of it from the benchmark
         broken(words("aa", pick, 400), 40) + "\n" + items[1][1],  # less than a twentieth
