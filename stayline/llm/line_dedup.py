@@ -8,8 +8,8 @@ are candidates if their lengths, the places of the shared word, and a 32-bit par
 Words that occur once are shared by nobody and make no candidates. Candidates are verified on whole sets.
 
 Every match between two different lines is a link, and all links are counted, but those of many variants of one line are
-not listed, as they grow with the square of the variants. Where many lines share one of their rarest words, a pivot is
-chosen among them. A line that shares o of its n words with a pivot of m words gets the margin 18 o - 8 n - 9 m. Two lines
+not listed, as they grow with the square of the variants. Where many lines share two words that follow each other in the
+order of rarity, a pivot is chosen among them. A line that shares o of its n words with a pivot of m words gets the margin 18 o - 8 n - 9 m. Two lines
 share at least the sum of what they share with the pivot, less m; so two lines whose margins add up to zero or more match for
 certain. How many lines of a pivot reach a given margin is a running sum over its few different margins. Pairs that are
 certain never become candidates; all others take the way above.
@@ -32,9 +32,9 @@ SIMILAR, OF = 4, 5
 #: Counters of the rarity table; a byte each.
 RARITY_BITS = 22
 _CHUNK_BITS = 10
-#: Lines look for a pivot at so many words, the least rare ones of their prefix, where at least so many lines share the word.
-#: Both decide which links are counted without listing them, not which there are.
-PIVOT_WORDS, PIVOT_LINES = 3, 32
+#: Lines look for a pivot where at least so many of them share two neighbouring words of their prefixes. It decides which
+#: links are counted without listing them, not which there are.
+PIVOT_LINES = 32
 #: Logarithm of a count of one.
 _ONCE = 3
 
@@ -127,18 +127,19 @@ def _sets_of(lines: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     return stored(whole.select("id", F.array_distinct(_hashes(F.col("line"))).alias("words"), "first"), name)
 
 
-def _last(prefix: str) -> Column:
-    """The words of a prefix that a line shares with its variants most likely: they are not the rarest ones."""
-    return F.slice(prefix, F.greatest(F.size(prefix) - PIVOT_WORDS + 1, F.lit(1)), F.lit(PIVOT_WORDS))
+def _neighbours(prefix: str) -> Column:
+    """Every two words of a prefix that follow each other in the order of rarity; only variants share such a pair often."""
+    following = F.slice(prefix, 2, F.greatest(F.size(prefix) - 1, F.lit(0)))
+    return F.transform(following, lambda word, at: F.xxhash64(F.get(prefix, at), word))
 
 
 def _members(lines: DataFrame, heads: DataFrame) -> DataFrame:
     """Lines with a pivot: id, pivot, margin, first. The pivot matches the line, and a line has one at most.
 
-    Among lines that share a rare word the pivot has the number of words that most of them have, and of those the largest
+    Among lines that share two such words the pivot has the number of words that most of them have, and of those the largest
     sum of ranks: where a variant has a word of its own, the line that it comes from has one that all variants share.
     """
-    keys = heads.select("id", "n", "ranks", F.explode(_last("prefix")).alias("word"))
+    keys = heads.select("id", "n", "ranks", F.explode(_neighbours("prefix")).alias("word"))
     busy = stored(keys.groupBy("word").agg(F.count("*").alias("lines")).where(F.col("lines") >= PIVOT_LINES).select("word"), "busy-words")
     near = stored(keys.join(sized_broadcast(busy), "word"), "busy-lines")
     sizes = near.groupBy("word", "n").agg(F.count("*").alias("lines"), F.max(F.struct("ranks", "id")).alias("p"))
