@@ -1,7 +1,11 @@
 """What moves between tasks or is set down: figures that would grow with the tables."""
 
 
+from stayline.operators import conform
 from stayline.operators.ordered import rank_within
+from stayline.plans import registry
+from stayline.session import tuned
+from stayline.sources.testdata import Warehouse
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -23,3 +27,30 @@ def test_nulls_and_nans_are_groups_like_any_other(spark):
     frame = spark.createDataFrame([(k, i) for i, k in enumerate(values)], "k double, id int").repartition(3)
     got = rank_within(frame, ["k"], [F.col("id")], "n").orderBy("id").collect()
     assert [row["n"] for row in got] == [1, 2, 1, 2, 1, 2, 1]
+
+
+def test_header_totals_move_lines_once(spark):
+    row = ["id % 1 AS booking_id", "cast(id % 1 AS int) AS created_year", "date_add(date'2000-01-01', cast(id AS int)) AS stay_date", "1.0BD AS total"]
+    totals = conform.header_totals(spark.range(200).selectExpr(*row))
+    assert _plan(totals).count("Exchange hashpartitioning") == 1
+    assert totals.head()["stay_days"] == 200
+
+
+def test_lines_with_a_header_stay_where_they_are(spark):
+    former = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        keys = spark.range(20_000).selectExpr("id AS booking_id", "2000 AS created_year")
+        lines = keys.selectExpr("booking_id + 5 AS booking_id", "created_year", "booking_id AS line").unionByName(
+            spark.sql("SELECT cast(NULL AS bigint) AS booking_id, 2000 AS created_year, -1L AS line"))
+        kept = conform.keep_with_header(lines, keys)
+        assert "SortMergeJoin" not in _plan(kept)
+        assert kept.count() == 19_995
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", former)
+
+
+def test_sales_meet_in_bookings_once(spark):
+    w = Warehouse(tuned(spark), FOLDER)
+    picked = conform.dedup_bookings(w.raw_stays, w.guests, registry.TIE_BREAK)
+    assert _plan(picked).count("hashpartitioning(booking_id") == 1
