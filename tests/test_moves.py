@@ -54,3 +54,8 @@ def test_sales_meet_in_bookings_once(spark):
     w = Warehouse(tuned(spark), FOLDER)
     picked = conform.dedup_bookings(w.raw_stays, w.guests, registry.TIE_BREAK)
     assert _plan(picked).count("hashpartitioning(booking_id") == 1
+
+
+def test_raw_lines_get_their_texts_after_the_join(spark):
+    plan = Warehouse(spark, FOLDER).raw_stays._jdf.queryExecution().optimizedPlan().toString()
+    assert "ROSA" in plan and "ROSA" not in plan[plan.index("Join Inner"):]
