@@ -59,3 +59,13 @@ def test_sales_meet_in_bookings_once(spark):
 def test_raw_lines_get_their_texts_after_the_join(spark):
     plan = Warehouse(spark, FOLDER).raw_stays._jdf.queryExecution().optimizedPlan().toString()
     assert "ROSA" in plan and "ROSA" not in plan[plan.index("Join Inner"):]
+
+
+def test_the_export_is_compressed(spark, monkeypatch):
+    seen = []
+    land = registry.bronze.land_raw
+    monkeypatch.setattr(registry.bronze, "land_raw", lambda spark, source, *more: seen.append(source) or land(spark, source, *more))
+    w = Warehouse(tuned(spark), FOLDER)
+    assert registry.land_raw_roundtrip(w).agg(F.sum("lines")).head()[0] == w.raw_stays.count()
+    names = spark.read.csv(seen, header=True).inputFiles()
+    assert names and all(name.endswith(".csv.gz") for name in names)
