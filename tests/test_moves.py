@@ -2,6 +2,7 @@
 
 
 from stayline.operators import conform
+from stayline.operators.guests import stay_fact, with_months
 from stayline.operators.ordered import rank_within
 from stayline.plans import registry
 from stayline.session import tuned
@@ -69,3 +70,18 @@ def test_the_export_is_compressed(spark, monkeypatch):
     assert registry.land_raw_roundtrip(w).agg(F.sum("lines")).head()[0] == w.raw_stays.count()
     names = spark.read.csv(seen, header=True).inputFiles()
     assert names and all(name.endswith(".csv.gz") for name in names)
+
+
+def test_gold_reads_stored_headers(spark, monkeypatch):
+    seen, refresh = [], registry.refresh_gold
+    monkeypatch.setattr(registry, "refresh_gold", lambda spark, bookings, *more: seen.append(bookings) or refresh(spark, bookings, *more))
+    registry.gold_refresh(Warehouse(tuned(spark), FOLDER))
+    assert all("/headers-" in name for name in seen[0].inputFiles())
+
+
+def test_months_of_the_fact_are_made_of_its_dates(spark):
+    w = Warehouse(tuned(spark), FOLDER)
+    fact = stay_fact(w.headers, w.properties, w.guests, w.stay_nights)
+    bare = fact.drop("created_month", "stay_year", "stay_month")
+    assert with_months(bare).columns == fact.columns
+    assert with_months(bare).exceptAll(fact).isEmpty()
