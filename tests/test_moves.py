@@ -5,6 +5,7 @@ from stayline.operators import conform
 from stayline.operators.guests import stay_fact, with_months
 from stayline.operators.ordered import rank_within
 from stayline.plans import registry
+from stayline.plans.silver import split_unusable
 from stayline.session import tuned
 from stayline.sources.testdata import Warehouse
 
@@ -57,6 +58,14 @@ def test_sales_meet_in_bookings_once(spark):
     assert _plan(picked).count("hashpartitioning(booking_id") == 1
 
 
+def test_usable_lines_are_read_where_they_lie(spark, tmp_path):
+    w = Warehouse(tuned(spark), FOLDER)
+    conform.with_parsed(w.raw_stays).write.parquet(f"{tmp_path}/raw")
+    usable, unusable = split_unusable(spark.read.parquet(f"{tmp_path}/raw"), w.properties.where("property_id <> 3"))
+    assert all(f"{tmp_path}/raw" in name for name in usable.select("src_order").inputFiles() if "nation" not in name)
+    assert usable.count() + unusable.count() == w.raw_stays.count() and unusable.count() > 0
+
+
 def test_raw_lines_get_their_texts_after_the_join(spark):
     plan = Warehouse(spark, FOLDER).raw_stays._jdf.queryExecution().optimizedPlan().toString()
     assert "ROSA" in plan and "ROSA" not in plan[plan.index("Join Inner"):]
