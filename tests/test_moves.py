@@ -1,12 +1,13 @@
 """What moves between tasks or is set down: figures that would grow with the tables."""
 
+from pyspark.sql import functions as F
 
 from stayline.operators import conform
 from stayline.operators.guests import stay_fact, with_months
 from stayline.operators.ordered import rank_within
 from stayline.plans import registry
 from stayline.plans.silver import split_unusable
-from stayline.session import tuned
+from stayline.session import SETTINGS, tuned
 from stayline.sources.testdata import Warehouse
 
 FOLDER = "/root/testdata/sf0.001"
@@ -94,3 +95,7 @@ def test_months_of_the_fact_are_made_of_its_dates(spark):
     bare = fact.drop("created_month", "stay_year", "stay_month")
     assert with_months(bare).columns == fact.columns
     assert with_months(bare).exceptAll(fact).isEmpty()
+
+
+def test_large_generated_methods_are_not_left_to_the_interpreter(spark):
+    assert tuned(spark).conf.get("spark.sql.codegen.hugeMethodLimit") == SETTINGS["spark.sql.codegen.hugeMethodLimit"] == "8000"
