@@ -23,7 +23,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from stayline.llm.tables import map_batches, read, work_path
-from stayline.llm.tokens import default_tokenizer, encoder
+from stayline.llm.tokens import default_tokenizer, encoder, gathered
 
 END_ID = 2
 #: Bits of an id per level; the last level takes what is left of 32.
@@ -32,6 +32,8 @@ LEVEL_BITS = (8, 8, 16)
 RANK_BITS = 512
 #: A segment is closed once it holds so many ids.
 SEGMENT_IDS = 1 << 18
+#: Code points that are looked up at once; a word that repeats among them is looked up once.
+AT_ONCE = 8_000_000
 
 SEGMENTS = (
     "part int, segment int, local_start bigint, n_ids bigint, doc_ids array<bigint>, lengths array<int>, "
@@ -90,19 +92,18 @@ class Codes:
 
     def slice(self, start: int, stop: int) -> np.ndarray:
         """Ids from `start` to `stop`; reads nothing outside, but for one rank per level."""
-        out = np.zeros(stop - start, dtype=np.uint32)
-        where, shift = np.arange(stop - start), 0
-        for level, bits in enumerate(LEVEL_BITS):
-            own = np.frombuffer(self.chunks[level], dtype=_KINDS[bits])[start:stop].astype(np.uint32)
-            out[where] |= own << np.uint32(shift)
-            shift += bits
-            if level == len(LEVEL_BITS) - 1 or start == stop:
-                break
+        out = np.frombuffer(self.chunks[0], dtype=_KINDS[LEVEL_BITS[0]])[start:stop].astype(np.uint32)
+        where, shift = None, 0
+        for level, bits in enumerate(LEVEL_BITS[:-1]):
             bytes_here = np.frombuffer(self.bitmaps[level], dtype=np.uint8)[start // 8 : -(-stop // 8)]
-            goes_on = np.unpackbits(bytes_here, bitorder="little")[start % 8 : start % 8 + stop - start] > 0
+            going = np.flatnonzero(np.unpackbits(bytes_here, bitorder="little")[start % 8 : start % 8 + stop - start])
+            if not len(going):
+                break
+            where, shift = going if where is None else where[going], shift + bits
             start = self._rank(level, start)
-            stop = start + int(goes_on.sum())
-            where = where[goes_on]
+            stop = start + len(going)
+            own = np.frombuffer(self.chunks[level + 1], dtype=_KINDS[LEVEL_BITS[level + 1]])[start:stop]
+            out[where] |= own.astype(np.uint32) << np.uint32(shift)
         return out
 
 
@@ -117,26 +118,27 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, segment, start = TaskContext.get().partitionId(), 0, 0
-        doc_ids, ids, size = [], [], 0
+        doc_ids, lengths, ids, size = [], [], [], 0
+        end = np.array([end_id], np.uint32)
 
         def close() -> pa.RecordBatch:
             codes = Codes.of(np.concatenate(ids))
             row = {
                 "part": part, "segment": segment, "local_start": start, "n_ids": size, "doc_ids": doc_ids,
-                "lengths": [len(own) for own in ids], "chunks": codes.chunks, "bitmaps": codes.bitmaps, "ranks": codes.ranks,
+                "lengths": lengths, "chunks": codes.chunks, "bitmaps": codes.bitmaps, "ranks": codes.ranks,
             }
             return pa.RecordBatch.from_pylist([row], schema=target)
 
-        for batch in batches:
-            names, texts = batch.column(0).to_pylist(), [text or "" for text in batch.column(1).to_pylist()]
-            for doc_id, own in zip(names, encoder(name).encode(texts), strict=True):
+        for names, texts in gathered(batches, AT_ONCE):
+            for doc_id, own in zip(names, encoder(name).encode(texts, AT_ONCE), strict=True):
                 doc_ids.append(doc_id)
-                ids.append(np.append(own, np.uint32(end_id)))
-                size += len(ids[-1])
+                lengths.append(len(own) + 1)
+                ids += own, end
+                size += lengths[-1]
                 if size >= SEGMENT_IDS:
                     yield close()
                     segment, start = segment + 1, start + size
-                    doc_ids, ids, size = [], [], 0
+                    doc_ids, lengths, ids, size = [], [], [], 0
         if ids:
             yield close()
 
@@ -166,7 +168,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
             codes = Codes(row["n_ids"], row["chunks"], row["bitmaps"], row["ranks"])
             at = 0
             for doc_id, length in zip(row["doc_ids"], row["lengths"], strict=True):
-                code = zlib.crc32(codes.slice(at, at + length).astype("<u4").tobytes())
+                code = zlib.crc32(codes.slice(at, at + length).astype("<u4", copy=False))
                 rows.append((row["part"], doc_id, row["local_start"] + at, length, code))
                 at += length
         names = ("part", "doc_id", "local_start", "n_tokens", "ids_crc32")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import re
 import sys
 from collections.abc import Iterator
 
@@ -22,7 +23,8 @@ _CHUNK = 4_000_000
 @functools.cache
 def _two_blanks() -> str:
     """Pattern of two white space characters of any kind side by side."""
-    blanks = "".join(f"\\x{{{code:x}}}" for code in range(sys.maxunicode + 1) if chr(code).isspace())
+    every = "".join(map(chr, range(sys.maxunicode + 1)))
+    blanks = "".join(f"\\x{{{ord(sign):x}}}" for sign in re.findall(r"\s", every))
     return f"[{blanks}][{blanks}]"
 
 
@@ -108,28 +110,37 @@ class Encoder:
         first = total - len(fresh)
         self._begins, self._sizes, self._again = (_grown(one, total) for one in (self._begins, self._sizes, self._again))
         # a word has no blank or line end inside; other white space at its ends might run on into the line end
-        plain = [at for at, text in enumerate(fresh) if (word := text.removeprefix(" ")) and word == word.strip()]
-        for at in range(0, len(plain), _RUN):
-            run = plain[at : at + _RUN]
-            (ids,) = self._whole(["\n".join([fresh[i] for i in run])])
+        odd = []
+        for at in range(0, len(fresh), _RUN):
+            run, units = np.arange(at, min(at + _RUN, len(fresh))), fresh[at : at + _RUN]
+            lines = "\n".join(units)
+            if "\n".join(lines.split()) != lines.replace("\n ", "\n").removeprefix(" "):  # an empty word or other white space
+                plain = np.array([bool(word := text.removeprefix(" ")) and word == word.strip() for text in units])
+                odd += run[~plain].tolist()
+                run = run[plain]
+                lines = "\n".join([fresh[i] for i in run.tolist()])
+            if not len(run):
+                continue
+            (ids,) = self._whole([lines])
             ends = ids == self._line_end
             cuts = np.concatenate(([-1], np.flatnonzero(ends), [len(ids)]))
-            self._add(first + np.array(run), np.diff(cuts) - 1, ids[~ends])
-        odd = sorted(set(range(len(fresh))).difference(plain))
+            self._add(first + run, np.diff(cuts) - 1, ids[~ends])
         if odd:
             found = self._whole([fresh[at] for at in odd])
             self._add(first + np.array(odd), np.array([len(ids) for ids in found]), np.concatenate(found))
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, as the library gives them without special tokens at its ends."""
-        return [ids for chunk in _chunks(texts) for ids in self._encode(chunk)]
+    def encode(self, texts: list[str], size: int = _CHUNK) -> list[np.ndarray]:
+        """Ids of each text, as the library gives them without special tokens at its ends; some `size` code points at once."""
+        return [ids for chunk in _chunks(texts, size) for ids in self._encode(chunk)]
 
     def _numbered(self, words: pa.Array, mark: str) -> np.ndarray:
         """Numbers of the units of some words, each different word asked for once."""
         coded = words.dictionary_encode()
-        number = self._numbers.__getitem__
-        found = [number(mark + word) for word in coded.dictionary.to_pylist()]
-        return np.array(found, np.int64)[coded.indices.to_numpy()] if found else np.zeros(0, np.int64)
+        units = coded.dictionary.to_pylist()
+        if mark:
+            units = [mark + word for word in units]
+        found = np.fromiter(map(self._numbers.__getitem__, units), np.int64, len(units))
+        return found[coded.indices.to_numpy()]
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self._numbers) > CACHE_UNITS:
@@ -168,14 +179,29 @@ class Encoder:
         return out
 
 
-def _chunks(texts: list[str]) -> Iterator[list[str]]:
-    run, size = [], 0
+def gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, list[str]]]:
+    """Names and texts (null: empty) of as many (name, text) batches at once as hold some `size` code points."""
+    names, texts, held = [], [], 0
+    for batch in batches:
+        own = [text or "" for text in batch.column(1).to_pylist()]
+        names += batch.column(0).to_pylist()
+        texts += own
+        held += sum(map(len, own))
+        if held >= size:
+            yield names, texts
+            names, texts, held = [], [], 0
+    if texts:
+        yield names, texts
+
+
+def _chunks(texts: list[str], size: int) -> Iterator[list[str]]:
+    run, held = [], 0
     for text in texts:
         run.append(text)
-        size += len(text)
-        if size > _CHUNK:
+        held += len(text)
+        if held > size:
             yield run
-            run, size = [], 0
+            run, held = [], 0
     if run:
         yield run
 

@@ -1,11 +1,13 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from stayline.llm import direct_codes
 from stayline.llm.direct_codes import Codes
+from stayline.llm.tokens import Encoder, default_tokenizer, gathered
 from stayline.sources.store import work_path
 from tests.llm.conftest import ODD
 from tests.llm.test_packing import whole
@@ -55,3 +57,23 @@ def test_repeated_null_and_no_documents(spark, docs):
     assert [r.start for r in rows] == [0, *np.cumsum([r.n_tokens for r in rows])[:-1].tolist()]
     direct_codes.write(frame.where("false"), empty)
     assert direct_codes.read_documents(spark, empty).count() == 0
+
+
+def test_levels_that_no_id_reaches_are_not_read():
+    codes = Codes.of(np.array([3, 700, 255, 0, 65535], dtype=np.uint32))
+    codes.chunks[2] = None
+    assert codes.slice(0, 5).tolist() == [3, 700, 255, 0, 65535]
+    codes.chunks[1] = codes.ranks = None
+    assert codes.slice(2, 4).tolist() == [255, 0]
+
+
+def test_batches_are_encoded_together():
+    batches = [pa.record_batch({"doc_id": [n], "text": [text]}) for n, text in enumerate(["12345", None, "1234567", "é", ""])]
+    assert list(gathered(iter(batches), 10)) == [([0, 1, 2], ["12345", "", "1234567"]), ([3, 4], ["é", ""])]
+    assert list(gathered(iter([]), 10)) == []
+
+
+def test_white_space_inside_words_beside_empty_ones():
+    for texts in (["a\tb"], ["\nx\ty"], ["a\u2003b ", "c", "\n"], ["p\x1cq\n\tr", " ", "s"]):
+        got = Encoder(default_tokenizer()).encode(texts)
+        assert [ids.tolist() for ids in got] == [list(ids) for ids in whole(texts)]
