@@ -18,7 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm.tables import read, release, sized_broadcast, stored, unused
+from stayline.llm.tables import read, release, sized_broadcast, stored, unused, work_path
+from stayline.sources.store import scratch
 
 #: Similarity of 4/5 or more; kept as a fraction, so that all bounds are exact.
 SIMILAR, OF = 4, 5
@@ -135,14 +136,18 @@ def line_links(docs: DataFrame, bits: int = RARITY_BITS) -> tuple[DataFrame, Dat
     texts = docs.select("doc_id", "text").where("text IS NOT NULL")
     lines = stored(_first_positions(texts).select(F.monotonically_increasing_id().alias("id"), "line", "first"), "lines")
     release(spark)
-    ranks = stored(rarity(lines.select(F.col("line").alias("text")), bits), "rarity")
-    heads = stored(_heads(lines, ranks, bits), "heads")
+    links = work_path(spark, "line-links")
+    with scratch(spark):  # tables go once the step that reads them is stored
+        candidates = work_path(spark, "candidates")
+        with scratch(spark):
+            ranks = stored(rarity(lines.select(F.col("line").alias("text")), bits), "rarity")
+            heads = stored(_heads(lines, ranks, bits), "heads")
+            release(spark)
+            pairs = stored(_candidates(heads), "candidates", candidates)
+        release(spark)
+        found = stored(_links(lines, pairs), "line-links", links)
     release(spark)
-    pairs = stored(_candidates(heads), "candidates")
-    release(spark)
-    links = stored(_links(lines, pairs), "line-links")
-    release(spark)
-    return lines, links
+    return lines, found
 
 
 def kept_lines(docs: DataFrame, bits: int = RARITY_BITS) -> DataFrame:

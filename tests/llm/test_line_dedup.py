@@ -1,10 +1,12 @@
 import itertools
 import random
 import re
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from stayline.llm.line_dedup import drop_repeated_lines, mark_lines
+from stayline.llm.line_dedup import drop_repeated_lines, line_links, mark_lines
+from stayline.sources.store import shared_root
 from tests.llm.conftest import ODD
 
 BITS = 10
@@ -97,6 +99,15 @@ def test_main_path_runs_no_python(docs):
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
 
 
+def test_tables_of_finished_steps_are_dropped(spark, docs):
+    home = Path(shared_root(spark)) / "stayline" / spark.sparkContext.applicationId
+    before = set(home.glob("*")) if home.exists() else set()
+    lines, links = line_links(docs("a b c d", "a b c d e", "other"), BITS)
+    left = sorted(path.name.rsplit("-", 1)[0] for path in set(home.glob("*")) - before)
+    assert left == ["line-links", "lines"]
+    assert (lines.count(), links.count()) == (3, 1)
+
+
 def plain_links(rows):
     """Links of the lines that stand first in each document, by comparing every two different lines."""
     first = {}
