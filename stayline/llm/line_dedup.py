@@ -5,7 +5,13 @@ corpus matches it. Equal lines meet first, by one map-side minimum, so that a li
 row afterwards. Then words are ordered by rarity, the rarest fifth (and one) of each line is its prefix, and lines that
 share a prefix word are candidates if their lengths, the places of the shared word, and a 64-bit parity of their words allow
 the similarity. Candidates are verified on their whole sets. Every match between two different lines is a link, and all
-links are found and counted; so variants of one line make as many links as there are pairs of them.
+links are found and counted.
+
+Variants of one line make as many links as there are pairs of them, so these are counted without being listed (`_families`):
+a line joins the family of an early line that it matches, and is known by the words in which it differs from most members.
+Two members differ by both these sets of words, less twice what the sets share, so all links of a member follow from how many
+members have so many differences, and how many share each subset of its own. Candidates are sought between different families
+only.
 
 Rarity comes from counts of all words, kept by hash in a table of fixed size; any order gives the same matches, a good one
 gives few candidates. Words are compared by 64 bits of their hash.
@@ -14,6 +20,7 @@ gives few candidates. Words are compared by 64 bits of their hash.
 from __future__ import annotations
 
 from functools import reduce
+from math import comb
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +33,12 @@ SIMILAR, OF = 4, 5
 #: Counters of the rarity table; a byte each.
 RARITY_BITS = 20
 _CHUNK_BITS = 10
+#: Keys by which lines look for their families, and lines that must share one; smaller groups are listed pair by pair.
+KEYS, CROWD = 3, 8
+#: Prefixes of so few words are looked for by single words, too.
+SHORT = 3
+#: Differences that a member may share with other members, as each subset of them is a row; lines with more are listed.
+COMMON = 10
 
 
 def words_of(line: Column) -> Column:
@@ -95,11 +108,139 @@ def _must_share(total: Column) -> Column:
     return F.floor((SIMILAR * total + SIMILAR + OF - 1) / (SIMILAR + OF)).cast("int")
 
 
-def _candidates(heads: DataFrame) -> DataFrame:
-    """Pairs (a, b) of line ids that share a prefix word and pass all bounds, once each."""
-    rows = heads.select("id", "n", "parity", F.posexplode("prefix").alias("place", "word"))
-    rows = rows.withColumn("left", F.col("n") - F.col("place"))  # words from the shared one on
+def _matches(a: Column, b: Column) -> Column:
+    """Whether two sets of words are similar."""
+    return (SIMILAR + OF) * F.size(F.array_intersect(a, b)) >= SIMILAR * (F.size(a) + F.size(b))
+
+
+def _keys(heads: DataFrame) -> DataFrame:
+    """(id, key): hashes of neighbours in the prefix, the smallest ones, so that variants of a line choose the same."""
+    prefix, size, none = F.col("prefix"), F.size("prefix"), F.array().cast("array<bigint>")
+    pairs = F.zip_with(F.slice(prefix, F.lit(1), size - 1), F.slice(prefix, F.lit(2), size - 1), lambda x, y: F.xxhash64(x, y))
+    alone = F.when(size == 1, F.col("parity"))  # lines of one prefix word match equal sets only
+    singles = F.when(size <= SHORT, F.transform(prefix, lambda word: F.xxhash64(word, "n", alone))).otherwise(none)
+    return heads.select("id", F.explode(F.array_distinct(F.concat(F.slice(F.sort_array(pairs), 1, KEYS), singles))).alias("key"))
+
+
+def _elders(lines: DataFrame, heads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(elders, sets): an earlier line `elder` that line `id` matches, where one of its crowded keys leads to such a line;
+    and the word sets of all lines with crowded keys."""
+    keys = _keys(heads)
+    crowded = stored(keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= CROWD).select("key"), "crowded")
+    rows = stored(keys.join(sized_broadcast(crowded), "key"), "crowded-lines")
+    ids = stored(rows.select("id").distinct(), "crowded-ids")
+    words = F.array_distinct(_hashes(F.col("line")))
+    sets = stored(lines.join(sized_broadcast(ids), "id").select("id", "first", words.alias("words")), "crowded-sets")
+    earliest = rows.join(sets.select("id", "first"), "id").groupBy("key").agg(F.min(F.struct("first", "id")).alias("e"))
+    tries = stored(
+        rows.join(earliest, "key").select("id", F.col("e.id").alias("elder")).where("id <> elder").distinct(), "tries"
+    )
+    old = sets.join(tries.select(F.col("elder").alias("id")).distinct(), "id").select(
+        F.col("id").alias("elder"), F.col("first").alias("elder_first"), F.col("words").alias("elder_words")
+    )
+    matching = tries.join(sets, "id").join(old, "elder").where(_matches(F.col("words"), F.col("elder_words")))
+    elders = matching.groupBy("id").agg(F.min(F.struct("elder_first", "elder")).alias("e")).select("id", "e.elder")
+    return stored(elders, "elders"), sets
+
+
+def _rooted(elders: DataFrame) -> DataFrame:
+    """(id, family) of lines whose elders end within three steps, and of the lines they end in, which name the families."""
+    next_of = lambda n: elders.select(F.col("id").alias(f"e{n}"), F.col("elder").alias(f"e{n + 1}"))
+    steps = elders.withColumnRenamed("elder", "e1").join(next_of(1), "e1", "left").join(next_of(2), "e2", "left")
+    ends = steps.join(next_of(3), "e3", "left").where("e4 IS NULL").select("id", F.coalesce("e3", "e2", "e1").alias("family"))
+    return ends.unionByName(ends.select(F.col("family").alias("id"), "family").distinct())
+
+
+def _between(a: str, b: str) -> Column:
+    """Words that stand in one of two sets."""
+    return F.array_union(F.array_except(a, b), F.array_except(b, a))
+
+
+def _differences(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """id, family, n (words), d (words in which the line differs from what is usual in its family), and `common`: those of
+    them that other members share, as far as links depend on them. Lines with more than COMMON are left out."""
+    roots = sets.join(members.select(F.col("family").alias("id")).distinct(), "id")
+    roots = roots.select(F.col("id").alias("family"), F.col("words").alias("root"))
+    apart = members.join(sets, "id").join(roots, "family")
+    apart = stored(apart.select("id", "family", F.size("words").alias("n"), _between("words", "root").alias("differ")), "from-first")
+    # what most members have in common is the measure, and not the odd words of the first line
+    most = apart.groupBy("family").agg(F.count("*").alias("lines"))
+    often = apart.select("family", F.explode("differ").alias("word")).groupBy("family", "word").agg(F.count("*").alias("n"))
+    usual = often.join(most, "family").where("2 * n > lines").groupBy("family").agg(F.collect_list("word").alias("usual"))
+    rows = apart.join(usual, "family", "left").withColumn("usual", F.coalesce("usual", F.array().cast("array<bigint>")))
+    rows = rows.select("id", "family", "n", _between("differ", "usual").alias("differ"))
+    rows = stored(rows.withColumn("d", F.size("differ")), "from-usual")
+    # two lines whose excesses make no more than 0 match whatever they share, so only words of others count
+    excess = rows.withColumn("excess", (SIMILAR + OF) * F.col("d") - F.col("n"))
+    bounds = excess.groupBy("family").agg(F.max("excess").alias("most"))
+    unsure = excess.join(bounds, "family").where("excess + most > 0")
+    words = unsure.select("id", "family", "excess", F.explode("differ").alias("word"))
+    shared = words.groupBy("family", "word").agg(F.count("*").alias("lines"), F.max("excess").alias("most"))
+    decisive = words.join(shared.where("lines > 1"), ["family", "word"]).where("excess + most > 0")
+    common = decisive.groupBy("id").agg(F.sort_array(F.collect_list("word")).alias("common"))
+    known = rows.drop("differ").join(common, "id", "left")
+    return known.withColumn("common", F.coalesce("common", F.array().cast("array<bigint>"))).where(F.size("common") <= COMMON)
+
+
+def _weights() -> list[int]:
+    """At u * (COMMON + 2) + m: the sum over t from m to u of (-1) ** (u - t) * comb(u, t)."""
+    sums = lambda u, m: sum((-1) ** (u - t) * comb(u, t) for t in range(m, u + 1))
+    return [sums(u, m) for u in range(COMMON + 1) for m in range(COMMON + 2)]
+
+
+def _family_links(rows: DataFrame) -> DataFrame:
+    """(id, links): links of each member to other members of its family.
+
+    Members a and b that share k of their differences differ by d = a.d + b.d - 2 * k words, and match where
+    (SIMILAR + OF) * d <= a.n + b.n. So each b asks for m shared differences or more, and the number of those that have
+    them follows from the numbers of lines that hold each subset of a's differences, by inclusion and exclusion.
+    """
+    subset = lambda mask: F.filter(
+        "common", lambda _, at: F.call_function("shiftright", mask, at).bitwiseAND(F.lit(1)) == 1
+    )
+    masks = F.sequence(F.lit(0), F.call_function("shiftleft", F.lit(1), F.size("common")) - 1)
+    subsets = F.transform(masks, lambda mask: F.struct(F.bit_count(mask).alias("u"), F.xxhash64(subset(mask)).alias("code")))
+    parts = rows.select("id", "family", "n", "d", F.explode(subsets).alias("s")).select("id", "family", "n", "d", "s.*")
+    group = ["family", "u", "code"]
+    sizes = parts.groupBy(*group, "n", "d").agg(F.count("*").alias("lines"))
+    sizes = sizes.groupBy(*group).agg(F.collect_list(F.struct("n", "d", "lines")).alias("others"))
+    weights = F.array(*[F.lit(weight).cast("long") for weight in _weights()])
+
+    def counted(total: Column, other: Column) -> Column:
+        over = (SIMILAR + OF) * (F.col("d") + other["d"]) - F.col("n") - other["n"]
+        asked = F.greatest(F.lit(0), F.least(F.lit(COMMON + 1), F.ceil(over / F.lit(2.0 * (SIMILAR + OF)))))
+        return total + other["lines"] * F.get(weights, (F.col("u") * (COMMON + 2) + asked).cast("int"))
+
+    links = F.aggregate("others", F.lit(0).cast("long"), counted)
+    found = parts.join(sizes, group).groupBy("id").agg(F.sum(links).alias("found"))
+    itself = ((SIMILAR + OF) * (F.col("d") - F.size("common")) <= F.col("n")).cast("long")
+    return rows.join(found, "id").select("id", (F.col("found") - itself).alias("links"))
+
+
+def _families(lines: DataFrame, heads: DataFrame, path: str) -> DataFrame:
+    """(id, family, links) of lines with many variants; stored at `path`. `links` are those inside the family. Each member
+    but the one that names the family matches an earlier line."""
+    with scratch(lines.sparkSession):
+        elders, sets = _elders(lines, heads)
+        members = stored(_rooted(elders), "members")
+        rows = stored(_differences(members, sets), "differences")
+        found = stored(rows.select("id", "family").join(_family_links(rows), "id"), "families", path)
+    release(lines.sparkSession)
+    return found
+
+
+def _candidates(heads: DataFrame, families: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b) of line ids that share a prefix word and pass all bounds, once each; none within a family."""
     columns = ["id", "n", "left", "parity"]
+    other_family = F.lit(True)
+    if families is not None:
+        known = heads.join(sized_broadcast(families.select("id", "family")), "id", "left")
+        heads = known.withColumn("family", F.coalesce("family", "id"))
+        columns.append("family")
+        other_family = F.col("a_family") != F.col("b_family")
+    kept = [column for column in columns if column != "left"]
+    rows = heads.select(*kept, F.posexplode("prefix").alias("place", "word"))
+    rows = rows.withColumn("left", F.col("n") - F.col("place"))  # words from the shared one on
     sides = [rows.select("word", *[F.col(c).alias(f"{side}{c}") for c in columns]) for side in ("a_", "b_")]
     total = F.col("a_n") + F.col("b_n")
     lengths = OF * F.least("a_n", "b_n") >= SIMILAR * F.greatest("a_n", "b_n")
@@ -107,7 +248,7 @@ def _candidates(heads: DataFrame) -> DataFrame:
     # a bit differs only where the number of words that one line alone holds is odd
     parities = F.bit_count(F.col("a_parity").bitwiseXOR(F.col("b_parity"))) <= total - 2 * _must_share(total)
     met = sides[0].join(sides[1].hint("merge"), "word")
-    return met.where((F.col("a_id") < F.col("b_id")) & lengths & places & parities).select(
+    return met.where((F.col("a_id") < F.col("b_id")) & other_family & lengths & places & parities).select(
         F.col("a_id").alias("a"), F.col("b_id").alias("b")
     ).distinct()
 
@@ -120,11 +261,9 @@ def _links(lines: DataFrame, pairs: DataFrame) -> DataFrame:
     sets = stored(whole.select("id", words.alias("words"), "first"), "line-sets")
     side = lambda end: sets.select(F.col("id").alias(end), F.struct("words", "first").alias(f"{end}_set"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    shared = F.size(F.array_intersect("a_set.words", "b_set.words"))
-    total = F.size("a_set.words") + F.size("b_set.words")
     # a null id comes before all others
     a_later = F.struct("a_set.first", "a") > F.struct("b_set.first", "b")
-    return both.where((SIMILAR + OF) * shared >= SIMILAR * total).select(
+    return both.where(_matches(F.col("a_set.words"), F.col("b_set.words"))).select(
         F.when(a_later, F.col("a")).otherwise(F.col("b")).alias("later"),
         F.when(a_later, F.col("b")).otherwise(F.col("a")).alias("earlier"),
     )
@@ -132,22 +271,31 @@ def _links(lines: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def line_links(docs: DataFrame, bits: int = RARITY_BITS) -> tuple[DataFrame, DataFrame]:
     """(lines, links): every different line (id, line, first) and all matching pairs (later, earlier) of their ids."""
+    lines, links, _ = _linked(docs, bits, by_family=False)
+    return lines, links
+
+
+def _linked(docs: DataFrame, bits: int, by_family: bool) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(lines, links, families): as `line_links`; by family, without the links inside families, which are counted there."""
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text").where("text IS NOT NULL")
     lines = stored(_first_positions(texts).select(F.monotonically_increasing_id().alias("id"), "line", "first"), "lines")
     release(spark)
-    links = work_path(spark, "line-links")
+    links, families = work_path(spark, "line-links"), None
+    inside = work_path(spark, "families") if by_family else None
     with scratch(spark):  # tables go once the step that reads them is stored
         candidates = work_path(spark, "candidates")
         with scratch(spark):
             ranks = stored(rarity(lines.select(F.col("line").alias("text")), bits), "rarity")
             heads = stored(_heads(lines, ranks, bits), "heads")
             release(spark)
-            pairs = stored(_candidates(heads), "candidates", candidates)
+            if inside:
+                families = _families(lines, heads, inside)
+            pairs = stored(_candidates(heads, families), "candidates", candidates)
         release(spark)
         found = stored(_links(lines, pairs), "line-links", links)
     release(spark)
-    return lines, found
+    return lines, found, families
 
 
 def kept_lines(docs: DataFrame, bits: int = RARITY_BITS) -> DataFrame:
@@ -155,10 +303,11 @@ def kept_lines(docs: DataFrame, bits: int = RARITY_BITS) -> DataFrame:
 
     n_links counts the links of the lines that stand in the document first, each between two different lines.
     """
-    lines, links = line_links(docs, bits)
+    lines, links, families = _linked(docs, bits, by_family=True)
     ends = [F.struct(F.col(end).alias("id"), F.lit(gone).alias("gone")) for end, gone in (("later", 1), ("earlier", 0))]
-    counts = links.select(F.explode(F.array(*ends)).alias("e"))
-    by_line = counts.groupBy(F.col("e.id").alias("id")).agg(F.max("e.gone").alias("gone"), F.count("*").alias("links"))
+    counts = links.select(F.explode(F.array(*ends)).alias("e")).select("e.*", F.lit(1).cast("long").alias("links"))
+    inside = families.select("id", (F.col("id") != F.col("family")).cast("int").alias("gone"), "links")
+    by_line = counts.unionByName(inside).groupBy("id").agg(F.max("gone").alias("gone"), F.sum("links").alias("links"))
     firsts = lines.select("id", "first").join(by_line, "id", "left")
     stays = F.coalesce("gone", F.lit(0)) == 0
     return firsts.groupBy("first.doc_id", "first.code").agg(

@@ -5,6 +5,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from stayline.llm import line_dedup
 from stayline.llm.line_dedup import drop_repeated_lines, line_links, mark_lines
 from stayline.sources.store import shared_root
 from tests.llm.conftest import ODD
@@ -135,3 +136,53 @@ def test_every_link_is_counted(docs):
     assert sum(wanted.values()) > 1000
     assert {r.doc_id: r.n_links for r in mark_lines(docs(*rows), BITS).collect()} == wanted
     assert marked(docs(*rows)) == plain(rows)
+
+
+def variants_of(base, lines, edits, pick, spare=400):
+    """Lines that differ from the base by 0 to `edits` words put in its words' places."""
+    made = []
+    for _ in range(lines):
+        own = list(base)
+        for _ in range(pick.randrange(edits + 1)):
+            own[pick.randrange(len(own))] = f"x{pick.randrange(spare)}"
+        made.append(" ".join(own))
+    return made
+
+
+def test_variants_of_a_line_are_counted_and_not_listed(docs, monkeypatch):
+    written = {}
+    store = line_dedup.stored
+
+    def counting(df, name, path=None):
+        table = store(df, name, path)
+        written[name] = table.count()
+        return table
+
+    monkeypatch.setattr(line_dedup, "stored", counting)
+    pick = random.Random(5)
+    lines = variants_of([f"v{n}" for n in range(60)], 150, 4, pick)
+    lines += variants_of([f"u{n}" for n in range(30)], 60, 2, pick, spare=20) + [f"{n} of nine words that are the same" for n in range(60)]
+    lines += [" ".join(w.upper() if n >> at & 1 else w for at, w in enumerate("k l m n o".split())) for n in range(32)]
+    pick.shuffle(lines)
+    rows = list(enumerate(lines))
+    wanted = plain_links(rows)
+    assert sum(wanted.values()) > 10_000
+    assert {r.doc_id: r.n_links for r in mark_lines(docs(*rows), BITS).collect()} == wanted
+    assert marked(docs(*rows)) == plain(rows)
+    assert written["line-links"] < 5 * len(lines)
+
+
+def test_members_that_share_differences_are_told_apart(docs):
+    pick = random.Random(8)
+    # few places and few words, so that members share differences and links hang on how many
+    base = [f"v{n}" for n in range(20)]
+    lines = [" ".join(base)]
+    for _ in range(150):
+        own = list(base)
+        for at in pick.sample(range(6), pick.randrange(1, 4)):
+            own[at] = f"x{at}{pick.randrange(2)}"
+        lines.append(" ".join(own[: 20 - pick.randrange(2)]))
+    rows = list(enumerate(lines))
+    wanted = plain_links(rows)
+    assert {r.doc_id: r.n_links for r in mark_lines(docs(*rows), BITS).collect()} == wanted
+    assert marked(docs(*rows)) == plain(rows)
