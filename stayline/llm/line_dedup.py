@@ -3,15 +3,15 @@
 Lines are sets of words; two lines match at a Jaccard similarity of 0.8 or more, and a line goes if an earlier line of the
 corpus matches it. Equal lines meet first, by one map-side minimum, so that a line that fills a third of the corpus is one
 row afterwards. Then words are ordered by rarity, the rarest fifth (and one) of each line is its prefix, and lines that
-share a prefix word are candidates if their lengths, the places of the shared word, and a 64-bit parity of their words allow
-the similarity. Candidates are verified on their whole sets. Every match between two different lines is a link, and all
+share a prefix word are candidates if their lengths, the places of the shared word, and the parities of their words allow the
+similarity. There are BANDS parities of 64 bits, each of a share of all words, as one is filled by the words of a long line. Candidates are verified on their whole sets. Every match between two different lines is a link, and all
 links are found and counted.
 
 Variants of one line make as many links as there are pairs of them, so these are counted without being listed (`_families`):
 a line joins the family of an early line that it matches, and is known by the words in which it differs from most members.
 Two members differ by both these sets of words, less twice what the sets share, so all links of a member follow from how many
-members have so many differences, and how many share each subset of its own. Candidates are sought between different families
-only.
+members have so many differences, and how many share each subset of its own. Members with too many differences for that meet
+those that share one of them. Candidates are sought between different families only.
 
 Rarity comes from counts of all words, kept by hash in a table of fixed size; any order gives the same matches, a good one
 gives few candidates. Words are compared by 64 bits of their hash.
@@ -33,12 +33,15 @@ SIMILAR, OF = 4, 5
 #: Counters of the rarity table; a byte each.
 RARITY_BITS = 20
 _CHUNK_BITS = 10
+#: Parities of a line, a power of 2; each is of the words whose hashes fall into one of as many equal parts.
+BANDS = 2
+PARITIES = [f"parity{at}" for at in range(BANDS)]
 #: Keys by which lines look for their families, and lines that must share one; smaller groups are listed pair by pair.
 KEYS, CROWD = 3, 8
 #: Prefixes of so few words are looked for by single words, too.
 SHORT = 3
-#: Differences that a member may share with other members, as each subset of them is a row; lines with more are listed.
-COMMON = 10
+#: Differences that a member may share with other members, as each subset of them is a row; lines with more meet by difference.
+COMMON = 8
 
 
 def words_of(line: Column) -> Column:
@@ -82,25 +85,33 @@ def _hashes(line: Column) -> Column:
 
 
 def _heads(lines: DataFrame, ranks: DataFrame, bits: int) -> DataFrame:
-    """Per line: id, its number of words n, the parity of its words, and its prefix, rarest word first."""
+    """Per line: id, its number of words n, the parities of its words, and its prefix, rarest word first."""
     mask = (1 << bits) - 1
-
-    def ordered(table: Column) -> Column:
-        def code(h: Column) -> Column:
-            rank = F.get(table, h.bitwiseAND(F.lit(mask)).cast("int")).cast("long")
-            return F.shiftleft(rank, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
-
-        return F.sort_array(F.array_distinct(F.transform(_hashes(F.col("line")), code)))
-
-    sets = lines.withColumn("ranks", ranks.scalar()).select("id", ordered(F.col("ranks")).alias("words"))
+    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+
+    def code(table: Column, h: Column) -> Column:
+        # a rank that cannot be null lets Spark sort plain numbers
+        rank = F.coalesce(F.get(table, h.bitwiseAND(F.lit(mask)).cast("int")).cast("long"), zero)
+        return F.shiftleft(rank, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+
+    # the bounds between the bands stand among the sorted words, so that each band is a slice
+    bounds = [-(1 << 63) + at * ((1 << 64) // BANDS) for at in range(1, BANDS)]
+    hashes = F.array_distinct(_hashes(F.col("line")))
+    marked = F.sort_array(F.concat(hashes, F.array(*[F.lit(bound).cast("long") for bound in bounds])))
+    sets = lines.select("id", hashes.alias("words"), marked.alias("marked"))
+    at = [F.lit(0), *[F.array_position("marked", F.lit(bound).cast("long")).cast("int") for bound in bounds], F.size("marked") + 1]
+    parities = [
+        F.aggregate(
+            F.slice("marked", low + 1, high - low - 1), zero,
+            lambda seen, h: seen.bitwiseXOR(F.call_function("shiftleft", one, h.bitwiseAND(F.lit(63)).cast("int"))),
+        ).alias(name)
+        for name, low, high in zip(PARITIES, at, at[1:], strict=False)
+    ]
+    ordered = F.sort_array(F.array_distinct(F.transform("words", lambda h: code(F.col("ranks"), h))))
+    sets = sets.withColumn("ranks", ranks.scalar()).select("id", ordered.alias("words"), *parities)
     n = F.size("words")
     length = n - F.floor((SIMILAR * n + OF - 1) / OF).cast("int") + 1
-    one = F.lit(1).cast("long")
-    parity = F.aggregate(
-        "words", F.lit(0).cast("long"),
-        lambda seen, word: seen.bitwiseXOR(F.call_function("shiftleft", one, word.bitwiseAND(F.lit(63)).cast("int"))),
-    )
-    return sets.select("id", n.alias("n"), parity.alias("parity"), F.slice("words", F.lit(1), length).alias("prefix"))
+    return sets.select("id", n.alias("n"), *PARITIES, F.slice("words", F.lit(1), length).alias("prefix"))
 
 
 def _must_share(total: Column) -> Column:
@@ -117,7 +128,7 @@ def _keys(heads: DataFrame) -> DataFrame:
     """(id, key): hashes of neighbours in the prefix, the smallest ones, so that variants of a line choose the same."""
     prefix, size, none = F.col("prefix"), F.size("prefix"), F.array().cast("array<bigint>")
     pairs = F.zip_with(F.slice(prefix, F.lit(1), size - 1), F.slice(prefix, F.lit(2), size - 1), lambda x, y: F.xxhash64(x, y))
-    alone = F.when(size == 1, F.col("parity"))  # lines of one prefix word match equal sets only
+    alone = F.when(size == 1, F.xxhash64(*PARITIES))  # lines of one prefix word match equal sets only
     singles = F.when(size <= SHORT, F.transform(prefix, lambda word: F.xxhash64(word, "n", alone))).otherwise(none)
     return heads.select("id", F.explode(F.array_distinct(F.concat(F.slice(F.sort_array(pairs), 1, KEYS), singles))).alias("key"))
 
@@ -158,7 +169,7 @@ def _between(a: str, b: str) -> Column:
 
 def _differences(members: DataFrame, sets: DataFrame) -> DataFrame:
     """id, family, n (words), d (words in which the line differs from what is usual in its family), and `common`: those of
-    them that other members share, as far as links depend on them. Lines with more than COMMON are left out."""
+    them that other members share, as far as links depend on them."""
     roots = sets.join(members.select(F.col("family").alias("id")).distinct(), "id")
     roots = roots.select(F.col("id").alias("family"), F.col("words").alias("root"))
     apart = members.join(sets, "id").join(roots, "family")
@@ -171,7 +182,7 @@ def _differences(members: DataFrame, sets: DataFrame) -> DataFrame:
     rows = rows.select("id", "family", "n", _between("differ", "usual").alias("differ"))
     rows = stored(rows.withColumn("d", F.size("differ")), "from-usual")
     # two lines whose excesses make no more than 0 match whatever they share, so only words of others count
-    excess = rows.withColumn("excess", (SIMILAR + OF) * F.col("d") - F.col("n"))
+    excess = rows.withColumn("excess", _excess())
     bounds = excess.groupBy("family").agg(F.max("excess").alias("most"))
     unsure = excess.join(bounds, "family").where("excess + most > 0")
     words = unsure.select("id", "family", "excess", F.explode("differ").alias("word"))
@@ -179,7 +190,12 @@ def _differences(members: DataFrame, sets: DataFrame) -> DataFrame:
     decisive = words.join(shared.where("lines > 1"), ["family", "word"]).where("excess + most > 0")
     common = decisive.groupBy("id").agg(F.sort_array(F.collect_list("word")).alias("common"))
     known = rows.drop("differ").join(common, "id", "left")
-    return known.withColumn("common", F.coalesce("common", F.array().cast("array<bigint>"))).where(F.size("common") <= COMMON)
+    return known.withColumn("common", F.coalesce("common", F.array().cast("array<bigint>")))
+
+
+def _excess() -> Column:
+    """Members a and b that share k differences match where a.excess + b.excess <= 2 * (SIMILAR + OF) * k."""
+    return (SIMILAR + OF) * F.col("d") - F.col("n")
 
 
 def _weights() -> list[int]:
@@ -189,12 +205,13 @@ def _weights() -> list[int]:
 
 
 def _family_links(rows: DataFrame) -> DataFrame:
-    """(id, links): links of each member to other members of its family.
+    """(id, links): links of each member with at most COMMON shared differences to other such members of its family.
 
     Members a and b that share k of their differences differ by d = a.d + b.d - 2 * k words, and match where
     (SIMILAR + OF) * d <= a.n + b.n. So each b asks for m shared differences or more, and the number of those that have
     them follows from the numbers of lines that hold each subset of a's differences, by inclusion and exclusion.
     """
+    rows = rows.where(F.size("common") <= COMMON)
     subset = lambda mask: F.filter(
         "common", lambda _, at: F.call_function("shiftright", mask, at).bitwiseAND(F.lit(1)) == 1
     )
@@ -217,6 +234,37 @@ def _family_links(rows: DataFrame) -> DataFrame:
     return rows.join(found, "id").select("id", (F.col("found") - itself).alias("links"))
 
 
+def _links_of_distant(rows: DataFrame) -> DataFrame:
+    """(id, links): links between members of which one or both have more than COMMON shared differences, at both ends.
+
+    Links that need no shared difference follow from numbers of members by excess; the others are found by joining such
+    members with those that share a difference.
+    """
+    rows = rows.select("id", "family", _excess().alias("excess"), "common", (F.size("common") > COMMON).alias("many"))
+    families = sized_broadcast(stored(rows.where("many").select("family").distinct(), "wide-families"))
+    rows = stored(rows.join(families, "family"), "wide-members")
+    sizes = rows.groupBy("family", "excess").agg(F.count("*").alias("all"), F.count_if("many").alias("many"))
+    others = sizes.groupBy("family").agg(F.collect_list(F.struct("excess", "all", "many")).alias("others"))
+    met = F.aggregate(
+        "others", F.lit(0).cast("long"),
+        lambda total, other: total + F.when(
+            F.col("excess") + other["excess"] <= 0, F.when(F.col("many"), other["all"]).otherwise(other["many"])
+        ).otherwise(0),
+    )
+    itself = (F.col("many") & (F.col("excess") <= 0)).cast("long")
+    sure = rows.join(sized_broadcast(stored(others, "wide-sizes")), "family").select("id", (met - itself).alias("links"))
+    words = rows.select("family", "id", "excess", "many", F.explode("common").alias("word"))
+    a = words.where("many").select("family", "word", F.col("id").alias("a"), F.col("excess").alias("a_excess"))
+    b = words.select("family", "word", F.col("id").alias("b"), F.col("excess").alias("b_excess"), F.col("many").alias("b_many"))
+    over = F.col("a_excess") + F.col("b_excess")
+    met = a.join(b, ["family", "word"]).where((F.col("a") != F.col("b")) & (over > 0))
+    shared = met.groupBy("a", "b", "b_many", over.alias("over")).agg(F.count("*").alias("k"))
+    linked = shared.where(F.col("over") <= 2 * (SIMILAR + OF) * F.col("k"))
+    # two of them meet from both sides
+    ends = linked.select(F.explode(F.array_compact(F.array("a", F.when(~F.col("b_many"), F.col("b"))))).alias("id"))
+    return sure.unionByName(ends.withColumn("links", F.lit(1).cast("long")))
+
+
 def _families(lines: DataFrame, heads: DataFrame, path: str) -> DataFrame:
     """(id, family, links) of lines with many variants; stored at `path`. `links` are those inside the family. Each member
     but the one that names the family matches an earlier line."""
@@ -224,14 +272,15 @@ def _families(lines: DataFrame, heads: DataFrame, path: str) -> DataFrame:
         elders, sets = _elders(lines, heads)
         members = stored(_rooted(elders), "members")
         rows = stored(_differences(members, sets), "differences")
-        found = stored(rows.select("id", "family").join(_family_links(rows), "id"), "families", path)
+        links = _family_links(rows).unionByName(_links_of_distant(rows)).groupBy("id").agg(F.sum("links").alias("links"))
+        found = stored(rows.select("id", "family").join(links, "id"), "families", path)
     release(lines.sparkSession)
     return found
 
 
 def _candidates(heads: DataFrame, families: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b) of line ids that share a prefix word and pass all bounds, once each; none within a family."""
-    columns = ["id", "n", "left", "parity"]
+    columns = ["id", "n", "left", *PARITIES]
     other_family = F.lit(True)
     if families is not None:
         known = heads.join(sized_broadcast(families.select("id", "family")), "id", "left")
@@ -246,7 +295,8 @@ def _candidates(heads: DataFrame, families: DataFrame | None = None) -> DataFram
     lengths = OF * F.least("a_n", "b_n") >= SIMILAR * F.greatest("a_n", "b_n")
     places = (SIMILAR + OF) * F.least("a_left", "b_left") >= SIMILAR * total
     # a bit differs only where the number of words that one line alone holds is odd
-    parities = F.bit_count(F.col("a_parity").bitwiseXOR(F.col("b_parity"))) <= total - 2 * _must_share(total)
+    odd = reduce(Column.__add__, [F.bit_count(F.col(f"a_{name}").bitwiseXOR(F.col(f"b_{name}"))) for name in PARITIES])
+    parities = odd <= total - 2 * _must_share(total)
     met = sides[0].join(sides[1].hint("merge"), "word")
     return met.where((F.col("a_id") < F.col("b_id")) & other_family & lengths & places & parities).select(
         F.col("a_id").alias("a"), F.col("b_id").alias("b")
