@@ -96,9 +96,8 @@ def _heads(lines: DataFrame, ranks: DataFrame, bits: int) -> DataFrame:
 
     # the bounds between the bands stand among the sorted words, so that each band is a slice
     bounds = [-(1 << 63) + at * ((1 << 64) // BANDS) for at in range(1, BANDS)]
-    hashes = F.array_distinct(_hashes(F.col("line")))
-    marked = F.sort_array(F.concat(hashes, F.array(*[F.lit(bound).cast("long") for bound in bounds])))
-    sets = lines.select("id", hashes.alias("words"), marked.alias("marked"))
+    marked = F.sort_array(F.concat("words", F.array(*[F.lit(bound).cast("long") for bound in bounds])))
+    sets = lines.select("id", F.array_distinct(_hashes(F.col("line"))).alias("words")).withColumn("marked", marked)
     at = [F.lit(0), *[F.array_position("marked", F.lit(bound).cast("long")).cast("int") for bound in bounds], F.size("marked") + 1]
     parities = [
         F.aggregate(

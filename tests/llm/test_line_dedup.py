@@ -186,3 +186,45 @@ def test_members_that_share_differences_are_told_apart(docs):
     wanted = plain_links(rows)
     assert {r.doc_id: r.n_links for r in mark_lines(docs(*rows), BITS).collect()} == wanted
     assert marked(docs(*rows)) == plain(rows)
+
+
+def _written(monkeypatch):
+    """Rows of each table that is stored, by name."""
+    written, store = {}, line_dedup.stored
+
+    def counting(df, name, path=None):
+        table = store(df, name, path)
+        written[name] = table.count()
+        return table
+
+    monkeypatch.setattr(line_dedup, "stored", counting)
+    return written
+
+
+def test_members_with_many_shared_differences_are_not_listed(docs, monkeypatch):
+    written = _written(monkeypatch)
+    pick = random.Random(4)
+    base = [f"v{n}" for n in range(100)]
+    lines = [" ".join(base)]
+    for changes in [*[pick.randrange(1, 4) for _ in range(30)], *[pick.randrange(12, 15) for _ in range(30)]]:
+        own = list(base)
+        for at in pick.sample(range(24), changes):
+            own[at] = f"x{at}{pick.randrange(3)}"
+        lines.append(" ".join(own))
+    rows = list(enumerate(lines))
+    wanted = plain_links(rows)
+    assert sum(wanted.values()) > 1_000
+    assert {r.doc_id: r.n_links for r in mark_lines(docs(*rows), BITS).collect()} == wanted
+    assert written["line-links"] < len(lines)
+
+
+def test_long_lines_that_share_few_words_are_no_candidates(docs, monkeypatch):
+    written = _written(monkeypatch)
+    pick = random.Random(9)
+    # ten words in common, some of them in the prefix, and 140 of their own
+    lines = [" ".join([*[f"s{n}" for n in range(10)], *[f"w{at}x{n}" for n in range(140)]]) for at in range(30)]
+    lines.append(lines[0] + " more")
+    pick.shuffle(lines)
+    lines, links = line_links(docs(*enumerate(lines)), 2)
+    assert links.count() == 1
+    assert written["candidates"] < 10
