@@ -85,7 +85,8 @@ def links(prints: DataFrame, name: str = "print") -> DataFrame:
     cells = own.select(F.col("u").alias("v"), (side + F.col("cell")).alias("key"))
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= MAX_BITS
     once = (F.col("same") & (F.col("u") < F.col("v"))) | ~F.col("same")
-    return probes.join(cells, "key").where(near & once).select("u", "v")
+    # both sides come out of explode, whose rows Spark does not count when it sizes a table for a broadcast
+    return probes.join(cells.hint("merge"), "key").where(near & once).select("u", "v")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
