@@ -137,25 +137,29 @@ def _elders(lines: DataFrame, heads: DataFrame) -> tuple[DataFrame, DataFrame]:
     and the word sets of all lines with crowded keys."""
     keys = _keys(heads)
     crowded = stored(keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= CROWD).select("key"), "crowded")
-    rows = stored(keys.join(sized_broadcast(crowded), "key"), "crowded-lines")
+    n_crowded = crowded.count()
+    rows = stored(keys.join(sized_broadcast(crowded, n_crowded), "key"), "crowded-lines")
     ids = stored(rows.select("id").distinct(), "crowded-ids")
     words = F.array_distinct(_hashes(F.col("line")))
     sets = stored(lines.join(sized_broadcast(ids), "id").select("id", "first", words.alias("words")), "crowded-sets")
-    earliest = rows.join(sets.select("id", "first"), "id").groupBy("key").agg(F.min(F.struct("first", "id")).alias("e"))
+    # repeated keys and ids take so few bytes in a file that Spark would broadcast a table of many rows
+    places = rows.join(sets.select("id", "first").hint("merge"), "id")
+    earliest = places.groupBy("key").agg(F.min(F.struct("first", "id")).alias("e")).select("key", F.col("e.id").alias("elder"))
     tries = stored(
-        rows.join(earliest, "key").select("id", F.col("e.id").alias("elder")).where("id <> elder").distinct(), "tries"
+        rows.join(sized_broadcast(earliest, n_crowded), "key").where("id <> elder").select("id", "elder").distinct(), "tries"
     )
     old = sets.join(tries.select(F.col("elder").alias("id")).distinct(), "id").select(
         F.col("id").alias("elder"), F.col("first").alias("elder_first"), F.col("words").alias("elder_words")
     )
-    matching = tries.join(sets, "id").join(old, "elder").where(_matches(F.col("words"), F.col("elder_words")))
+    matching = sized_broadcast(tries).join(sets, "id").join(old, "elder").where(_matches(F.col("words"), F.col("elder_words")))
     elders = matching.groupBy("id").agg(F.min(F.struct("elder_first", "elder")).alias("e")).select("id", "e.elder")
     return stored(elders, "elders"), sets
 
 
 def _rooted(elders: DataFrame) -> DataFrame:
     """(id, family) of lines whose elders end within three steps, and of the lines they end in, which name the families."""
-    next_of = lambda n: elders.select(F.col("id").alias(f"e{n}"), F.col("elder").alias(f"e{n + 1}"))
+    known = sized_broadcast(elders)
+    next_of = lambda n: known.select(F.col("id").alias(f"e{n}"), F.col("elder").alias(f"e{n + 1}"))
     steps = elders.withColumnRenamed("elder", "e1").join(next_of(1), "e1", "left").join(next_of(2), "e2", "left")
     ends = steps.join(next_of(3), "e3", "left").where("e4 IS NULL").select("id", F.coalesce("e3", "e2", "e1").alias("family"))
     return ends.unionByName(ends.select(F.col("family").alias("id"), "family").distinct())
@@ -171,7 +175,7 @@ def _differences(members: DataFrame, sets: DataFrame) -> DataFrame:
     them that other members share, as far as links depend on them."""
     roots = sets.join(members.select(F.col("family").alias("id")).distinct(), "id")
     roots = roots.select(F.col("id").alias("family"), F.col("words").alias("root"))
-    apart = members.join(sets, "id").join(roots, "family")
+    apart = sized_broadcast(members).join(sets, "id").join(roots, "family")
     apart = stored(apart.select("id", "family", F.size("words").alias("n"), _between("words", "root").alias("differ")), "from-first")
     # what most members have in common is the measure, and not the odd words of the first line
     most = apart.groupBy("family").agg(F.count("*").alias("lines"))
@@ -186,9 +190,10 @@ def _differences(members: DataFrame, sets: DataFrame) -> DataFrame:
     unsure = excess.join(bounds, "family").where("excess + most > 0")
     words = unsure.select("id", "family", "excess", F.explode("differ").alias("word"))
     shared = words.groupBy("family", "word").agg(F.count("*").alias("lines"), F.max("excess").alias("most"))
-    decisive = words.join(shared.where("lines > 1"), ["family", "word"]).where("excess + most > 0")
+    # Spark does not count the rows of explode when it sizes a table for a broadcast, here and below
+    decisive = words.join(shared.where("lines > 1").hint("merge"), ["family", "word"]).where("excess + most > 0")
     common = decisive.groupBy("id").agg(F.sort_array(F.collect_list("word")).alias("common"))
-    known = rows.drop("differ").join(common, "id", "left")
+    known = rows.drop("differ").join(common.hint("merge"), "id", "left")
     return known.withColumn("common", F.coalesce("common", F.array().cast("array<bigint>")))
 
 
@@ -228,9 +233,9 @@ def _family_links(rows: DataFrame) -> DataFrame:
         return total + other["lines"] * F.get(weights, (F.col("u") * (COMMON + 2) + asked).cast("int"))
 
     links = F.aggregate("others", F.lit(0).cast("long"), counted)
-    found = parts.join(sizes, group).groupBy("id").agg(F.sum(links).alias("found"))
+    found = parts.join(sizes.hint("merge"), group).groupBy("id").agg(F.sum(links).alias("found"))
     itself = ((SIMILAR + OF) * (F.col("d") - F.size("common")) <= F.col("n")).cast("long")
-    return rows.join(found, "id").select("id", (F.col("found") - itself).alias("links"))
+    return rows.join(found.hint("merge"), "id").select("id", (F.col("found") - itself).alias("links"))
 
 
 def _links_of_distant(rows: DataFrame) -> DataFrame:
@@ -256,7 +261,7 @@ def _links_of_distant(rows: DataFrame) -> DataFrame:
     a = words.where("many").select("family", "word", F.col("id").alias("a"), F.col("excess").alias("a_excess"))
     b = words.select("family", "word", F.col("id").alias("b"), F.col("excess").alias("b_excess"), F.col("many").alias("b_many"))
     over = F.col("a_excess") + F.col("b_excess")
-    met = a.join(b, ["family", "word"]).where((F.col("a") != F.col("b")) & (over > 0))
+    met = a.join(b.hint("merge"), ["family", "word"]).where((F.col("a") != F.col("b")) & (over > 0))
     shared = met.groupBy("a", "b", "b_many", over.alias("over")).agg(F.count("*").alias("k"))
     linked = shared.where(F.col("over") <= 2 * (SIMILAR + OF) * F.col("k"))
     # two of them meet from both sides
@@ -357,7 +362,7 @@ def kept_lines(docs: DataFrame, bits: int = RARITY_BITS) -> DataFrame:
     counts = links.select(F.explode(F.array(*ends)).alias("e")).select("e.*", F.lit(1).cast("long").alias("links"))
     inside = families.select("id", (F.col("id") != F.col("family")).cast("int").alias("gone"), "links")
     by_line = counts.unionByName(inside).groupBy("id").agg(F.max("gone").alias("gone"), F.sum("links").alias("links"))
-    firsts = lines.select("id", "first").join(by_line, "id", "left")
+    firsts = lines.select("id", "first").join(by_line.hint("merge"), "id", "left")
     stays = F.coalesce("gone", F.lit(0)) == 0
     return firsts.groupBy("first.doc_id", "first.code").agg(
         F.collect_list(F.when(stays, F.col("first.number"))).alias("kept"),

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stayline.llm.tables import blocks, map_batches, read, stored
+from stayline.llm.tables import blocks, map_batches, read, sized_broadcast, stored
 from stayline.llm.tokens import default_tokenizer, encoder
 
 CAPACITY = 2048
@@ -220,7 +220,8 @@ def pack(found: DataFrame, capacity: int = CAPACITY, block_pieces: int = BLOCK_P
     places = done[0]
     for more in done[1:]:
         places = places.unionByName(more)
-    return numbered.join(places, "uid").drop("uid")
+    # numbers in order take so few bytes in a file that Spark would broadcast tables of many rows, here and below
+    return numbered.join(places.hint("merge"), "uid").drop("uid")
 
 
 def _settled(pieces_left: DataFrame, round_: int, n_blocks: int, capacity: int, waste: int) -> DataFrame:
@@ -249,12 +250,12 @@ def _settled(pieces_left: DataFrame, round_: int, n_blocks: int, capacity: int,
         # the elite of each island settles on the next one, too
         following = F.pmod(F.col("island") + 1, F.lit(ISLANDS)).cast("int").alias("island")
         guests = grown.select("block", following, "uid", F.col("own").alias("guest"))
-        state = grown.drop("guest").join(guests, ["block", "island", "uid"])
+        state = grown.drop("guest").join(guests.hint("merge"), ["block", "island", "uid"])
     bins = grown.groupBy("block", "island", "own").agg(F.sum("length").alias("filled"))
     # fewest bins first, then bins that are full beside bins that are nearly empty
     judged = bins.groupBy("block", "island").agg(F.count("*").alias("n"), (-F.sum(F.col("filled") * F.col("filled"))).alias("spread"))
     best = judged.groupBy("block").agg(F.min(F.struct("n", "spread", "island")).alias("b")).select("block", F.col("b.island").alias("island"))
-    chosen = grown.join(best, ["block", "island"]).join(bins, ["block", "island", "own"])
+    chosen = grown.join(sized_broadcast(best, n_blocks), ["block", "island"]).join(bins.hint("merge"), ["block", "island", "own"])
     # round and block above, the bin below: unique without asking the other blocks
     number = F.lit(round_ << 56) + F.shiftleft("block", 24) + F.col("own")
     inside = Window.partitionBy("block", "own").orderBy("uid").rowsBetween(Window.unboundedPreceding, -1)

@@ -71,9 +71,11 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.2)
 
 
-def sized_broadcast(ids: DataFrame) -> DataFrame:
-    """A stored table of ids, to be broadcast where it is counted to be small, and to be shuffled with its partner else."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+def sized_broadcast(ids: DataFrame, rows: int | None = None) -> DataFrame:
+    """A stored table of ids, to be broadcast where it is counted to be small, and to be shuffled with its partner else,
+    however small its files are. `rows` spares the count where their number is known."""
+    rows = ids.count() if rows is None else rows
+    return F.broadcast(ids) if rows <= BROADCAST_IDS else ids.hint("merge")
 
 
 def unused(df: DataFrame, name: str) -> str:
